@@ -13,6 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from granero.sources.tables import scan
 
 
+# Columns used of the supplied tables.
+SUPPLIED = {
+    "part": "p_partkey BIGINT, p_name STRING, p_type STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE",
+    "customer": "c_custkey BIGINT",
+}
+
+
 def text(expression: str) -> str:
     return f"CAST({expression} AS STRING)"
 
@@ -35,7 +45,8 @@ class Adapter:
         return f"SELECT {columns} FROM {self.table}"
 
     def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        supplied = scan(spark, f"{sf_dir}/{self.table}.parquet")
+        path = f"{sf_dir}/{self.table}.parquet"
+        supplied = scan(spark, path, schema=SUPPLIED[self.table])
         return supplied.selectExpr(*(f"{value} AS {name}" for name, value in self.columns.items()))
 
 
@@ -148,9 +159,21 @@ OTHER_EDITION = {
 }
 
 
-def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: adapter.frame(spark, sf_dir) for name, adapter in ADAPTERS.items()}
+class Sources(dict):
+    """Source tables by name, each made when it is first asked for."""
+
+    def __init__(self, adapters: dict[str, Adapter], spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.make = lambda name: adapters[name].frame(spark, sf_dir)
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self.make(name)
+        return self[name]
+
+
+def source_tables(spark: SparkSession, sf_dir: str) -> Sources:
+    return Sources(ADAPTERS, spark, sf_dir)
 
 
-def other_edition(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: adapter.frame(spark, sf_dir) for name, adapter in OTHER_EDITION.items()}
+def other_edition(spark: SparkSession, sf_dir: str) -> Sources:
+    return Sources(OTHER_EDITION, spark, sf_dir)

@@ -34,25 +34,49 @@ def is_numeric(value: Column) -> Column:
     return F.coalesce(value.cast("string").rlike(NUMBER_TEXT), F.lit(False))
 
 
+def _valid(text: Column, number: Column) -> Column:
+    # Spark's cast also takes ``inf`` and ``nan``, so a result that is not finite
+    # is held against the grammar; finite ones need no regular expression.
+    return (F.abs(number) < F.lit(float("inf"))) | text.rlike(NUMBER_TEXT)
+
+
 def trunc_int(value: Column, null: str = "error") -> Column:
     """Strict parse: text that is no number fails the job.
 
-    ``null`` is ``"error"`` (fail) or ``"zero"``. Spark's own cast also takes
-    ``inf`` and ``nan``, so a result that is not finite is held against the
-    grammar; finite ones need no regular expression.
+    ``null`` is ``"error"`` (fail) or ``"zero"``.
     """
     if null not in ("error", "zero"):
         raise ValueError(f"null must be 'error' or 'zero', not {null!r}")
     text = value.cast("string")
     number = text.try_cast("double")
-    valid = (F.abs(number) < F.lit(float("inf"))) | text.rlike(NUMBER_TEXT)
     missing = (
         F.lit(0)
         if null == "zero"
         else F.raise_error(F.lit("number expected, found null")).cast("int")
     )
     junk = F.raise_error(F.concat(F.lit("number expected, found: "), text)).cast("int")
-    return F.when(text.isNull(), missing).when(valid, _narrow(number)).otherwise(junk)
+    return (
+        F.when(text.isNull(), missing)
+        .when(_valid(text, number), _narrow(number))
+        .otherwise(junk)
+    )
+
+
+def checked_int(value: Column, missing: int | None = None) -> Column:
+    """First half of a strict parse: null where the text is no number.
+
+    Lets a number be parsed once per source row, before a join repeats it or
+    drops it; ``required`` then fails for the rows that are left.
+    """
+    text = value.cast("string")
+    number = text.try_cast("double")
+    parsed = F.when(_valid(text, number), _narrow(number))
+    return parsed if missing is None else F.when(text.isNull(), F.lit(missing)).otherwise(parsed)
+
+
+def required(checked: Column, name: str) -> Column:
+    """Second half of a strict parse: fail where ``checked_int`` found no number."""
+    return F.coalesce(checked, F.raise_error(F.lit(f"number expected in {name}")).cast("int"))
 
 
 def trunc_int_or_zero(value: Column) -> Column:

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from granero.functions.keys import text_key
 from granero.operators import skew
@@ -17,6 +18,18 @@ def _all(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
+def carried(df: DataFrame, side: str) -> list[Column]:
+    """Columns of a join side that travel along: those with a leading underscore."""
+    return [F.col(f"{side}.{name}") for name in df.columns if name.startswith("_")]
+
+
+def _same_part(left: DataFrame, right: DataFrame, a: str, b: str) -> Column:
+    mine, other = F.col(f"l.{a}"), F.col(f"r.{b}")
+    if left.schema[a].dataType == right.schema[b].dataType == T.IntegerType():
+        return mine.eqNullSafe(other)
+    return mine.cast("string").eqNullSafe(other.cast("string"))
+
+
 def pair_join(
     left: DataFrame,
     right: DataFrame,
@@ -48,10 +61,7 @@ def pair_join(
     if key_mode == "text":
         conditions = [F.col(f"l.{KEY}") == F.col(f"r.{KEY}")]
     else:
-        conditions = [
-            F.col(f"l.{a}").cast("string").eqNullSafe(F.col(f"r.{b}").cast("string"))
-            for a, b in on
-        ]
+        conditions = [_same_part(left, right, a, b) for a, b in on]
     if cells:
         conditions += [F.col(f"l.{name}") == F.col(f"r.{name}") for name in ("_row", "_column")]
     return left.alias("l").join(right.alias("r"), _all(conditions), how)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granero.functions.keys import text_key
-from granero.functions.numbers import trunc_int, trunc_int_or_zero
+from granero.functions.numbers import checked_int, required, trunc_int, trunc_int_or_zero
 from granero.functions.text import full_name, split_dv
 from granero.operators import skew
 from granero.operators.pairs import pair_join
@@ -28,10 +28,6 @@ def _key(columns: list[tuple[str, str]]):
     return text_key(*(F.col(name) for name, _ in columns))
 
 
-def _carried(df: DataFrame, side: str) -> list:
-    return [F.col(f"{side}.{skew.POSITION}")] if skew.POSITION in df.columns else []
-
-
 def _broker_columns(person: str) -> list:
     number, digit = split_dv(F.col(f"{person}.nro_nit"))
     name = full_name(
@@ -44,14 +40,6 @@ def _broker_columns(person: str) -> list:
     ]
 
 
-def _commission_columns(side: str) -> list:
-    return [
-        F.col(f"{side}.pje_comision").alias("PorcentajeComision"),
-        trunc_int(F.col(f"{side}.cod_producto")).alias("ProductoComercialID"),
-        trunc_int(F.col(f"{side}.cod_ramo")).alias("RamoComercialID"),
-    ]
-
-
 def commission_agents(
     commissions: DataFrame,
     agents: DataFrame,
@@ -83,7 +71,9 @@ def person_brokers(
     return joined.select(
         F.col("r.cod_agente").alias("AgenteID"),
         *_broker_columns("l"),
-        *_commission_columns("r"),
+        F.col("r.pje_comision").alias("PorcentajeComision"),
+        trunc_int(F.col("r.cod_producto")).alias("ProductoComercialID"),
+        trunc_int(F.col("r.cod_ramo")).alias("RamoComercialID"),
     )
 
 
@@ -94,14 +84,14 @@ def product_brokers(
 ) -> DataFrame:
     """Products (read back, with ids) with the commissions paid on them.
 
-    Both key parts are ints that are never missing, so the key texts and the
-    ints match alike.
+    Both key parts are ints on either side and never missing, so they match as
+    their texts do.
     """
     joined = pair_join(
         producto.select("ProductoId", "EstadoHabilitado", *(name for name, _ in PRODUCT_ON)),
         brokers,
         PRODUCT_ON,
-        "text",
+        "columns",
         cells,
     )
     return joined.select(
@@ -183,13 +173,22 @@ def broker_commissions(
     links = pair_join(persons, agents, PERSON_ON, key_mode, person_cells).select(
         F.col("r.cod_agente"), F.col("r.cod_tipo_agente")
     )
+    # Parsed where they are stored, held to be numbers once they have joined.
+    commissions = commissions.select(
+        "cod_agente",
+        "cod_tipo_agente",
+        "pje_comision",
+        checked_int(F.col("cod_producto")).alias("_ProductoComercialID"),
+        checked_int(F.col("cod_ramo")).alias("_RamoComercialID"),
+    )
     if position:
         commissions = skew.with_position(commissions)
     joined = pair_join(commissions, links, AGENT_ON, key_mode, agent_cells)
     return joined.select(
         F.col("r.cod_agente").alias("AgenteID"),
-        *_commission_columns("l"),
-        *_carried(commissions, "l"),
+        F.col("l.pje_comision").alias("PorcentajeComision"),
+        *(required(F.col(f"l._{name}"), name).alias(name) for name, _ in reversed(PRODUCT_ON)),
+        *([F.col(f"l.{skew.POSITION}")] if position else []),
     )
 
 

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granero.functions.keys import text_key
-from granero.functions.numbers import trunc_int, trunc_int_or_zero
+from granero.functions.numbers import checked_int, required, trunc_int, trunc_int_or_zero
 from granero.functions.text import default_missing
 from granero.operators import skew
-from granero.operators.pairs import pair_join
+from granero.operators.pairs import carried, pair_join
 from granero.operators.project import rename
 from granero.sinks.targets import PRODUCTO
 
@@ -25,10 +25,6 @@ BRIDGE_ON = [("cod_ramo", "cod_ramo_com"), ("nuevo_cod_producto", "cod_producto_
 PLAN_ON = [("cod_ramo", "cod_ramo"), ("cod_producto", "cod_producto_tec")]
 
 
-def _carried(df: DataFrame, side: str) -> list:
-    return [F.col(f"{side}.{skew.POSITION}")] if skew.POSITION in df.columns else []
-
-
 def product_bridge(
     products: DataFrame,
     bridge: DataFrame,
@@ -47,7 +43,8 @@ def product_bridge(
         default_missing(F.col("r.cod_ramo_com"), NO_BRANCH).alias("cod_ramo_com"),
         F.col("l.nuevo_cod_producto"),
         F.col("l.nuevo_txt_desc"),
-        *_carried(bridge, "r"),
+        *carried(products, "l"),
+        *carried(bridge, "r"),
     )
 
 
@@ -71,6 +68,8 @@ def plan_products(
         F.col("r.nuevo_txt_desc").alias("ProductoComercial"),
         F.lit(0).alias("EstadoHabilitado"),
         F.col("l.cod_suc").alias("SucursalRamoComercialID"),
+        *carried(plans, "l"),
+        *carried(bridged.drop(skew.POSITION), "r"),
     )
 
 
@@ -113,4 +112,31 @@ def producto_load(
     The tables may be any edition of the three sources; which ones is up to the
     caller.
     """
-    return PRODUCTO.rows(product_rows(tables, key_mode, policy))
+    numbers = {
+        "te_producto_cial": {"ProductoComercialID": F.col("cod_producto")},
+        "te_producto_tec_cial": {
+            "RamoComercialID": default_missing(F.col("cod_ramo_com"), NO_BRANCH)
+        },
+        "tiso_producto": {
+            "RamoPlanId": F.col("cod_ramo"),
+            "PlanTecnicoID": F.col("cod_producto"),
+            "SucursalRamoComercialID": F.col("cod_suc"),
+        },
+    }
+    # Parsed where they are stored, held to be numbers once they have joined.
+    parsed = {
+        table: tables[table].withColumns(
+            {f"_{name}": checked_int(value, missing=0) for name, value in columns.items()}
+        )
+        for table, columns in numbers.items()
+    }
+    rows = product_rows(parsed, key_mode, policy)
+    return PRODUCTO.rows(
+        rows.withColumns(
+            {
+                name: required(F.col(f"_{name}"), name)
+                for columns in numbers.values()
+                for name in columns
+            }
+        )
+    )

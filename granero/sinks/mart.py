@@ -11,7 +11,7 @@ from granero.operators.numbering import surrogate_ids
 from granero.operators.upsert import one_per_key, upsert
 from granero.sinks.targets import Target
 from granero.sources.folders import join_path
-from granero.sources.manifest import Manifest, utc_now
+from granero.sources.manifest import Entry, Manifest, utc_now
 
 BATCH = "batch"
 
@@ -37,28 +37,30 @@ class ParquetMart:
     def _write(self, rows: DataFrame, folder: str, batch_id: str) -> None:
         rows.write.mode("overwrite").parquet(join_path(folder, f"{BATCH}={batch_id}"))
 
+    def _current(self, target: Target) -> Entry | None:
+        return self.manifest.newest([target.name]).get(target.name)
+
+    def _publish(self, target: Target, folder: str) -> None:
+        self.manifest.add([Entry(target.name, folder, target.schema.json(), utc_now())])
+
     def read(self, target: Target) -> DataFrame:
-        entry = self.manifest.newest(target.name)
-        if entry is None:
-            return self.spark.createDataFrame([], target.schema)
-        return (
-            self.spark.read.schema(target.schema).parquet(entry.path).select(*target.schema.names)
-        )
+        entry = self._current(target)
+        return entry.read(self.spark) if entry else self.spark.createDataFrame([], target.schema)
 
     def append(self, target: Target, rows: DataFrame, batch_id: str | None = None) -> None:
         """Add insert-ready rows; a generated id goes on after the largest stored."""
         batch_id = batch_id or uuid.uuid4().hex
         if target.generated:
             rows = self._with_ids(target, rows, batch_id)
-        entry = self.manifest.newest(target.name)
+        entry = self._current(target)
         folder = entry.path if entry else self._new_folder(target)
         self._write(rows.select(*target.schema.names), folder, batch_id)
         if entry is None:
-            self.manifest.add(target.name, folder, utc_now())
+            self._publish(target, folder)
 
     def _with_ids(self, target: Target, rows: DataFrame, batch_id: str) -> DataFrame:
         # Ids of a batch that is about to be replaced are not counted.
-        entry = self.manifest.newest(target.name)
+        entry = self._current(target)
         last = 0
         if entry:
             stored = self.spark.read.schema(target.schema.add(BATCH, "string")).parquet(entry.path)
@@ -74,7 +76,7 @@ class ParquetMart:
             rows = surrogate_ids(rows, order, target.generated)
         folder = self._new_folder(target)
         self._write(rows.select(*target.schema.names), folder, uuid.uuid4().hex)
-        self.manifest.add(target.name, folder, utc_now())
+        self._publish(target, folder)
 
     def upsert(self, target: Target, rows: DataFrame) -> None:
         """Insert insert-ready rows or update those whose key is stored."""
@@ -82,4 +84,4 @@ class ParquetMart:
         merged = upsert(self.read(target), one_per_key(rows, keys, updates), keys, updates)
         folder = self._new_folder(target)
         self._write(merged, folder, uuid.uuid4().hex)
-        self.manifest.add(target.name, folder, utc_now())
+        self._publish(target, folder)

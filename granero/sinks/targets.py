@@ -33,10 +33,14 @@ class Field:
     convert: str | None = None
     constant: int | None = None
 
-    def column(self) -> Column:
+    def column(self, row: T.StructType) -> Column:
         if self.source is None:
-            return F.lit(self.constant).cast(self.type).alias(self.name)
-        return CONVERSIONS[self.convert](F.col(self.source)).cast(self.type).alias(self.name)
+            value = F.lit(self.constant)
+        elif self.convert == "int" and row[self.source].dataType == T.IntegerType():
+            value = F.coalesce(F.col(self.source), F.lit(0))
+        else:
+            value = CONVERSIONS[self.convert](F.col(self.source))
+        return value.cast(self.type).alias(self.name)
 
 
 @dataclass(frozen=True)
@@ -54,7 +58,7 @@ class Target:
 
     def rows(self, df: DataFrame) -> DataFrame:
         """Rows ready to be inserted, in the target's column order and types."""
-        return df.select(*(field.column() for field in self.fields))
+        return df.select(*(field.column(df.schema) for field in self.fields))
 
     @property
     def columns(self) -> list[str]:

@@ -2,21 +2,44 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterable
+from dataclasses import astuple, dataclass
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from granero.sources.folders import join_path
 
-SCHEMA = "name string, path string, created_at timestamp, expires_at timestamp, row_count bigint"
+SCHEMA = (
+    "name string, path string, columns string, created_at timestamp, expires_at timestamp, "
+    "row_count bigint"
+)
 
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+@dataclass(frozen=True)
+class Entry:
+    """A complete copy of a table; ``columns`` is its schema as JSON."""
+
+    name: str
+    path: str
+    columns: str
+    created_at: datetime
+    expires_at: datetime | None = None
+    row_count: int | None = None
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(self.columns))
+        return spark.read.schema(schema).parquet(self.path).select(*schema.names)
+
+
 class Manifest:
     """Entries are only ever added, after the data they point to is complete."""
 
@@ -32,24 +55,22 @@ class Manifest:
                 raise
             return self.spark.createDataFrame([], SCHEMA)
 
-    def add(
-        self,
-        name: str,
-        path: str,
-        created_at: datetime,
-        expires_at: datetime | None = None,
-        row_count: int | None = None,
-    ) -> None:
-        row = [(name, path, created_at, expires_at, row_count)]
-        self.spark.createDataFrame(row, SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
-
-    def newest(self, name: str, now: datetime | None = None) -> Row | None:
-        """The latest entry of ``name`` that has not expired at ``now``."""
-        moment = F.lit(now or utc_now())
-        live = F.col("expires_at").isNull() | (F.col("expires_at") > moment)
-        return (
+    def add(self, entries: Iterable[Entry]) -> None:
+        rows = self.spark.createDataFrame([astuple(entry) for entry in entries], SCHEMA)
+        rows.coalesce(1).write.mode("append").parquet(self.path)
+
+    def newest(self, names: Iterable[str], now: datetime | None = None) -> dict[str, Entry]:
+        """The latest entry of each name that has not expired at ``now``."""
+        live = F.col("expires_at").isNull() | (F.col("expires_at") > F.lit(now or utc_now()))
+        fields = list(Entry.__annotations__)
+        others = [field for field in fields if field != "created_at"]
+        latest = (
             self.entries()
-            .where((F.col("name") == name) & live)
-            .orderBy(F.desc("created_at"))
-            .first()
+            .where(F.col("name").isin(list(names)) & live)
+            .groupBy("name")
+            .agg(F.max(F.struct("created_at", *others)).alias("entry"))
         )
+        return {
+            found["name"]: Entry(*(found["entry"][field] for field in fields))
+            for found in latest.collect()
+        }

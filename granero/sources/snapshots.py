@@ -2,31 +2,44 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granero.sources.folders import delete, join_path
-from granero.sources.manifest import Manifest, utc_now
+from granero.sources.manifest import Entry, Manifest, utc_now
 
 # Name suffix and lifetime of a snapshot.
 SUFFIX = "_snapshot"
 LIFETIME = timedelta(days=7)
 
 
+def _copy_name(table: str) -> str:
+    return table + SUFFIX
+
+
 class SnapshotStore:
     """Snapshots under one folder.
 
     ``if_exists`` says what happens while a table has an unexpired snapshot:
     ``"error"`` stops, ``"reuse"`` keeps reading the old copy, ``"new"`` takes a
-    newer one, which later reads prefer.
+    newer one, which later reads prefer. ``at_once`` tables are copied side by
+    side, and none is visible before all are complete.
     """
 
-    def __init__(self, spark: SparkSession, base: str, lifetime: timedelta = LIFETIME):
+    def __init__(
+        self,
+        spark: SparkSession,
+        base: str,
+        lifetime: timedelta = LIFETIME,
+        at_once: int = 4,
+    ):
         self.spark = spark
         self.base = base
         self.lifetime = lifetime
+        self.at_once = at_once
         self.manifest = Manifest(spark, base)
 
     def take(
@@ -39,25 +52,38 @@ class SnapshotStore:
         if if_exists not in ("error", "reuse", "new"):
             raise ValueError(f"if_exists must be 'error', 'reuse' or 'new', not {if_exists!r}")
         now = now or utc_now()
-        if if_exists == "error":
-            present = [name for name in tables if self.manifest.newest(name + SUFFIX, now)]
-            if present:
-                raise FileExistsError(f"unexpired snapshots exist: {', '.join(present)}")
-        for name, table in tables.items():
-            if if_exists == "reuse" and self.manifest.newest(name + SUFFIX, now):
-                continue
-            path = join_path(self.base, name + SUFFIX, now.strftime("%Y%m%dT%H%M%S%f"))
-            table.write.parquet(path)
-            rows = self.spark.read.schema(table.schema).parquet(path).count()
-            self.manifest.add(name + SUFFIX, path, now, now + self.lifetime, rows)
-        return {name: self.read(name, now) for name in tables}
+        found = {} if if_exists == "new" else self.manifest.newest(map(_copy_name, tables), now)
+        if found and if_exists == "error":
+            raise FileExistsError(f"unexpired snapshots exist: {', '.join(sorted(found))}")
+        missing = {name: table for name, table in tables.items() if _copy_name(name) not in found}
+        with ThreadPoolExecutor(self.at_once) as pool:
+            written = list(
+                pool.map(lambda item: self._freeze(item[0], item[1], now), missing.items())
+            )
+        if written:
+            self.manifest.add(written)
+        return self.read_all(list(tables), now)
+
+    def _freeze(self, name: str, table: DataFrame, now: datetime) -> Entry:
+        path = join_path(self.base, _copy_name(name), now.strftime("%Y%m%dT%H%M%S%f"))
+        table.write.parquet(path)
+        rows = self.spark.read.schema(table.schema).parquet(path).count()
+        return Entry(
+            _copy_name(name), path, table.schema.json(), now, now + self.lifetime, rows
+        )
+
+    def read_all(self, names: list[str], now: datetime | None = None) -> dict[str, DataFrame]:
+        """The newest unexpired copy of each table."""
+        found = self.manifest.newest(map(_copy_name, names), now)
+        lacking = [name for name in names if _copy_name(name) not in found]
+        if lacking:
+            raise FileNotFoundError(
+                f"no unexpired snapshot under {self.base} of: {', '.join(lacking)}"
+            )
+        return {name: found[_copy_name(name)].read(self.spark) for name in names}
 
     def read(self, name: str, now: datetime | None = None) -> DataFrame:
-        """The newest unexpired copy of a table."""
-        entry = self.manifest.newest(name + SUFFIX, now)
-        if entry is None:
-            raise FileNotFoundError(f"no unexpired snapshot of {name} under {self.base}")
-        return self.spark.read.parquet(entry.path)
+        return self.read_all([name], now)[name]
 
     def purge(self, now: datetime | None = None) -> list[str]:
         """Delete the folders of expired snapshots; returns those deleted."""

@@ -29,13 +29,22 @@ SOURCE_COLUMNS = {
 
 
 def scan(
-    spark: SparkSession, source: str, columns: list[str] | None = None, format: str = "parquet"
+    spark: SparkSession,
+    source: str,
+    columns: list[str] | None = None,
+    format: str = "parquet",
+    schema: str | None = None,
 ) -> DataFrame:
     """Whole table at a path, or of the catalog with ``format="table"``.
 
-    ``columns`` reaches the file scan, so other columns are not read.
+    ``columns`` reaches the file scan, so other columns are not read. A declared
+    ``schema`` saves the job that would look it up in the files.
     """
-    df = spark.table(source) if format == "table" else spark.read.format(format).load(source)
+    if format == "table":
+        df = spark.table(source)
+    else:
+        reader = spark.read.format(format)
+        df = (reader.schema(schema) if schema else reader).load(source)
     return df.select(*columns) if columns else df
 
 
