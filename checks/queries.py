@@ -248,9 +248,8 @@ def j6_person_broker(spark, sf_dir):
 
 @query
 def j7_product_broker(spark, sf_dir):
-    tables = source_tables(spark, sf_dir)
     return broker.product_brokers(
-        _stored_products(spark, sf_dir), broker.broker_commissions(tables)
+        _stored_products(spark, sf_dir), j6_person_broker(spark, sf_dir)
     )
 
 

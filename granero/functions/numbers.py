@@ -87,4 +87,9 @@ def trunc_int_or_zero(value: Column) -> Column:
 
 def scaled_div(value: Column, unit: int = COMMISSION_UNIT) -> Column:
     """Strict parse, then whole-number division toward zero; null gives 0."""
-    return F.call_function("div", trunc_int(value, null="zero"), F.lit(unit)).cast("int")
+    return scaled_int(trunc_int(value, null="zero"), unit)
+
+
+def scaled_int(number: Column, unit: int = COMMISSION_UNIT) -> Column:
+    """Whole-number division of an int, toward zero."""
+    return F.call_function("div", number, F.lit(unit)).cast("int")

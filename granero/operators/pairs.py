@@ -18,6 +18,11 @@ def _all(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
+def _check_mode(key_mode: str) -> None:
+    if key_mode not in ("text", "columns"):
+        raise ValueError(f"key_mode must be 'text' or 'columns', not {key_mode!r}")
+
+
 def carried(df: DataFrame, side: str) -> list[Column]:
     """Columns of a join side that travel along: those with a leading underscore."""
     return [F.col(f"{side}.{name}") for name in df.columns if name.startswith("_")]
@@ -36,7 +41,6 @@ def pair_join(
     on: list[tuple[str, str]],
     key_mode: str = "text",
     cells: skew.Cells | None = None,
-    how: str = "inner",
 ) -> DataFrame:
     """Every left row with every right row of the same key (a bag).
 
@@ -49,10 +53,7 @@ def pair_join(
     ``cells`` splits hot keys (see ``skew``). A side that is to be split must
     come from storage or carry positions taken there.
     """
-    if key_mode not in ("text", "columns"):
-        raise ValueError(f"key_mode must be 'text' or 'columns', not {key_mode!r}")
-    if cells and how != "inner":
-        raise ValueError("only an inner join can be split")
+    _check_mode(key_mode)
     left = left.withColumn(KEY, text_key(*(F.col(name) for name, _ in on)))
     right = right.withColumn(KEY, text_key(*(F.col(name) for _, name in on)))
     if cells:
@@ -64,7 +65,25 @@ def pair_join(
         conditions = [_same_part(left, right, a, b) for a, b in on]
     if cells:
         conditions += [F.col(f"l.{name}") == F.col(f"r.{name}") for name in ("_row", "_column")]
-    return left.alias("l").join(right.alias("r"), _all(conditions), how)
+    return left.alias("l").join(right.alias("r"), _all(conditions))
+
+
+def matched(
+    left: DataFrame, right: DataFrame, on: list[tuple[str, str]], key_mode: str = "text"
+) -> DataFrame:
+    """The left rows whose key some right row has, each once.
+
+    The right side shrinks to its distinct keys before it is shuffled, so a key
+    that very many right rows share costs one row per task.
+    """
+    _check_mode(key_mode)
+    if key_mode == "text":
+        keys = right.select(text_key(*(F.col(name) for _, name in on)).alias(KEY)).distinct()
+        keyed = left.withColumn(KEY, text_key(*(F.col(name) for name, _ in on)))
+        return keyed.join(keys, KEY, "left_semi").drop(KEY)
+    keys = right.select(*(name for _, name in on)).distinct()
+    conditions = [_same_part(left, keys, a, b) for a, b in on]
+    return left.alias("l").join(keys.alias("r"), _all(conditions), "left_semi")
 
 
 def group_sizes(left: DataFrame, right: DataFrame, on: list[tuple[str, str]]) -> DataFrame:

@@ -9,7 +9,7 @@ from granero.functions.keys import text_key
 from granero.functions.numbers import checked_int, required, trunc_int, trunc_int_or_zero
 from granero.functions.text import full_name, split_dv
 from granero.operators import skew
-from granero.operators.pairs import pair_join
+from granero.operators.pairs import matched, pair_join
 from granero.operators.upsert import one_per_key
 from granero.sinks.targets import CORREDOR, PRODUCTO_CORREDOR
 from granero.sources.tables import SOURCE_COLUMNS
@@ -112,9 +112,8 @@ def corredor_load(
     copies go before the persons are joined. Of several rows of a key the
     greatest check digit, then the greatest name, is kept.
     """
-    paid = tables["te_producto_cial_comis"].select(*(name for name, _ in AGENT_ON)).distinct()
     agents = (
-        pair_join(tables["magente"], paid, AGENT_ON, key_mode, how="left_semi")
+        matched(tables["magente"], tables["te_producto_cial_comis"], AGENT_ON, key_mode)
         .select("cod_agente", "id_persona")
         .distinct()
     )
@@ -148,11 +147,13 @@ def broker_commissions(
     policy: skew.SkewPolicy | None = skew.SkewPolicy(),
     position: bool = False,
 ) -> DataFrame:
-    """``person_brokers`` over ``commission_agents``, without the person's columns.
+    """``person_brokers`` over ``commission_agents``, as far as products need it.
 
     Agents and persons, both far smaller than the commissions, are joined first,
-    so the commissions are shuffled once instead of twice. The pairs are the
-    same.
+    so the commissions are shuffled once instead of twice; the pairs are the
+    same. Numbers are parsed where they are stored and travel as ints. The
+    agent's id and the commission are null where they are no number, which
+    matters only for rows that find a product.
     """
     commissions, agents = tables["te_producto_cial_comis"], tables["magente"]
     persons = tables["mpersona"].select("id_persona")
@@ -170,14 +171,14 @@ def broker_commissions(
         person_cells = skew.cells(counts["person"], counts["agent"], policy)
         # Links are not stored, so only the commissions of a key are dealt out.
         agent_cells = skew.cells(counts["commission"], {}, policy)
+    agents = agents.withColumn("_AgenteID", checked_int(F.col("cod_agente"), missing=0))
     links = pair_join(persons, agents, PERSON_ON, key_mode, person_cells).select(
-        F.col("r.cod_agente"), F.col("r.cod_tipo_agente")
+        F.col("r.cod_agente"), F.col("r.cod_tipo_agente"), F.col("r._AgenteID")
     )
-    # Parsed where they are stored, held to be numbers once they have joined.
     commissions = commissions.select(
         "cod_agente",
         "cod_tipo_agente",
-        "pje_comision",
+        checked_int(F.col("pje_comision"), missing=0).alias("_PorcentajeComision"),
         checked_int(F.col("cod_producto")).alias("_ProductoComercialID"),
         checked_int(F.col("cod_ramo")).alias("_RamoComercialID"),
     )
@@ -185,9 +186,9 @@ def broker_commissions(
         commissions = skew.with_position(commissions)
     joined = pair_join(commissions, links, AGENT_ON, key_mode, agent_cells)
     return joined.select(
-        F.col("r.cod_agente").alias("AgenteID"),
-        F.col("l.pje_comision").alias("PorcentajeComision"),
-        *(required(F.col(f"l._{name}"), name).alias(name) for name, _ in reversed(PRODUCT_ON)),
+        F.col("r._AgenteID").alias("AgenteID"),
+        F.col("l._PorcentajeComision").alias("PorcentajeComision"),
+        *(required(F.col(f"l._{name}"), name).alias(name) for name, _ in PRODUCT_ON),
         *([F.col(f"l.{skew.POSITION}")] if position else []),
     )
 
@@ -220,4 +221,6 @@ def producto_corredor_load(
         )
         cells = skew.cells(counts["product"], counts["commission"], policy)
     brokers = broker_commissions(tables, key_mode, policy, position=bool(cells))
-    return PRODUCTO_CORREDOR.rows(product_brokers(producto, brokers, cells))
+    linked = product_brokers(producto, brokers, cells)
+    numbers = {name: required(F.col(name), name) for name in ("AgenteID", "PorcentajeComision")}
+    return PRODUCTO_CORREDOR.rows(linked.withColumns(numbers))

@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granero.functions.numbers import scaled_div, trunc_int, trunc_int_or_zero
+from granero.functions.numbers import scaled_div, scaled_int, trunc_int, trunc_int_or_zero
+
+INT = T.IntegerType()
+TEXT = T.StringType()
 
 CONVERSIONS: dict[str, Callable[[Column], Column]] = {
     "int": lambda value: trunc_int(value, null="zero"),
@@ -19,6 +22,14 @@ CONVERSIONS: dict[str, Callable[[Column], Column]] = {
 }
 
 
+# The same for a column that is an int already.
+TYPED_CONVERSIONS: dict[str, Callable[[Column], Column]] = {
+    "int": lambda value: F.coalesce(value, F.lit(0)),
+    "lenient_int": lambda value: F.coalesce(value, F.lit(0)),
+    "scaled_int": lambda value: scaled_int(F.coalesce(value, F.lit(0))),
+}
+
+
 @dataclass(frozen=True)
 class Field:
     """A target column.
@@ -36,10 +47,10 @@ class Field:
     def column(self, row: T.StructType) -> Column:
         if self.source is None:
             value = F.lit(self.constant)
-        elif self.convert == "int" and row[self.source].dataType == T.IntegerType():
-            value = F.coalesce(F.col(self.source), F.lit(0))
         else:
-            value = CONVERSIONS[self.convert](F.col(self.source))
+            typed = row[self.source].dataType == INT and self.convert in TYPED_CONVERSIONS
+            conversions = TYPED_CONVERSIONS if typed else CONVERSIONS
+            value = conversions[self.convert](F.col(self.source))
         return value.cast(self.type).alias(self.name)
 
 
@@ -72,9 +83,6 @@ class Target:
         return T.StructType(fields)
 
 
-INT = T.IntegerType()
-TEXT = T.StringType()
-
 PRODUCTO = Target(
     "Producto",
     (

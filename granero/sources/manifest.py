@@ -56,8 +56,20 @@ class Manifest:
             return self.spark.createDataFrame([], SCHEMA)
 
     def add(self, entries: Iterable[Entry]) -> None:
-        rows = self.spark.createDataFrame([astuple(entry) for entry in entries], SCHEMA)
-        rows.coalesce(1).write.mode("append").parquet(self.path)
+        types = T.StructType.fromDDL(SCHEMA)
+        rows = F.array(
+            *(
+                F.struct(
+                    *(
+                        F.lit(value).cast(field.dataType).alias(field.name)
+                        for value, field in zip(astuple(entry), types)
+                    )
+                )
+                for entry in entries
+            )
+        )
+        table = self.spark.range(1, numPartitions=1).select(F.inline(rows))
+        table.write.mode("append").parquet(self.path)
 
     def newest(self, names: Iterable[str], now: datetime | None = None) -> dict[str, Entry]:
         """The latest entry of each name that has not expired at ``now``."""
