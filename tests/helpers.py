@@ -1,0 +1,16 @@
+from collections import Counter
+
+from pyspark.sql import DataFrame
+
+
+def bag(df: DataFrame) -> Counter:
+    columns = sorted(df.columns)
+    return Counter(tuple(row) for row in df.select(*columns).collect())
+
+
+def column(df: DataFrame, name: str) -> list:
+    return [row[name] for row in df.select(name).collect()]
+
+
+def plan(df: DataFrame) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()

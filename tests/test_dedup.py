@@ -1,0 +1,101 @@
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+
+from granero.plans.coverage import cobertura_load, coverages, product_coverages, tariff_pairs
+from tests.helpers import bag
+
+
+def tables(spark, plans, texts):
+    return {
+        "ttarifa_producto": spark.createDataFrame(
+            plans, "cod_tarifa string, cod_ramo string, cod_producto string"
+        ),
+        "ttarifa": spark.createDataFrame(texts, "cod_tarifa string, txt_desc string"),
+    }
+
+
+def rows(df):
+    return Counter(
+        (row.CoberturaID, row.Cobertura, row.RamoPlanID, row.PlanTecnicoID) for row in df.collect()
+    )
+
+
+def walked(plans, texts):
+    """The walk over a group, row by row, in the stated order."""
+    out = Counter()
+    for tariff in {plan[0] for plan in plans} - {None}:
+        group = sorted(
+            (int(float(ramo or "0")), plan or "0") for key, ramo, plan in plans if key == tariff
+        )
+        seen = set()
+        for ramo, plan in group:
+            for key, text in texts:
+                if key == tariff and (text or "") not in seen:
+                    seen.add(text or "")
+                    out[(tariff, text or "", ramo, plan)] += 1
+    return out
+
+
+def test_one_plan_per_tariff(spark):
+    plans = [("1", "2.0", "B"), ("1", "1.0", "A"), ("2", "1", "C"), (None, "1", "D")]
+    texts = [("1", "x"), ("1", "x"), ("1", None), ("1", ""), ("3", "y"), (None, "z")]
+    got = rows(coverages(tables(spark, plans, texts)))
+    assert got == {("1", "x", 1, "A"): 1, ("1", "", 1, "A"): 1}
+
+
+def test_every_plan_on_request(spark):
+    plans = [("1", "2.0", "B"), ("1", "1.0", "A"), ("1", "1.0", "A")]
+    got = rows(coverages(tables(spark, plans, [("1", "x"), ("1", "x")]), per="product"))
+    assert got == {("1", "x", 1, "A"): 1, ("1", "x", 2, "B"): 1}
+
+
+def test_pairs_keep_repeats(spark):
+    plans = [("1", "1", "A"), ("1", "1", "A")]
+    got = rows(tariff_pairs(tables(spark, plans, [("1", "x"), ("1", "x")])))
+    assert got == {("1", "x", 1, "A"): 4}
+
+
+def test_missing_plan_counts_as_zero(spark):
+    got = rows(coverages(tables(spark, [("1", None, None)], [("1", "x")])))
+    assert got == {("1", "x", 0, "0"): 1}
+
+
+def test_junk_branch_comes_last_and_fails_if_it_is_the_only_one(spark):
+    plans = [("1", "K", "A"), ("1", "5", "B")]
+    assert rows(coverages(tables(spark, plans, [("1", "x")]))) == {("1", "x", 5, "B"): 1}
+    with pytest.raises(PySparkException):
+        coverages(tables(spark, plans[:1], [("1", "x")])).collect()
+
+
+def test_insert_ready_coverage(spark):
+    got = cobertura_load(coverages(tables(spark, [("7.0", "1", "A")], [("7.0", None)])))
+    assert [tuple(row) for row in got.collect()] == [(None, 7, "")]
+
+
+def test_product_coverage_compares_raw_plan_text(spark):
+    producto = spark.createDataFrame(
+        [(1, 3, 5), (2, 3, 5), (3, 0, 0)], "ProductoId int, RamoPlanID int, PlanTecnicoID int"
+    )
+    plans = [("1", "3.0", "5"), ("2", "3", "5.0"), ("4", None, None)]
+    covered = coverages(tables(spark, plans, [("1", "x"), ("1", "y"), ("2", "z"), ("4", "w")]))
+    got = bag(product_coverages(producto, covered))
+    assert got == {("1", 1): 2, ("1", 2): 2, ("4", 3): 1}
+
+
+tariffs = st.sampled_from(["1", "2", None])
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.tuples(tariffs, st.sampled_from(["1", "2.5", None]), st.sampled_from(["a", "b", None])),
+        max_size=8,
+    ),
+    st.lists(st.tuples(tariffs, st.sampled_from(["x", "y", "", None])), max_size=8),
+)
+def test_reduced_join_equals_the_walk(spark, plans, texts):
+    assert rows(coverages(tables(spark, plans, texts))) == walked(plans, texts)

@@ -1,0 +1,70 @@
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from granero.operators.numbering import group_counter, surrogate_ids
+from tests.helpers import bag
+
+
+def people(spark, rows=5000):
+    return spark.range(rows).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 7).alias("k"),
+        (F.col("id") * 7919 % rows).alias("v"),
+    )
+
+
+def order(*names):
+    return [F.col(name).asc_nulls_first() for name in names]
+
+
+def test_ids_equal_a_global_row_number(spark):
+    df = people(spark).repartition(6)
+    expected = df.withColumn(
+        "n", F.row_number().over(Window.orderBy(*order("k", "v"))).cast("int")
+    )
+    assert bag(surrogate_ids(df, order("k", "v"), "n")) == bag(expected)
+
+
+def test_ids_start_where_told_and_have_no_gap(spark):
+    ids = surrogate_ids(people(spark, 100), order("k", "v"), "n", start_at=11)
+    assert sorted(row.n for row in ids.collect()) == list(range(11, 111))
+
+
+def test_ids_of_no_rows(spark):
+    assert surrogate_ids(people(spark, 0), order("k", "v"), "n").count() == 0
+
+
+def test_ids_do_not_change_when_read_again(spark):
+    ids = surrogate_ids(people(spark), order("k", "v"), "n")
+    assert bag(ids) == bag(ids)
+
+
+def test_copies_of_one_row_spread_over_tasks(spark):
+    df = people(spark, 6000).withColumn("v", F.lit(1)).withColumn("k", F.lit(2))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ids = surrogate_ids(df, order("k", "v"), "n")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = ids.groupBy(F.input_file_name().alias("f")).count().collect()
+    assert len(files) == 8
+    assert sorted(row.n for row in ids.collect()) == list(range(1, 6001))
+
+
+def test_group_counter_equals_a_window_even_across_partitions(spark):
+    df = people(spark)
+    expected = df.withColumn(
+        "n", F.row_number().over(Window.partitionBy("k").orderBy(*order("v"))).cast("int")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        counted = group_counter(df, ["k"], order("v"), "n")
+        assert bag(counted) == bag(expected)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_no_window_gathers_a_whole_key(spark):
+    from tests.helpers import plan
+
+    text = plan(group_counter(people(spark), ["k"], order("v"), "n"))
+    assert "SinglePartition" not in text
