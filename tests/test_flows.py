@@ -1,0 +1,236 @@
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from checks.adapters import ADAPTERS, source_tables
+from granero.operators.upsert import one_per_key
+from granero.plans import broker, coverage, product
+from granero.plans.product import PRODUCT_NAMES
+from granero.operators.project import rename
+from granero.session import settings
+from granero.sinks.targets import CORREDOR, PRODUCTO_CORREDOR
+from granero.sources.jdbc import read_back
+from granero.sources.staging import stage
+from granero.operators.numbering import surrogate_ids
+from granero.sinks.targets import PRODUCTO
+from tests.helpers import bag, plan
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    lazy = source_tables(spark, "/root/testdata/sf0.001")
+    return {name: lazy[name] for name in ADAPTERS}
+
+
+def numbered(rows):
+    order = [F.col(name).asc_nulls_first() for name in PRODUCTO.columns]
+    return read_back(surrogate_ids(rows, order, "ProductoId"))
+
+
+def late_brokers(tables):
+    paid = broker.commission_agents(tables["te_producto_cial_comis"], tables["magente"])
+    return broker.person_brokers(tables["mpersona"], paid)
+
+
+def test_brokers_from_distinct_agents_equal_those_from_all_commissions(tables):
+    late = one_per_key(
+        CORREDOR.rows(late_brokers(tables)), list(CORREDOR.keys), list(CORREDOR.updates)
+    )
+    assert bag(broker.corredor_load(tables)) == bag(late)
+
+
+def test_commissions_joined_last_equal_those_joined_first(tables):
+    producto = numbered(product.producto_load(tables))
+    late = PRODUCTO_CORREDOR.rows(broker.product_brokers(producto, late_brokers(tables)))
+    assert bag(broker.producto_corredor_load(tables, producto)) == bag(late)
+
+
+def test_modes_agree(tables):
+    producto = numbered(product.producto_load(tables))
+    for load in (
+        lambda mode: broker.corredor_load(tables, mode),
+        lambda mode: broker.producto_corredor_load(tables, producto, mode),
+        lambda mode: coverage.producto_cobertura_load(
+            producto, coverage.coverages(tables), mode, policy=None
+        ),
+    ):
+        assert bag(load("text")) == bag(load("columns"))
+
+
+def test_result_does_not_depend_on_partitions(tables):
+    shuffled = {name: table.repartition(5) for name, table in tables.items()}
+    assert bag(coverage.coverages(shuffled)) == bag(coverage.coverages(tables))
+    assert bag(broker.corredor_load(shuffled)) == bag(broker.corredor_load(tables))
+    assert bag(numbered(product.producto_load(shuffled))) == bag(
+        numbered(product.producto_load(tables))
+    )
+
+
+def people(spark, commissions, agents, persons):
+    return {
+        "te_producto_cial_comis": spark.createDataFrame(
+            commissions,
+            "cod_agente string, cod_tipo_agente string, pje_comision string,"
+            " cod_producto string, cod_ramo string",
+        ),
+        "magente": spark.createDataFrame(
+            agents, "cod_agente string, cod_tipo_agente string, id_persona string"
+        ),
+        "mpersona": spark.createDataFrame(
+            persons,
+            "id_persona string, nro_nit string, txt_nombre string, txt_apellido1 string,"
+            " txt_apellido2 string",
+        ),
+    }
+
+
+ONE_PRODUCT = "ProductoId int, RamoComercialID int, ProductoComercialID int, EstadoHabilitado int"
+
+
+def test_link_takes_the_agents_id(spark):
+    tables = people(
+        spark,
+        [("7", "1", "12999999", "20.0", "1"), ("7", "1", None, "20", "1")],
+        [("7", "1", "p")],
+        [("p", "1234", "ana", None, None)],
+    )
+    producto = spark.createDataFrame([(99, 1, 20, 0)], ONE_PRODUCT)
+    rows = sorted(tuple(row) for row in broker.producto_corredor_load(tables, producto).collect())
+    assert rows == [(99, 7, 0, 0, None), (99, 7, 12, 0, None)]
+    assert [tuple(row) for row in broker.corredor_load(tables).collect()] == [
+        (7, 123, 4, "ANA  ")
+    ]
+
+
+def test_person_without_id_meets_every_agent_without_one(spark):
+    tables = people(
+        spark,
+        [("1", "a", "0", "1", "1"), ("2", "a", "0", "1", "1"), ("3", None, "0", "1", "1")],
+        [("1", "a", None), ("2", "a", None), ("3", None, "x")],
+        [(None, "55K", "n", "m", "o"), (None, "66", "q", "r", "s"), ("y", "77", "t", "u", "v")],
+    )
+    rows = {tuple(row) for row in broker.corredor_load(tables).collect()}
+    assert rows == {
+        (1, 55, 0, "N M O"),
+        (1, 6, 6, "Q R S"),
+        (2, 55, 0, "N M O"),
+        (2, 6, 6, "Q R S"),
+    }
+
+
+def test_broker_ids_that_are_no_number_become_zero(spark):
+    tables = people(
+        spark,
+        [("x", "a", "0", "1", "1")],
+        [("x", "a", "p")],
+        [("p", "1.000.3-9", "n", "m", "o")],
+    )
+    assert [tuple(row) for row in broker.corredor_load(tables).collect()] == [(0, 0, 9, "N M O")]
+
+
+@pytest.mark.parametrize(
+    "commission",
+    [
+        ("7", "1", "K", "20", "1"),
+        ("7", "1", "1", "K", "1"),
+        ("7", "1", "1", None, "1"),
+        ("7", "1", "1", "20", "K"),
+    ],
+)
+def test_bad_commission_fails_only_if_it_joins(spark, commission):
+    agents, persons = [("7", "1", "p")], [("p", "1234", "ana", None, None)]
+    producto = spark.createDataFrame([(99, 1, 20, 0)], ONE_PRODUCT)
+    stranger = ("8", *commission[1:])
+    tables = people(spark, [stranger], agents, persons)
+    assert broker.producto_corredor_load(tables, producto).collect() == []
+    tables = people(spark, [commission], agents, persons)
+    with pytest.raises(PySparkException):
+        broker.producto_corredor_load(tables, producto).collect()
+
+
+def test_bad_commission_value_without_a_product_is_no_error(spark):
+    tables = people(
+        spark, [("7", "1", "K", "21", "1")], [("7", "1", "p")], [("p", "12", "a", "b", "c")]
+    )
+    producto = spark.createDataFrame([(99, 1, 20, 0)], ONE_PRODUCT)
+    assert broker.producto_corredor_load(tables, producto).collect() == []
+
+
+def test_bad_numbers_fail_only_if_they_join_in_a_shuffled_plan_too(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        test_bad_commission_fails_only_if_it_joins(spark, ("7", "1", "1", "K", "1"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_plans_at_scale(spark, tables):
+    """No cross join, no loop join, no one-task exchange, pruned scans."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        producto = numbered(product.producto_load(tables))
+        covered = coverage.coverages(tables)
+        plans = [
+            plan(df)
+            for df in (
+                product.producto_load(tables),
+                coverage.cobertura_load(covered),
+                coverage.producto_cobertura_load(producto, stage(covered)),
+                broker.corredor_load(tables),
+                broker.producto_corredor_load(tables, producto),
+            )
+        ]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for text in plans:
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition", "Python"):
+            assert bad not in text
+    # Two shuffles per join at most, and commissions take one on their way to products.
+    assert plans[0].count("Exchange hashpartitioning") == 4
+    assert plans[4].count("Exchange hashpartitioning") == 6
+    assert "o_totalprice" not in plans[3]
+
+
+def test_single_join_counts_of_the_blueprint(spark):
+    """Row counts with one line number per table, as first surveyed."""
+    sf_dir = "/root/testdata/sf0.001"
+
+    def view(name, condition="true"):
+        adapter = ADAPTERS[name]
+        rows = spark.read.parquet(f"{sf_dir}/{adapter.table}.parquet").where(condition)
+        return rows.selectExpr(*(f"{value} AS {key}" for key, value in adapter.columns.items()))
+
+    tables = {name: view(name) for name in ADAPTERS}
+    tables["te_producto_tec_cial"] = view("te_producto_tec_cial", "l_linenumber = 1")
+    tables["ttarifa_producto"] = view("ttarifa_producto", "l_linenumber = 2")
+    products = rename(tables["te_producto_cial"], PRODUCT_NAMES)
+    bridged = product.product_bridge(products, tables["te_producto_tec_cial"])
+    producto = numbered(product.producto_load(tables))
+    covered = stage(coverage.coverages(tables))
+    paid = broker.commission_agents(tables["te_producto_cial_comis"], tables["magente"])
+    counts = {
+        "J1": bridged,
+        "F1": producto,
+        "F2": coverage.cobertura_load(covered),
+        "F3": coverage.producto_cobertura_load(producto, covered),
+        "J5": paid,
+        "J6": broker.person_brokers(tables["mpersona"], paid),
+        "F4": broker.corredor_load(tables),
+        "F5": broker.producto_corredor_load(tables, producto),
+    }
+    assert {name: df.count() for name, df in counts.items()} == {
+        "J1": 874,
+        "F1": 874,
+        "F2": 197,
+        "F3": 16_888,
+        "J5": 1_500,
+        "J6": 1_334,
+        "F4": 136,
+        "F5": 5_785,
+    }
+
+
+def test_settings():
+    assert settings(10 * 1024**4, cores=8_000)["spark.sql.shuffle.partitions"] == "40960"
+    assert settings(100 * 1024**4, cores=8_000)["spark.sql.shuffle.partitions"] == "50000"
+    assert settings(1024, cores=8)["spark.sql.shuffle.partitions"] == "16"
