@@ -16,7 +16,7 @@ from granero.sinks.targets import (
 )
 from granero.sources.jdbc import read_back
 from granero.sources.snapshots import SnapshotStore
-from granero.sources.staging import stage
+from granero.sources.staging import stage, staging_scope
 
 Tables = dict[str, DataFrame]
 
@@ -33,18 +33,20 @@ def load_mart(
     """Products first; then coverages and brokers with the stored products.
 
     Links are made for every stored product, those of earlier loads included,
-    so loading twice without ``batch_id`` multiplies them.
+    so loading twice without ``batch_id`` multiplies them. What is staged on the way
+    is deleted at the end.
     """
     if snapshots:
         tables = snapshots.take(tables, if_exists)
-    mart.append(PRODUCTO, product.producto_load(tables, key_mode, policy), batch_id)
-    producto = read_back(mart.read(PRODUCTO))
-
-    covered = stage(coverage.coverages(tables))
-    mart.append(COBERTURA, coverage.cobertura_load(covered), batch_id)
-    links = coverage.producto_cobertura_load(producto, covered, key_mode, policy)
-    mart.append(PRODUCTO_COBERTURA, links, batch_id)
-
-    mart.upsert(CORREDOR, broker.corredor_load(tables, key_mode, policy))
-    paid = broker.producto_corredor_load(tables, producto, key_mode, policy)
-    mart.append(PRODUCTO_CORREDOR, paid, batch_id)
+    with staging_scope(mart.spark):
+        mart.append(PRODUCTO, product.producto_load(tables, key_mode, policy), batch_id)
+        producto = read_back(mart.read(PRODUCTO))
+
+        covered = stage(coverage.coverages(tables))
+        mart.append(COBERTURA, coverage.cobertura_load(covered), batch_id)
+        links = coverage.producto_cobertura_load(producto, covered, key_mode, policy)
+        mart.append(PRODUCTO_COBERTURA, links, batch_id)
+
+        mart.upsert(CORREDOR, broker.corredor_load(tables, key_mode, policy))
+        paid = broker.producto_corredor_load(tables, producto, key_mode, policy)
+        mart.append(PRODUCTO_CORREDOR, paid, batch_id)

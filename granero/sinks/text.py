@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def text_dump(df: DataFrame, path: str, files: int = 5) -> None:
-    """Write one JSON object per row into ``files`` text files."""
+def text_dump(df: DataFrame, path: str, files: int | None = None) -> None:
+    """Write one JSON object per row; ``files`` gathers them into that many files.
+
+    Few files means few tasks, which suits small tables only.
+    """
     lines = df.select(F.to_json(F.struct("*")).alias("value"))
-    lines.repartition(files).write.text(path)
+    (lines.repartition(files) if files else lines).write.text(path)

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granero.sources.folders import join_path
+from granero.sources.folders import delete, join_path
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 LOCAL_DIR = "granero.local.staging"
+SCOPE = "granero.staging.scope"
 
 
 def staging_dir(spark: SparkSession) -> str:
@@ -32,7 +35,21 @@ def staging_dir(spark: SparkSession) -> str:
 
 def staging_path(spark: SparkSession) -> str:
     """A fresh path in the staging folder."""
-    return join_path(staging_dir(spark), "granero", uuid.uuid4().hex)
+    scope = spark.conf.get(SCOPE, "") or "kept"
+    return join_path(staging_dir(spark), "granero", scope, uuid.uuid4().hex)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted on leaving, so results must be written by then."""
+    outer = spark.conf.get(SCOPE, "")
+    scope = uuid.uuid4().hex
+    spark.conf.set(SCOPE, scope)
+    try:
+        yield
+    finally:
+        spark.conf.set(SCOPE, outer)
+        delete(spark, join_path(staging_dir(spark), "granero", scope))
 
 
 def stage(df: DataFrame) -> DataFrame:

@@ -2,9 +2,10 @@ from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from granero.sources.snapshots import SnapshotStore
-from granero.sources.staging import stage, staging_dir
+from granero.sources.staging import stage, staging_dir, staging_path, staging_scope
 from granero.sources.tables import scan, scan_sources
 from tests.helpers import bag, plan
 
@@ -101,6 +102,18 @@ def test_stage_keeps_rows_and_types(spark):
     assert bag(staged) == bag(df)
 
 
+def test_scope_deletes_what_was_staged_inside(spark):
+    outside = stage(spark.range(2))
+    with staging_scope(spark):
+        inside = stage(spark.range(3))
+        (file,) = {row[0].rsplit("/", 1)[0] for row in inside.select(F.input_file_name()).collect()}
+        folder = Path(file.removeprefix("file:").replace("///", "/"))
+        assert folder.exists()
+    assert not folder.exists()
+    assert outside.count() == 2
+    assert staging_path(spark) != staging_path(spark)
+
+
 class Session:
     def __init__(self, **settings):
         self.conf = {name.replace("_", "."): value for name, value in settings.items()}
