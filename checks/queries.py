@@ -48,7 +48,7 @@ def _in_order(columns: list[str]) -> list:
 
 
 def _with_ids(rows: DataFrame) -> DataFrame:
-    return surrogate_ids(rows, _in_order(PRODUCTO.columns), "ProductoId")
+    return surrogate_ids(rows, PRODUCTO.order(), "ProductoId")
 
 
 def _stored_products(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,10 +44,11 @@ def key_counts(
     sides: dict[str, tuple[DataFrame, Column]], policy: SkewPolicy
 ) -> dict[str, Counts]:
     """Estimated row counts of the frequent keys of each side, in one job."""
+    # Sampled first, so keys are built for the sample only.
     keys = [
-        df.select(F.lit(side).alias("side"), key.alias("key")).sample(policy.sample, seed=7)
-        if policy.sample < 1
-        else df.select(F.lit(side).alias("side"), key.alias("key"))
+        (df.sample(policy.sample, seed=7) if policy.sample < 1 else df).select(
+            F.lit(side).alias("side"), key.alias("key")
+        )
         for side, (df, key) in sides.items()
     ]
     frequent = (

@@ -12,7 +12,6 @@ from granero.operators import skew
 from granero.operators.pairs import matched, pair_join
 from granero.operators.upsert import one_per_key
 from granero.sinks.targets import CORREDOR, PRODUCTO_CORREDOR
-from granero.sources.tables import SOURCE_COLUMNS
 
 Tables = dict[str, DataFrame]
 
@@ -28,16 +27,16 @@ def _key(columns: list[tuple[str, str]]):
     return text_key(*(F.col(name) for name, _ in columns))
 
 
-def _broker_columns(person: str) -> list:
-    number, digit = split_dv(F.col(f"{person}.nro_nit"))
-    name = full_name(
-        *(F.col(f"{person}.{part}") for part in ("txt_nombre", "txt_apellido1", "txt_apellido2"))
-    )
-    return [
+def _with_broker(persons: DataFrame) -> DataFrame:
+    """The person's id with the broker columns, made once per person."""
+    number, digit = split_dv(F.col("nro_nit"))
+    name = full_name(*(F.col(part) for part in ("txt_nombre", "txt_apellido1", "txt_apellido2")))
+    return persons.select(
+        "id_persona",
         number.alias("CorredorID"),
         digit.alias("CorredorDV"),
         name.alias("NombreCorredor"),
-    ]
+    )
 
 
 def commission_agents(
@@ -67,10 +66,10 @@ def person_brokers(
 
     A person without id meets every agent without one.
     """
-    joined = pair_join(persons, paid, PERSON_ON, key_mode, cells)
+    joined = pair_join(_with_broker(persons), paid, PERSON_ON, key_mode, cells)
     return joined.select(
         F.col("r.cod_agente").alias("AgenteID"),
-        *_broker_columns("l"),
+        *(F.col(f"l.{name}") for name in ("CorredorID", "CorredorDV", "NombreCorredor")),
         F.col("r.pje_comision").alias("PorcentajeComision"),
         trunc_int(F.col("r.cod_producto")).alias("ProductoComercialID"),
         trunc_int(F.col("r.cod_ramo")).alias("RamoComercialID"),
@@ -108,16 +107,22 @@ def corredor_load(
     """Insert-ready rows of ``Corredor``, one per key: the upsert batch.
 
     A broker shows once per commission in ``person_brokers``, yet none of the
-    commission is stored. So commissions only say which agents count, and
-    copies go before the persons are joined. Of several rows of a key the
-    greatest check digit, then the greatest name, is kept.
+    commission is stored. So commissions only say which agents count, texts
+    are turned into their stored form once per person or agent, and copies go
+    before the two are joined. Of several rows of a key the greatest check
+    digit, then the greatest name, is kept.
     """
     agents = (
         matched(tables["magente"], tables["te_producto_cial_comis"], AGENT_ON, key_mode)
-        .select("cod_agente", "id_persona")
+        .select("id_persona", trunc_int_or_zero(F.col("cod_agente")).alias("AgenteID"))
+        .distinct()
+    )
+    persons = (
+        _with_broker(tables["mpersona"])
+        .withColumn("CorredorID", trunc_int_or_zero(F.col("CorredorID")))
+        .withColumn("CorredorDV", trunc_int_or_zero(F.col("CorredorDV")))
         .distinct()
     )
-    persons = tables["mpersona"].select(*SOURCE_COLUMNS["mpersona"]).distinct()
     cells: skew.Cells = []
     if policy:
         counts = skew.key_counts(
@@ -131,8 +136,7 @@ def corredor_load(
         if cells:
             persons, agents = _placed_by_content(persons), _placed_by_content(agents)
     joined = pair_join(persons, agents, PERSON_ON, key_mode, cells)
-    rows = joined.select(F.col("r.cod_agente").alias("AgenteID"), *_broker_columns("l"))
-    return one_per_key(CORREDOR.rows(rows), list(CORREDOR.keys), list(CORREDOR.updates))
+    return one_per_key(CORREDOR.rows(joined), list(CORREDOR.keys), list(CORREDOR.updates))
 
 
 def _placed_by_content(distinct: DataFrame) -> DataFrame:

@@ -66,14 +66,12 @@ class ParquetMart:
             stored = self.spark.read.schema(target.schema.add(BATCH, "string")).parquet(entry.path)
             kept = stored.where(F.col(BATCH) != batch_id)
             last = kept.agg(F.max(target.generated)).first()[0] or 0
-        order = [F.col(name).asc_nulls_first() for name in target.columns]
-        return surrogate_ids(rows, order, target.generated, start_at=last + 1)
+        return surrogate_ids(rows, target.order(), target.generated, start_at=last + 1)
 
     def overwrite(self, target: Target, rows: DataFrame) -> None:
         """Replace the table; generated ids start at 1 again."""
         if target.generated:
-            order = [F.col(name).asc_nulls_first() for name in target.columns]
-            rows = surrogate_ids(rows, order, target.generated)
+            rows = surrogate_ids(rows, target.order(), target.generated)
         folder = self._new_folder(target)
         self._write(rows.select(*target.schema.names), folder, uuid.uuid4().hex)
         self._publish(target, folder)

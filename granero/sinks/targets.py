@@ -71,6 +71,10 @@ class Target:
         """Rows ready to be inserted, in the target's column order and types."""
         return df.select(*(field.column(df.schema) for field in self.fields))
 
+    def order(self) -> list[Column]:
+        """A total order of insert-ready rows: all columns but the constant ones."""
+        return [F.col(field.name).asc_nulls_first() for field in self.fields if field.source]
+
     @property
     def columns(self) -> list[str]:
         return [field.name for field in self.fields]

@@ -1,18 +1,16 @@
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from checks.adapters import ADAPTERS, source_tables
+from granero.operators.numbering import surrogate_ids
+from granero.operators.project import rename
 from granero.operators.upsert import one_per_key
 from granero.plans import broker, coverage, product
 from granero.plans.product import PRODUCT_NAMES
-from granero.operators.project import rename
 from granero.session import settings
-from granero.sinks.targets import CORREDOR, PRODUCTO_CORREDOR
+from granero.sinks.targets import CORREDOR, PRODUCTO, PRODUCTO_CORREDOR
 from granero.sources.jdbc import read_back
 from granero.sources.staging import stage
-from granero.operators.numbering import surrogate_ids
-from granero.sinks.targets import PRODUCTO
 from tests.helpers import bag, plan
 
 
@@ -23,8 +21,7 @@ def tables(spark):
 
 
 def numbered(rows):
-    order = [F.col(name).asc_nulls_first() for name in PRODUCTO.columns]
-    return read_back(surrogate_ids(rows, order, "ProductoId"))
+    return read_back(surrogate_ids(rows, PRODUCTO.order(), "ProductoId"))
 
 
 def late_brokers(tables):
