@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -11,7 +11,7 @@ def first_per_text(
     right: DataFrame,
     key: str,
     text: str,
-    order: list[Column],
+    order: list[str],
     per: str = "group",
 ) -> DataFrame:
     """Distinct texts of ``right`` per key, each with a row of ``left``.
@@ -19,20 +19,17 @@ def first_per_text(
     Walking a group left row by left row and skipping texts already seen gives
     all of the group's texts to its first left row. So both sides are reduced on
     their own (first left row; distinct texts) and joined afterwards; the pairs
-    of a group are never formed. ``order`` states which left row is first and
-    must be total over distinct left rows.
+    of a group are never formed. ``order`` states which left row is first, the
+    least one; it names all left columns but the key.
 
     ``per="row"`` keeps every distinct left row with every distinct text instead.
     """
     if per not in ("group", "row"):
         raise ValueError(f"per must be 'group' or 'row', not {per!r}")
+    if sorted(order) != sorted(name for name in left.columns if name != key):
+        raise ValueError(f"order must name the columns of {left.columns} but {key}, not {order}")
     texts = right.select(key, text).distinct()
-    others = [name for name in left.columns if name != key]
     if per == "row":
         return left.distinct().join(texts, key)
-    first = left.groupBy(key).agg(
-        F.min(F.struct(*(column.alias(f"_o{i}") for i, column in enumerate(order)), *others)).alias(
-            "_first"
-        )
-    )
-    return first.select(key, *(F.col(f"_first.{name}") for name in others)).join(texts, key)
+    first = left.groupBy(key).agg(F.min(F.struct(*order)).alias("_first"))
+    return first.select(key, "_first.*").join(texts, key)

@@ -115,9 +115,11 @@ def test_scope_deletes_what_was_staged_inside(spark):
 
 
 class Session:
+    """Stands in for a session that has only settings."""
+
     def __init__(self, **settings):
-        self.conf = {name.replace("_", "."): value for name, value in settings.items()}
-        self.conf = type("Conf", (), {"get": staticmethod(self.conf.get)})
+        values = {name.replace("_", "."): value for name, value in settings.items()}
+        self.conf = type("Conf", (), {"get": values.get, "set": values.__setitem__})
 
 
 def test_staging_folder_is_the_one_the_cluster_names():
@@ -125,6 +127,12 @@ def test_staging_folder_is_the_one_the_cluster_names():
     assert staging_dir(named) == "hdfs:///shared"
 
 
+def test_a_local_session_gets_one_folder_of_its_own():
+    local = Session(spark_master="local[2]")
+    folder = staging_dir(local)
+    assert Path(folder).is_dir() and staging_dir(local) == folder
+
+
 def test_no_machine_local_staging_on_a_cluster():
     with pytest.raises(RuntimeError):
         staging_dir(Session(spark_master="yarn"))
