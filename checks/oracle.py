@@ -41,7 +41,9 @@ PRODUCT_COLUMNS = (
 )
 PRODUCT_ORDER = ", ".join(f"{name} NULLS FIRST" for name in PRODUCT_COLUMNS.split(", "))
 
-SPLIT_ID = "CASE WHEN coalesce(nro_nit, '') = '' THEN '' ELSE left(nro_nit, length(nro_nit) - 1) END"
+SPLIT_ID = (
+    "CASE WHEN coalesce(nro_nit, '') = '' THEN '' ELSE left(nro_nit, length(nro_nit) - 1) END"
+)
 SPLIT_DIGIT = "CASE WHEN coalesce(nro_nit, '') = '' THEN '' ELSE upper(right(nro_nit, 1)) END"
 NAME = " || ' ' || ".join(_trim(part) for part in ("txt_nombre", "txt_apellido1", "txt_apellido2"))
 

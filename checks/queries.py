@@ -13,8 +13,9 @@ from granero.functions.keys import text_key, with_single_key
 from granero.functions.numbers import is_numeric, scaled_div, trunc_int, trunc_int_or_zero
 from granero.functions.text import default_missing, full_name, split_dv, to_text
 from granero.operators.numbering import group_counter, surrogate_ids
-from granero.operators.pairs import group_sizes
+from granero.operators.pairs import group_sizes, hot_cells
 from granero.operators.project import emit_rows, rename
+from granero.operators.skew import SkewPolicy
 from granero.operators.upsert import upsert
 from granero.plans import broker, coverage, product
 from granero.plans.load import load_mart
@@ -229,8 +230,10 @@ def first_per_text_and_product(spark, sf_dir):
 
 @query
 def j4_product_coverage(spark, sf_dir):
-    covered = coverage.coverages(source_tables(spark, sf_dir))
-    return coverage.product_coverages(_stored_products(spark, sf_dir), covered)
+    covered = stage(coverage.coverages(source_tables(spark, sf_dir)))
+    producto = _stored_products(spark, sf_dir)
+    cells = hot_cells(producto, covered, coverage.PRODUCT_ON, SkewPolicy())
+    return coverage.product_coverages(producto, covered, cells=cells)
 
 
 @query

@@ -26,12 +26,13 @@ def _ordered(df: DataFrame, order: list[Column]) -> DataFrame:
     # change when a task is run again.
     placed = with_position(stage(df))
     identity = F.col("_id")
+    part = F.shiftright(identity, PLACE_BITS)
     return stage(
         placed.orderBy(*order, POSITION)
         .drop(POSITION)
         .withColumn("_id", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright(identity, PLACE_BITS).cast("int"))
-        .withColumn("_place", identity - F.shiftleft(F.shiftright(identity, PLACE_BITS), PLACE_BITS))
+        .withColumn("_part", part.cast("int"))
+        .withColumn("_place", identity - F.shiftleft(part, PLACE_BITS))
         .drop("_id")
     )
 

@@ -68,6 +68,25 @@ def pair_join(
     return left.alias("l").join(right.alias("r"), _all(conditions))
 
 
+def hot_cells(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[tuple[str, str]],
+    policy: skew.SkewPolicy | None,
+) -> skew.Cells:
+    """Cells of a pair join of two stored tables; none without a policy."""
+    if policy is None:
+        return []
+    counts = skew.key_counts(
+        {
+            "left": (left, text_key(*(F.col(name) for name, _ in on))),
+            "right": (right, text_key(*(F.col(name) for _, name in on))),
+        },
+        policy,
+    )
+    return skew.cells(counts["left"], counts["right"], policy)
+
+
 def matched(
     left: DataFrame, right: DataFrame, on: list[tuple[str, str]], key_mode: str = "text"
 ) -> DataFrame:

@@ -99,3 +99,12 @@ tariffs = st.sampled_from(["1", "2", None])
 )
 def test_reduced_join_equals_the_walk(spark, plans, texts):
     assert rows(coverages(tables(spark, plans, texts))) == walked(plans, texts)
+
+
+def test_split_pairs_equal_whole_ones(spark, sf_dir):
+    from checks.adapters import source_tables
+    from granero.operators.skew import SkewPolicy
+
+    sources = source_tables(spark, sf_dir)
+    tiny = SkewPolicy(rows_per_cell=4, sample=1.0, max_parts=3)
+    assert rows(tariff_pairs(sources, tiny)) == rows(tariff_pairs(sources, None))

@@ -92,7 +92,8 @@ def test_overwrite(spark, mart):
 
 
 def test_upsert_twice_is_upsert_once(spark, mart):
-    rows = spark.createDataFrame([(1, 10, 5, "A"), (1, 10, 6, "B"), (2, 20, 0, None)], CORREDOR.schema)
+    brokers = [(1, 10, 5, "A"), (1, 10, 6, "B"), (2, 20, 0, None)]
+    rows = spark.createDataFrame(brokers, CORREDOR.schema)
     mart.upsert(CORREDOR, rows)
     once = bag(mart.read(CORREDOR))
     assert once == {(1, 6, 10, "B"): 1, (2, 0, 20, None): 1}

@@ -18,11 +18,11 @@ EAGER = skew.SkewPolicy(rows_per_cell=50, sample=1.0)
 def hot_sides(spark, copies=3000):
     """A third of both sides under one key, all copies of one row on the left."""
     left = spark.range(3 * copies).select(
-        F.when(F.col("id") < copies, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"),
+        F.when(F.col("id") >= copies, F.col("id").cast("string")).alias("k"),
         F.when(F.col("id") < copies, F.lit(-1)).otherwise(F.col("id")).alias("x"),
     )
     right = spark.range(300).select(
-        F.when(F.col("id") < 100, F.lit(None)).otherwise((F.col("id") * 20).cast("string")).alias("k"),
+        F.when(F.col("id") >= 100, (F.col("id") * 20).cast("string")).alias("k"),
         F.col("id").alias("y"),
     )
     return stage(left), stage(right)

@@ -26,7 +26,8 @@ def test_update_to_null_and_columns_that_stay(spark):
     target = spark.createDataFrame([(1, 10, 100), (None, 20, 200)], schema)
     batch = spark.createDataFrame([(1, None, 999), (None, 21, 999), (2, 30, 300)], schema)
     after = upsert(target, batch, ["k"], ["a"])
-    assert {tuple(row) for row in after.collect()} == {(1, None, 100), (None, 21, 200), (2, 30, 300)}
+    expected = {(1, None, 100), (None, 21, 200), (2, 30, 300)}
+    assert {tuple(row) for row in after.collect()} == expected
 
 
 def test_one_per_key_takes_the_greatest(spark):
