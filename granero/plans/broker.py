@@ -9,9 +9,10 @@ from granero.functions.keys import text_key
 from granero.functions.numbers import checked_int, required, trunc_int, trunc_int_or_zero
 from granero.functions.text import full_name, split_dv
 from granero.operators import skew
-from granero.operators.pairs import matched, pair_join
+from granero.operators.pairs import hot_cells, matched, pair_join
 from granero.operators.upsert import one_per_key
 from granero.sinks.targets import CORREDOR, PRODUCTO_CORREDOR
+from granero.sources.staging import stage
 
 Tables = dict[str, DataFrame]
 
@@ -123,18 +124,10 @@ def corredor_load(
         .withColumn("CorredorDV", trunc_int_or_zero(F.col("CorredorDV")))
         .distinct()
     )
-    cells: skew.Cells = []
-    if policy:
-        counts = skew.key_counts(
-            {
-                "person": (tables["mpersona"], _key(PERSON_ON)),
-                "agent": (tables["magente"], _key(PERSON_ON)),
-            },
-            policy,
-        )
-        cells = skew.cells(counts["person"], counts["agent"], policy)
-        if cells:
-            persons, agents = _placed_by_content(persons), _placed_by_content(agents)
+    # Measured before copies go, which only makes for a few cells more.
+    cells = hot_cells(tables["mpersona"], tables["magente"], PERSON_ON, policy)
+    if cells:
+        persons, agents = _placed_by_content(persons), _placed_by_content(agents)
     joined = pair_join(persons, agents, PERSON_ON, key_mode, cells)
     return one_per_key(CORREDOR.rows(joined), list(CORREDOR.keys), list(CORREDOR.updates))
 
@@ -145,55 +138,51 @@ def _placed_by_content(distinct: DataFrame) -> DataFrame:
     return distinct.withColumn(skew.POSITION, F.xxhash64(*distinct.columns))
 
 
+def agent_links(
+    tables: Tables, key_mode: str = "text", policy: skew.SkewPolicy | None = skew.SkewPolicy()
+) -> DataFrame:
+    """Agents, once per person behind them, with the id to be stored.
+
+    Staged: the planner then knows how large the links are and spares the
+    commissions a shuffle where they can be broadcast. The id is null where it
+    is no number.
+    """
+    persons = tables["mpersona"].select("id_persona")
+    agents = tables["magente"]
+    cells = hot_cells(persons, agents, PERSON_ON, policy)
+    agents = agents.withColumn("_AgenteID", checked_int(F.col("cod_agente"), missing=0))
+    links = pair_join(persons, agents, PERSON_ON, key_mode, cells)
+    return stage(links.select("r.cod_agente", "r.cod_tipo_agente", "r._AgenteID"))
+
+
 def broker_commissions(
-    tables: Tables,
+    commissions: DataFrame,
+    links: DataFrame,
     key_mode: str = "text",
-    policy: skew.SkewPolicy | None = skew.SkewPolicy(),
-    position: bool = False,
+    cells: skew.Cells | None = None,
 ) -> DataFrame:
     """``person_brokers`` over ``commission_agents``, as far as products need it.
 
-    Agents and persons, both far smaller than the commissions, are joined first,
-    so the commissions are shuffled once instead of twice; the pairs are the
-    same. Numbers are parsed where they are stored and travel as ints. The
-    agent's id and the commission are null where they are no number, which
-    matters only for rows that find a product.
+    Agents and persons, both far smaller than the commissions, have been joined
+    before (``agent_links``), so the commissions are shuffled once instead of
+    twice; the pairs are the same. Numbers are parsed where they are stored and
+    travel as ints. A commission that is no number is null, which matters only
+    for rows that find a product.
     """
-    commissions, agents = tables["te_producto_cial_comis"], tables["magente"]
-    persons = tables["mpersona"].select("id_persona")
-    person_cells: skew.Cells = []
-    agent_cells: skew.Cells = []
-    if policy:
-        counts = skew.key_counts(
-            {
-                "person": (persons, _key(PERSON_ON)),
-                "agent": (agents, _key(PERSON_ON)),
-                "commission": (commissions, _key(AGENT_ON)),
-            },
-            policy,
-        )
-        person_cells = skew.cells(counts["person"], counts["agent"], policy)
-        # Links are not stored, so only the commissions of a key are dealt out.
-        agent_cells = skew.cells(counts["commission"], {}, policy)
-    agents = agents.withColumn("_AgenteID", checked_int(F.col("cod_agente"), missing=0))
-    links = pair_join(persons, agents, PERSON_ON, key_mode, person_cells).select(
-        F.col("r.cod_agente"), F.col("r.cod_tipo_agente"), F.col("r._AgenteID")
-    )
-    commissions = commissions.select(
+    parsed = commissions.select(
         "cod_agente",
         "cod_tipo_agente",
         checked_int(F.col("pje_comision"), missing=0).alias("_PorcentajeComision"),
         checked_int(F.col("cod_producto")).alias("_ProductoComercialID"),
         checked_int(F.col("cod_ramo")).alias("_RamoComercialID"),
+        *(name for name in commissions.columns if name == skew.POSITION),
     )
-    if position:
-        commissions = skew.with_position(commissions)
-    joined = pair_join(commissions, links, AGENT_ON, key_mode, agent_cells)
+    joined = pair_join(parsed, links, AGENT_ON, key_mode, cells)
     return joined.select(
         F.col("r._AgenteID").alias("AgenteID"),
         F.col("l._PorcentajeComision").alias("PorcentajeComision"),
         *(required(F.col(f"l._{name}"), name).alias(name) for name, _ in PRODUCT_ON),
-        *([F.col(f"l.{skew.POSITION}")] if position else []),
+        *(f"l.{name}" for name in commissions.columns if name == skew.POSITION),
     )
 
 
@@ -207,24 +196,29 @@ def producto_corredor_load(
 
     With a ``policy`` ``producto`` must be a stored table (see ``stage``).
     """
-    cells: skew.Cells = []
+    commissions = tables["te_producto_cial_comis"]
+    links = agent_links(tables, key_mode, policy)
+    link_cells: skew.Cells = []
+    product_cells: skew.Cells = []
     if policy:
+        # Commissions stand for the broker rows, without joining them to count.
+        product_key = text_key(
+            trunc_int_or_zero(F.col("cod_ramo")), trunc_int_or_zero(F.col("cod_producto"))
+        )
         counts = skew.key_counts(
             {
+                "commission": (commissions, _key(AGENT_ON)),
+                "link": (links, _key(AGENT_ON)),
                 "product": (producto, _key(PRODUCT_ON)),
-                # Stands for the broker rows, without joining them to count.
-                "commission": (
-                    tables["te_producto_cial_comis"],
-                    text_key(
-                        trunc_int_or_zero(F.col("cod_ramo")),
-                        trunc_int_or_zero(F.col("cod_producto")),
-                    ),
-                ),
+                "paid": (commissions, product_key),
             },
             policy,
         )
-        cells = skew.cells(counts["product"], counts["commission"], policy)
-    brokers = broker_commissions(tables, key_mode, policy, position=bool(cells))
-    linked = product_brokers(producto, brokers, cells)
+        link_cells = skew.cells(counts["commission"], counts["link"], policy)
+        product_cells = skew.cells(counts["product"], counts["paid"], policy)
+        if product_cells:
+            commissions = skew.with_position(commissions)
+    brokers = broker_commissions(commissions, links, key_mode, link_cells)
+    linked = product_brokers(producto, brokers, product_cells)
     numbers = {name: required(F.col(name), name) for name in ("AgenteID", "PorcentajeComision")}
     return PRODUCTO_CORREDOR.rows(linked.withColumns(numbers))
