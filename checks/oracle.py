@@ -170,7 +170,7 @@ ORACLE = {
                EstadoHabilitado, ProductoId, ProductoTecnicoId, Moneda
         FROM producto"""
     ),
-    "rename_keep_rest": sql(
+    "rename": sql(
         """
         SELECT cod_ramo, cod_producto AS nuevo_cod_producto, txt_desc AS nuevo_txt_desc
         FROM te_producto_cial"""
@@ -182,7 +182,7 @@ ORACLE = {
                ProductoTecnicoId, Moneda
         FROM f1"""
     ),
-    "default_missing_text": sql(
+    "default_missing": sql(
         "SELECT cod_producto, coalesce(txt_desc, 'Sin Plan') AS PlanTecnico FROM tiso_producto"
     ),
     "null_to_zero": sql(
@@ -190,23 +190,23 @@ ORACLE = {
         SELECT cod_producto_cial, {_int_or_zero('cod_ramo_com')} AS RamoComercialID
         FROM te_producto_tec_cial"""
     ),
-    "trunc_int_strict": sql(
+    "trunc_int": sql(
         f"SELECT cod_producto_tec, {_int('cod_producto_tec')} AS parsed FROM te_producto_tec_cial"
     ),
-    "trunc_int_lenient": sql(
+    "trunc_int_or_zero": sql(
         f"""
         SELECT nro_nit, {_lenient('number')} AS CorredorID
         FROM (SELECT nro_nit, {SPLIT_ID} AS number FROM mpersona)"""
     ),
-    "numeric_text": sql(
+    "is_numeric": sql(
         f"SELECT nro_nit, CAST({_numeric('nro_nit')} AS INTEGER) AS is_numeric FROM mpersona"
     ),
-    "scaled_commission": sql(
+    "scaled_div": sql(
         f"""
         SELECT pje_comision, CAST({_int_or_zero('pje_comision')} // 1000000 AS INTEGER) AS Comision
         FROM te_producto_cial_comis"""
     ),
-    "composite_text_key": sql(
+    "text_key": sql(
         f"SELECT {_key('cod_ramo_com', 'cod_producto_cial')} AS key FROM te_producto_tec_cial"
     ),
     "single_key_drop": sql(
@@ -214,13 +214,13 @@ ORACLE = {
         SELECT cod_tarifa, cod_ramo, cod_producto, cod_tarifa AS key
         FROM ttarifa_producto WHERE cod_tarifa IS NOT NULL"""
     ),
-    "split_check_digit": sql(
+    "split_dv": sql(
         f"SELECT nro_nit, {SPLIT_ID} AS CorredorID, {SPLIT_DIGIT} AS CorredorDV FROM mpersona"
     ),
-    "full_name_upper": sql(
+    "full_name": sql(
         f"SELECT id_persona, upper({NAME}) AS NombreCorredor FROM mpersona"
     ),
-    "value_to_text": sql(
+    "to_text": sql(
         """
         SELECT cod_producto_cial, CAST(CAST(cod_producto_tec AS DOUBLE) AS VARCHAR) AS as_text
         FROM te_producto_tec_cial"""
@@ -253,7 +253,7 @@ ORACLE = {
     "j5_commission_agent": _all("j5"),
     "j6_person_broker": _all("j6"),
     "j7_product_broker": _all("j7"),
-    "group_counter_per_plan": sql(
+    "group_counter": sql(
         """
         SELECT *, CAST(row_number() OVER (
             PARTITION BY RamoPlanId, PlanTecnicoID
@@ -284,7 +284,7 @@ ORACLE = {
         FROM f4 WHERE AgenteID % 2 = 0"""
     ),
     "sink_corredor": _all("f4"),
-    "text_dump_lines": sql(
+    "text_dump": sql(
         """
         SELECT '{"CoberturaID":"' || CoberturaID || '","Cobertura":"' || Cobertura
                || '","RamoPlanID":' || RamoPlanID || ',"PlanTecnicoID":"' || PlanTecnicoID

@@ -40,7 +40,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    # A name that an operator has already takes a trailing underscore here.
+    QUERIES[function.__name__.rstrip("_")] = function
     return function
 
 
@@ -84,7 +85,7 @@ def jdbc_scan_map(spark, sf_dir):
 
 
 @query
-def rename_keep_rest(spark, sf_dir):
+def rename_(spark, sf_dir):
     return _renamed(source_tables(spark, sf_dir))
 
 
@@ -110,7 +111,7 @@ def const_cols(spark, sf_dir):
 
 
 @query
-def default_missing_text(spark, sf_dir):
+def default_missing_(spark, sf_dir):
     return source_tables(spark, sf_dir)["tiso_producto"].select(
         "cod_producto", default_missing(F.col("txt_desc"), product.NO_PLAN).alias("PlanTecnico")
     )
@@ -124,14 +125,14 @@ def null_to_zero(spark, sf_dir):
 
 
 @query
-def trunc_int_strict(spark, sf_dir):
+def trunc_int_(spark, sf_dir):
     return source_tables(spark, sf_dir)["te_producto_tec_cial"].select(
         "cod_producto_tec", trunc_int(F.col("cod_producto_tec")).alias("parsed")
     )
 
 
 @query
-def trunc_int_lenient(spark, sf_dir):
+def trunc_int_or_zero_(spark, sf_dir):
     number, _ = split_dv(F.col("nro_nit"))
     return source_tables(spark, sf_dir)["mpersona"].select(
         "nro_nit", trunc_int_or_zero(number).alias("CorredorID")
@@ -139,21 +140,21 @@ def trunc_int_lenient(spark, sf_dir):
 
 
 @query
-def numeric_text(spark, sf_dir):
+def is_numeric_(spark, sf_dir):
     return source_tables(spark, sf_dir)["mpersona"].select(
         "nro_nit", is_numeric(F.col("nro_nit")).cast("int").alias("is_numeric")
     )
 
 
 @query
-def scaled_commission(spark, sf_dir):
+def scaled_div_(spark, sf_dir):
     return source_tables(spark, sf_dir)["te_producto_cial_comis"].select(
         "pje_comision", scaled_div(F.col("pje_comision")).alias("Comision")
     )
 
 
 @query
-def composite_text_key(spark, sf_dir):
+def text_key_(spark, sf_dir):
     return source_tables(spark, sf_dir)["te_producto_tec_cial"].select(
         text_key(F.col("cod_ramo_com"), F.col("cod_producto_cial")).alias("key")
     )
@@ -165,7 +166,7 @@ def single_key_drop(spark, sf_dir):
 
 
 @query
-def split_check_digit(spark, sf_dir):
+def split_dv_(spark, sf_dir):
     number, digit = split_dv(F.col("nro_nit"))
     return source_tables(spark, sf_dir)["mpersona"].select(
         "nro_nit", number.alias("CorredorID"), digit.alias("CorredorDV")
@@ -173,7 +174,7 @@ def split_check_digit(spark, sf_dir):
 
 
 @query
-def full_name_upper(spark, sf_dir):
+def full_name_(spark, sf_dir):
     parts = ["txt_nombre", "txt_apellido1", "txt_apellido2"]
     return source_tables(spark, sf_dir)["mpersona"].select(
         "id_persona", full_name(*(F.col(part) for part in parts)).alias("NombreCorredor")
@@ -181,7 +182,7 @@ def full_name_upper(spark, sf_dir):
 
 
 @query
-def value_to_text(spark, sf_dir):
+def to_text_(spark, sf_dir):
     return source_tables(spark, sf_dir)["te_producto_tec_cial"].select(
         "cod_producto_cial",
         to_text(F.col("cod_producto_tec").cast("double")).alias("as_text"),
@@ -257,7 +258,7 @@ def j7_product_broker(spark, sf_dir):
 
 
 @query
-def group_counter_per_plan(spark, sf_dir):
+def group_counter_(spark, sf_dir):
     rows = product.product_rows(source_tables(spark, sf_dir))
     keys = ["RamoPlanId", "PlanTecnicoID"]
     others = [name for name in rows.columns if name not in keys]
@@ -322,7 +323,7 @@ def sink_corredor(spark, sf_dir):
 
 
 @query
-def text_dump_lines(spark, sf_dir):
+def text_dump_(spark, sf_dir):
     path = staging_path(spark)
     text_dump(coverage.coverages(source_tables(spark, sf_dir)), path)
     return spark.read.text(path)
