@@ -5,9 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from granero.llm.host_rules import MEASURES, host_quality
+from granero.llm.licenses import labelled, scan
+from granero.llm.line_dedup import dedup_lines
+from granero.llm.mixing import mix
 from granero.llm.packing import pack_documents
+from granero.llm.rule_ensemble import classify, fit_rules
+from granero.llm.sharding import shard
 from granero.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,3 +35,41 @@ def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = host_quality(read(spark, sf_dir, "documents"))
     return verdicts.select("doc_id", *MEASURES, "base_failed", "kept", "host_rejected")
+
+
+@query
+def op3_weighted_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source"
+    )
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labelled(scan(read(spark, sf_dir, "documents")))
+
+
+@query
+def op5_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return classify(docs, fit_rules(docs, read(spark, sf_dir, "labels")))
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = dedup_lines(read(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op9_bounded_load_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard(read(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
