@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from granero.sources.staging import stage
 
@@ -219,29 +220,32 @@ def dedup_lines(
     least_chars: int = LEAST_CHARS,
     least_docs: int = LEAST_DOCS,
     lines_per_shard: int = LINES_PER_SHARD,
+    carry: bool = False,
 ) -> DataFrame:
     """Texts without the lines that many documents share.
 
     A line's key is the line without blanks at its ends and with A-Z in lower case.
     Keys of at least ``least_chars`` code points in at least ``least_docs`` documents
     lose all their lines but those in the largest doc_id that holds them. Result:
-    doc_id, n_lines, n_dropped, text. A null or empty text is one empty line. Every
-    row is a document; rows of one doc_id keep or lose a line together. A null
-    doc_id counts as the smallest. Columns other than doc_id and text are not read.
-    Lines are told apart by 96 bits of a hash.
+    doc_id, n_lines, n_dropped, text; with ``carry`` also the other columns, as a
+    struct ``rest``. A null or empty text is one empty line. Every row is a document;
+    rows of one doc_id keep or lose a line together. A null doc_id counts as the
+    smallest. Lines are told apart by 95 bits of a hash.
     """
+    others = [name for name in docs.columns if name not in ("doc_id", "text")] if carry else []
+    rest = [F.struct(*(F.col(f"`{name}`") for name in others)).alias("rest")] if others else []
     # Null ids become the smallest number, so that joins and maxima need no special case.
-    own = docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), F.col("text").cast("string")
-    )
-    lines = stage(line_hashes(own, least_chars))
+    doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc")
+    own = docs.select(doc, F.col("text").cast("string").alias("text"), *rest)
+    lines = stage(line_hashes(own.select("doc", "text"), least_chars))
     drops = (
         repeated_lines(lines, least_docs, lines_per_shard)
         .groupBy("doc")
         .agg(F.collect_set("key").alias("keys"))
         .withColumnRenamed("doc", "_doc")
     )
-    joined = own.join(drops, F.col("doc") == F.col("_doc"), "left").select("doc", "text", "keys")
+    kept_columns = ["rest"] if others else []
+    joined = own.join(drops, F.col("doc") == F.col("_doc"), "left").select("doc", "text", "keys", *kept_columns)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -259,17 +263,30 @@ def dedup_lines(
                 sizes.append(len(parts))
                 dropped.append(len(parts) - len(kept))
                 texts.append(b"\n".join(kept).decode())
+            made = [pa.array(sizes, pa.int64()), pa.array(dropped, pa.int64()), pa.array(texts, pa.string())]
+            carried = [batch.column(3)] if others else []
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(dropped, pa.int64()),
-                    pa.array(texts, pa.string()),
-                ],
-                ["doc", "n_lines", "n_dropped", "text"],
+                [batch.column(0), *made, *carried], ["doc", "n_lines", "n_dropped", "text", *kept_columns]
             )
 
-    cleaned = joined.mapInArrow(cut, "doc bigint, n_lines bigint, n_dropped bigint, text string")
+    schema = T.StructType(
+        [
+            T.StructField("doc", T.LongType()),
+            T.StructField("n_lines", T.LongType()),
+            T.StructField("n_dropped", T.LongType()),
+            T.StructField("text", T.StringType()),
+            *(field for field in joined.schema.fields if field.name in kept_columns),
+        ]
+    )
+    return joined.mapInArrow(cut, schema).select(
+        F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_lines", "n_dropped", "text", *kept_columns
+    )
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """The documents with their columns, texts cut by :func:`dedup_lines`."""
+    cleaned = dedup_lines(docs, carry=True)
+    sources = {"doc_id": F.col("doc_id"), "text": F.col("text")}
     return cleaned.select(
-        F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_lines", "n_dropped", "text"
+        *(sources.get(name, F.col(f"rest.`{name}`")).alias(name) for name in docs.columns)
     )

@@ -77,13 +77,14 @@ def mix(
     most_epochs: int = MOST_EPOCHS,
     seed: int = 17,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """What the mix takes of every document.
 
     ``docs`` has doc_id, text and source; other columns are read only by
     ``quality``, the weight above 0 of a document. Result: doc_id, source, size
     (words, 0 for null), source_size, target, taken (words, repeats counted),
-    copies. The document that the budget ends in is taken if that comes nearer to
+    copies, and the columns named in ``also``. The document that the budget ends in is taken if that comes nearer to
     the target. A null source is a source of its own; repeated rows are documents
     of their own and equal ones may be told apart either way. An empty table gives
     an empty result.
@@ -95,6 +96,7 @@ def mix(
             F.col("source").cast("string").alias("source"),
             F.size(blank_words(F.col("text"))).cast("bigint").alias("size"),
             (-F.log(uniform(F.col("doc_id"), seed)) / weight).alias("_key"),
+            *also,
         )
     )
     per_source = keyed.groupBy("source").agg(
@@ -138,4 +140,19 @@ def mix(
         "target",
         (F.col("size") * copies).alias("taken"),
         copies.alias("copies"),
+        *also,
+    )
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The documents that the mix takes, with all their columns, as often as it takes them."""
+    nested = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("_row"))
+    numbered = stage(nested.withColumn("_at", F.monotonically_increasing_id()))
+    named = numbered.select("_at", *(F.col(f"_row.{name}").alias(name) for name in ("doc_id", "text", "source")))
+    taken = mix(named, also=["_at"], **options).where(F.col("copies") > 0)
+    copies = taken.select(F.col("_at").alias("_to"), "copies")
+    return (
+        numbered.join(copies, F.col("_at") == F.col("_to"))
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        .select("_row.*")
     )

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granero.llm.ann import nearest
 from granero.llm.host_rules import MEASURES, host_quality
 from granero.llm.licenses import labelled, scan
 from granero.llm.line_dedup import dedup_lines
@@ -14,7 +15,9 @@ from granero.llm.mixing import mix
 from granero.llm.packing import pack_documents
 from granero.llm.rule_ensemble import classify, fit_rules
 from granero.llm.sharding import shard
+from granero.llm.site_templates import extract
 from granero.llm.tables import read
+from granero.llm.weighted_minhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,3 +76,18 @@ def op9_bounded_load_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op10_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op6_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read(spark, sf_dir, "pages"))
+
+
+@query
+def op8_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))

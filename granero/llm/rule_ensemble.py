@@ -18,6 +18,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from granero.sources.staging import stage
 
@@ -72,18 +73,22 @@ def _statistics(text: str) -> tuple[float, ...]:
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and the statistics of every whole text; a null text counts as empty."""
-    schema = "doc_id bigint, " + ", ".join(f"{name} double" for name in STATISTICS)
+    """The rows as ``_row`` beside the statistics of every whole text.
+
+    A null text counts as empty.
+    """
+    names = [T.StructField(name, T.DoubleType()) for name in STATISTICS]
+    nested = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("_row"))
+    at = docs.columns.index("text")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [_statistics(text.as_py() or "") for text in batch.column(1)]
+            rows = [_statistics(text.as_py() or "") for text in batch.column(0).field(at)]
             table = np.array(rows, np.float64).reshape(len(rows), len(STATISTICS))
             columns = [pa.array(np.ascontiguousarray(column)) for column in table.T]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *STATISTICS])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["_row", *STATISTICS])
 
-    own = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return own.mapInArrow(measure, schema)
+    return nested.mapInArrow(measure, T.StructType([*nested.schema.fields, *names]))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -175,11 +180,14 @@ def fit_rules(docs: DataFrame, labels: DataFrame, target: str = "quality", fit:
     """
     sample = label_sample(labels, target, fit)
     # The sample's size has a bound, so it may be sent to all tasks.
-    chosen = docs.select("doc_id", "text").join(
+    chosen = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).join(
         F.broadcast(sample), F.col("doc_id") == F.col("_labelled"), "left_semi"
     )
     learned = stage(
-        with_statistics(chosen).join(F.broadcast(sample), F.col("doc_id") == F.col("_labelled"))
+        with_statistics(chosen)
+        .withColumn("doc_id", F.col("_row.doc_id"))
+        .drop("_row")
+        .join(F.broadcast(sample), F.col("doc_id") == F.col("_labelled"))
     )
     ones, rows = learned.agg(F.coalesce(F.sum("_label"), F.lit(0.0)), F.count(F.lit(1))).first()
     if not 0 < ones < rows:
@@ -210,14 +218,20 @@ def fit_rules(docs: DataFrame, labels: DataFrame, target: str = "quality", fit:
 
 def classify(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
     """doc_id, held_out, score and predicted of every document, empty ones too."""
-    score = F.col("score")
+    own = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    doc_id, score = F.col("_row.doc_id"), F.col("score")
     return (
-        with_statistics(docs)
+        with_statistics(own)
         .withColumn("score", model.score())
         .select(
-            "doc_id",
-            held_out(F.col("doc_id")).alias("held_out"),
+            doc_id.alias("doc_id"),
+            held_out(doc_id).alias("held_out"),
             score,
             (score >= 0.5).cast("int").alias("predicted"),
         )
     )
+
+
+def accepted(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
+    """The documents whose score is at least 0.5, with all their columns."""
+    return with_statistics(docs).where(model.score() >= 0.5).select("_row.*")
