@@ -104,7 +104,10 @@ def mix(
     )
     plan = stage(
         targets(per_source, weights, most_epochs)
-        .withColumn("_epochs", F.coalesce(F.floor(F.col("target") / F.col("source_size")), F.lit(0)))
+        .withColumn(
+            "_epochs",
+            F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)),
+        )
         .withColumn("_rest", F.col("target") - F.col("_epochs") * F.col("source_size"))
         .withColumn("_buckets", F.ceil(F.col("_rows") / rows_per_bucket))
         .drop("_rows")

@@ -256,7 +256,6 @@ def pack(
     """
     short = pieces.where(F.col("length") < capacity)
     shards = max(1, -(-short.count() // pieces_per_shard))
-    key = F.xxhash64("doc_id", "piece", "ids_crc32", "length")
     schema = PACKED
 
     def fill(rows: pd.DataFrame) -> pd.DataFrame:
@@ -271,9 +270,8 @@ def pack(
 
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     # A random deal spreads a hot document's pieces and repeated rows alike.
-    dealt = short.select(
-        *columns, F.pmod(key + F.monotonically_increasing_id(), F.lit(shards)).alias("_shard")
-    )
+    deal = F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id())
+    dealt = short.select(*columns, F.pmod(deal, F.lit(shards)).alias("_shard"))
     packed = dealt.groupBy("_shard").applyInPandas(fill, schema)
     full = pieces.where(F.col("length") == capacity).select(
         *columns,

@@ -46,7 +46,7 @@ KEEPS = frozenset("article aside blockquote body div dl fieldset figure footer f
 WITHIN = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
 
 NOT_TEXT = frozenset(
-    "head script style noscript template iframe object svg canvas audio video select button textarea form "
+    "head title script style noscript template iframe object svg canvas audio video select button textarea form "
     "nav aside footer menu dialog".split()
 )
 # Copies of these are more often quotes than templates.

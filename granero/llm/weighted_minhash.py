@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granero.sources.staging import stage
@@ -145,13 +145,20 @@ def weights(hashes: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarr
     return counts * idf[buckets(hashes)]
 
 
-def weighted_jaccard(one: str, other: str, idf: np.ndarray) -> float:
+Bag = tuple[np.ndarray, np.ndarray]
+
+
+def bag(text: str, idf: np.ndarray) -> Bag:
+    """Distinct shingles and their weights."""
+    found, counts = shingles(text)
+    return found, weights(found, counts, idf)
+
+
+def weighted_jaccard(one: Bag, other: Bag) -> float:
     """Sum of the smaller weights over the sum of the larger ones; 0 for texts of no words."""
-    (a, n), (b, m) = shingles(one), shingles(other)
-    _, at, to = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    v, w = weights(a, n, idf), weights(b, m, idf)
-    common = float(np.minimum(v[at], w[to]).sum())
-    total = float(v.sum() + w.sum()) - common
+    _, at, to = np.intersect1d(one[0], other[0], assume_unique=True, return_indices=True)
+    common = float(np.minimum(one[1][at], other[1][to]).sum())
+    total = float(one[1].sum() + other[1].sum()) - common
     return common / total if total > 0 else 0.0
 
 
@@ -242,18 +249,31 @@ def signed(docs: DataFrame, idf: np.ndarray, bands: Bands) -> DataFrame:
 
 # --- links ----------------------------------------------------------------------
 
-MEMBERS_IN_TASK = 100
+MEMBERS_IN_TASK = 400
+SPLIT_BY = 4
+
+
+def band_keys(bands: Bands) -> Column:
+    """One hash per band of its samples."""
+    return F.array(
+        *(
+            F.xxhash64(F.lit(band), *(F.col("samples")[band * bands.rows + i] for i in range(bands.rows)))
+            for band in range(bands.bands)
+        )
+    )
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
     """The pairs (a, b) whose whole texts are similar enough."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, first = None, None
         for batch in batches:
-            same = [
-                weighted_jaccard(one.as_py(), other.as_py(), idf) >= similarity
-                for one, other in zip(batch.column(2), batch.column(3))
-            ]
+            same = []
+            for node, one, other in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
+                if node != last:  # pairs of a group's first text come together
+                    last, first = node, bag(one.as_py(), idf)
+                same.append(weighted_jaccard(first, bag(other.as_py(), idf)) >= similarity)
             yield batch.select([0, 1]).filter(pa.array(same, pa.bool_()))
 
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("one"))
@@ -266,25 +286,28 @@ def _linked(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: flo
 def components(links: DataFrame) -> DataFrame:
     """The smallest node (``label``) that each linked node is connected to.
 
-    Labels move along links and are then looked up once more, so chains halve at
-    every step. Each step is written out.
+    Labels move along links until none changes. Links mostly run from a group's
+    first text to the others, so few steps are needed; after those, labels are also
+    looked up once more per step, so that chains halve. Each step is written out.
     """
     both = stage(
         links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     )
-    labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")))
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
+    labels, steps = stage(labels), 0
     while True:
         far = labels.select(F.col("node").alias("b"), F.col("label").alias("near"))
-        nearer = both.join(far, "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
-        moved = labels.join(nearer, "node").select("node", F.least("label", "near").alias("next"), "label")
-        jump = labels.select(F.col("node").alias("next"), F.col("label").alias("over"))
-        # A label is a node itself, so it has a label of its own.
-        step = stage(
-            moved.join(jump, "next").select("node", F.least("next", "over").alias("label"), (F.col("label") != F.least("next", "over")).alias("changed"))
-        )
-        if step.where("changed").isEmpty():
-            return step.select("node", "label")
+        heard = both.join(far, "b").select(F.col("a").alias("node"), "near", F.lit(None).cast("bigint").alias("own"))
+        own = labels.select("node", F.col("label").alias("near"), F.col("label").alias("own"))
+        step = heard.unionByName(own).groupBy("node").agg(F.min("near").alias("label"), F.min("own").alias("was"))
+        if steps >= 3:
+            # A label is a node itself, so it has a label of its own.
+            jump = labels.select(F.col("node").alias("label"), F.col("label").alias("over"))
+            step = step.join(jump, "label").select("node", F.least("label", "over").alias("label"), "was")
+        step, steps = stage(step), steps + 1
         labels = step.select("node", "label")
+        if step.where(F.col("label") != F.col("was")).isEmpty():
+            return labels
 
 
 def _with_labels(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -294,26 +317,71 @@ def _with_labels(members: DataFrame, labels: DataFrame) -> DataFrame:
     ).drop("_n")
 
 
+def similarities(texts: list[str], idf: np.ndarray, cells: int = 4_000_000) -> np.ndarray:
+    """Weighted Jaccard similarity of all pairs of a small group."""
+    found = [shingles(text) for text in texts]
+    weighed = [weights(own, counts, idf) for own, counts in found]
+    names, times = np.unique(np.concatenate([own for own, _ in found]), return_counts=True)
+    names = names[times > 1]
+    common = np.zeros((len(texts), len(texts)))
+    step = max(1, cells // len(texts))
+    for at in range(0, len(names), step):
+        part = names[at : at + step]
+        table = np.zeros((len(texts), len(part)))
+        for row, (own, _) in enumerate(found):
+            _, mine, there = np.intersect1d(own, part, assume_unique=True, return_indices=True)
+            table[row, there] = weighed[row][mine]
+        for row in range(len(texts)):
+            common[row, : row + 1] += np.minimum(table[row], table[: row + 1]).sum(axis=1)
+    sizes = np.array([own.sum() for own in weighed])
+    either = sizes[:, None] + sizes[None, :] - common
+    return np.divide(common, either, out=np.zeros_like(common), where=either > 0)
+
+
 def _inside(idf: np.ndarray, similarity: float):
     """Links between a small group's members that are not connected yet."""
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        nodes, texts = rows["node"].tolist(), rows["text"].tolist()
-        root = dict(zip(nodes, rows["label"].tolist()))
+        rows = rows.sort_values("node")
+        nodes, labels = rows["node"].to_numpy(np.int64), rows["label"].to_numpy(np.int64).copy()
+        near = similarities(rows["text"].tolist(), idf) >= similarity
         found: list[tuple[int, int]] = []
-        for at, node in enumerate(nodes):
-            for before in range(at):
-                if root[nodes[before]] == root[node]:
-                    continue
-                if weighted_jaccard(texts[before], texts[at], idf) >= similarity:
-                    found.append((nodes[before], node))
-                    gone, stays = root[node], root[nodes[before]]
-                    root = {name: stays if own == gone else own for name, own in root.items()}
+        for one, other in zip(*np.nonzero(np.tril(near, -1))):
+            if labels[one] != labels[other]:
+                found.append((int(nodes[other]), int(nodes[one])))
+                labels[labels == labels[one]] = labels[other]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return compare
 
 
+def _grouped(members: DataFrame) -> DataFrame:
+    """Members (key, node, label, ...) of groups with more than one label, with group facts."""
+    # Bands differ in what comes first, so a text meets several others of a large group.
+    order = (
+        F.when(F.col("band") % 3 == 0, F.col("doc"))
+        .when(F.col("band") % 3 == 1, F.bitwise_not(F.col("doc")))
+        .otherwise(F.xxhash64("node"))
+    )
+    facts = members.groupBy("key").agg(
+        F.min(F.struct(order.alias("order"), "node", "label")).alias("head"),
+        F.count(F.lit(1)).alias("size"),
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+    )
+    apart = facts.where(F.col("low") != F.col("high")).select(
+        "key", F.col("head.node").alias("first"), F.col("head.label").alias("first_label"), "size"
+    )
+    return members.join(apart, "key")
+
+
+def _to_first(groups: DataFrame) -> DataFrame:
+    """Pairs of a group's first text and each other one."""
+    other = groups.where(F.col("node") != F.col("first"))
+    pair = (F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b"))
+    return other.select(*pair).distinct()
+
+
 def near_links(
     nodes: DataFrame, texts: DataFrame, idf: np.ndarray, bands: Bands = Bands(), similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -322,64 +390,51 @@ def near_links(
     ``nodes`` (node, doc, samples) and ``texts`` (node, text) are stored tables. In a
     band's group every text meets the group's first. In groups whose texts are then
     not all connected, small ones are compared inside one task, all unconnected pairs
-    of at most ``MEMBERS_IN_TASK`` texts. The unconnected texts of larger groups are
-    split by one more sample each round until their groups are small or connected.
+    of at most ``MEMBERS_IN_TASK`` texts. The texts of larger groups are split by two
+    more samples each round, and meet the first text of their new group, until their
+    groups are small or connected.
     """
-    bits = [
-        F.struct(F.lit(band).alias("band"), F.xxhash64(F.lit(band), *(F.col("samples")[band * bands.rows + i] for i in range(bands.rows))).alias("key"))
-        for band in range(bands.bands)
-    ]
     samples = nodes.where(F.size("samples") > 0)
-    members = samples.select("node", "doc", F.explode(F.array(*bits)).alias("x")).select(
-        "node", "doc", F.col("x.key").alias("key"), F.col("x.band").alias("band")
-    )
-    groups = members.groupBy("key").agg(
-        F.min(F.struct("doc", "node")).alias("least"), F.count(F.lit(1)).alias("size")
-    ).where(F.col("size") > 1)
-    grouped = stage(
-        members.join(groups.select("key", F.col("least.node").alias("first"), "size"), "key")
-    )
-    links = stage(
-        _linked(
-            grouped.where(F.col("node") != F.col("first")).select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(),
-            texts, idf, similarity,
-        )
+    members = samples.select(
+        "node", "doc", F.col("node").alias("label"), F.posexplode(band_keys(bands)).alias("band", "key")
     )
+    groups = stage(_grouped(members))
+    links = stage(_linked(_to_first(groups), texts, idf, similarity))
+    labels = components(links)
+    known = groups.select("key", "node", "doc", "band")
+    unlinked = stage(_grouped(_with_labels(known, labels)))
     turn = 0
     while True:
-        labels = components(links)
-        named = _with_labels(grouped, labels)
-        split = (
-            named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-            .where(F.col("low") != F.col("high")).select("key")
-        )
-        open_groups = stage(named.join(split, "key"))
-        small = open_groups.where(F.col("size") <= MEMBERS_IN_TASK)
+        small = unlinked.where(F.col("size") <= MEMBERS_IN_TASK)
+        # Bands often group the same texts; one of those groups is enough.
+        sets = small.groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("all"))
+        once = sets.groupBy("all").agg(F.min("key").alias("key")).select("key")
         inside = (
-            small.select("key", "node", "label").join(texts, "node")
+            small.select("key", "node", "label").join(once, "key").join(texts, "node")
             .groupBy("key").applyInPandas(_inside(idf, similarity), "a bigint, b bigint")
         )
         links = stage(links.unionByName(inside).distinct())
-        large = open_groups.where(F.col("size") > MEMBERS_IN_TASK)
-        if large.isEmpty():
+        large = unlinked.where(F.col("size") > MEMBERS_IN_TASK)
+        if turn >= bands.samples - bands.rows or large.isEmpty():
             return links
-        # One more sample, another one each round, parts what is not similar.
-        more = samples.select("node", "samples")
-        regrouped = (
-            large.drop("first", "size", "label").join(more, "node")
-            .withColumn("key", F.xxhash64("key", F.element_at("samples", F.pmod((F.col("band") + 1) * bands.rows + turn, F.lit(bands.samples)) + 1)))
-            .drop("samples")
+        finer = [
+            F.element_at("samples", F.pmod((F.col("band") + 1) * bands.rows + turn + i, F.lit(bands.samples)) + 1)
+            for i in range(SPLIT_BY)
+        ]
+        split = (
+            large.select("key", "node", "doc", "band", "label").join(samples.select("node", "samples"), "node")
+            .withColumn("key", F.xxhash64("key", *finer)).drop("samples")
         )
-        turn += 1
-        regrouped = stage(regrouped)
-        again = regrouped.groupBy("key").agg(
-            F.min(F.struct("doc", "node")).alias("least"), F.count(F.lit(1)).alias("size")
-        ).where(F.col("size") > 1)
-        grouped = stage(regrouped.join(again.select("key", F.col("least.node").alias("first"), "size"), "key"))
-        fresh = grouped.where(F.col("node") != F.col("first")).select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-        links = stage(links.unionByName(_linked(fresh, texts, idf, similarity)).distinct())
-        if turn >= bands.samples - bands.rows:
-            return links
+        groups = stage(_grouped(split))
+        met = stage(_linked(_to_first(groups.where(F.col("size") > MEMBERS_IN_TASK)), texts, idf, similarity))
+        links = stage(links.unionByName(met).distinct())
+        ends = met.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        joined = ends.select(F.col("a").alias("first"), F.col("b").alias("node"), F.lit(True).alias("met"))
+        label = F.when(F.col("met"), F.col("first_label")).otherwise(F.col("label")).alias("label")
+        unlinked = stage(
+            _grouped(groups.join(joined, ["first", "node"], "left").select("key", "node", "doc", "band", label))
+        )
+        turn += SPLIT_BY
 
 
 def near_duplicates(docs: DataFrame, bands: Bands = Bands(), similarity: float = SIMILARITY) -> DataFrame:
@@ -416,11 +471,7 @@ def _classes(docs: DataFrame, bands: Bands, similarity: float) -> DataFrame:
         .select("node", F.col("least.doc").alias("doc"), F.col("least.raw").alias("raw"), "samples")
     )
     # Only texts that some band groups with another are fetched.
-    keys = [
-        F.xxhash64(F.lit(band), *(F.col("samples")[band * bands.rows + i] for i in range(bands.rows)))
-        for band in range(bands.bands)
-    ]
-    keyed = nodes.where(F.size("samples") > 0).select("node", F.explode(F.array(*keys)).alias("key"))
+    keyed = nodes.where(F.size("samples") > 0).select("node", F.explode(band_keys(bands)).alias("key"))
     met = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("key")
     wanted = stage(keyed.join(met, "key", "left_semi").select("node").distinct().join(nodes.drop("samples"), "node"))
     texts = stage(

@@ -1,0 +1,80 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+from helpers_llm import ROWS, awkward
+
+from granero.llm import packing
+
+
+def brute_sum_of_squares(lengths, capacity):
+    """Try every open bin and count the squares anew."""
+    gaps, places = [], []
+    for length in lengths:
+        best = None
+        for bin_, gap in enumerate(gaps):
+            if gap >= length:
+                after = gaps[:bin_] + [gap - length] + gaps[bin_ + 1 :]
+                squares = sum(after.count(g) ** 2 for g in set(after) if g)
+                if best is None or (squares, gap) < best[:2]:
+                    best = (squares, gap)
+        if best is None:
+            gaps.append(capacity - length)
+            places.append(capacity)
+        else:
+            gaps[gaps.index(best[1])] -= length
+            places.append(best[1])
+    return places
+
+
+def test_sum_of_squares_equals_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        lengths = rng.integers(1, 20, 60)
+        bins, offsets = packing.sum_of_squares(lengths, 20)
+        assert (20 - offsets).tolist() == brute_sum_of_squares(lengths.tolist(), 20)
+        filled = defaultdict(int)
+        for own, offset, length in zip(bins, offsets, lengths):
+            assert filled[own] == offset
+            filled[own] += length
+        assert max(filled.values()) <= 20
+
+
+def test_ids_are_the_tokenizers(spark, sf_dir):
+    ids = packing.TextIds(None)
+    texts = [row.text or "" for row in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    texts += [row[1] or "" for row in ROWS]
+    texts += ["", " ", "it's 'sabc don't..", "a\x1cb", "3's .'s", "ΣΑΣ ﬁ ét", "<|endoftext|>", "Ж Ёлка—да", "a_b__c"]
+    for text, found in zip(texts, ids.batch(texts)):
+        assert found.tolist() == ids.encoder.encode(text, add_special_tokens=False).ids
+
+
+def test_pack_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = packing.pack_documents(docs).collect()
+    held = defaultdict(list)
+    for row in rows:
+        held[row.sequence_id].append((row.offset, row.length))
+    for parts in held.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= packing.CAPACITY
+    least = -(-sum(row.length for row in rows) // packing.CAPACITY)
+    assert len(held) <= 1.05 * least + 1
+    assert {row.doc_id for row in rows} == {row.doc_id for row in docs.collect()}
+
+
+def test_awkward_rows_and_ids_kept(spark):
+    docs = awkward(spark)
+    pieces = packing.token_pieces(docs, capacity=64, keep_ids=True).collect()
+    assert len({(p.doc_id, p.piece) for p in pieces if p.doc_id == 7}) > 100
+    assert sum(p.doc_id == 3 for p in pieces) == 2
+    assert [p.ids for p in pieces if p.doc_id in (4, 5, 6)] == [[0]] * 3
+    assert all(zlib.crc32(np.array(p.ids, "<u4").tobytes()) == p.ids_crc32 and len(p.ids) == p.length for p in pieces)
+    unique = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+    kept = packing.token_pieces(unique, capacity=64, keep_ids=True).persist()
+    packed = packing.pack(kept, 64)
+    whole = packing.sequences(packed, kept)
+    assert whole.selectExpr("sum(size(ids))").first()[0] == kept.selectExpr("sum(length)").first()[0]

@@ -1,0 +1,18 @@
+import corpus_pipeline
+
+
+def test_stages_keep_columns_and_shrink_as_they_should(spark, sf_dir):
+    docs = first = spark.read.parquet(f"{sf_dir}/documents.parquet").persist()
+    counts = {"documents": docs.count()}
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        docs = function(spark, docs, sf_dir).persist()
+        assert docs.columns == first.columns and docs.dtypes == first.dtypes
+        counts[name] = docs.count()
+    assert counts["documents"] >= counts["quality"] == counts["lines"] >= counts["near_copies"] > 0
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert packed.where("piece = 0").count() == counts["mixture"]
+    assert packed.selectExpr("max(offset + length)").first()[0] <= 2048
+
+
+def test_run(spark, sf_dir):
+    assert corpus_pipeline.run(spark, sf_dir).count() > 0

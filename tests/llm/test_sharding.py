@@ -1,0 +1,54 @@
+from collections import Counter, defaultdict
+
+from helpers_llm import awkward
+
+from granero.llm import sharding
+
+
+def test_counts_differ_by_one_and_slots_have_no_gaps(spark, sf_dir):
+    for docs in (spark.read.parquet(f"{sf_dir}/documents.parquet"), awkward(spark)):
+        rows = sharding.shard(docs, shards=5).collect()
+        assert len(rows) == docs.count()
+        slots = defaultdict(list)
+        for row in rows:
+            slots[row.shard].append(row.slot)
+        counts = Counter({shard: len(own) for shard, own in slots.items()})
+        assert max(counts.values()) - min(counts[s] for s in range(5)) <= 1
+        assert all(sorted(own) == list(range(len(own))) for own in slots.values())
+
+
+def test_fill_equals_one_document_at_a_time():
+    counts, owners = [3, 0, 5, 1, 4], [0, 1, 0, 2, 1]
+    most = sharding.shares(sum(counts), 3)
+    room, want = list(most), Counter()
+    left = list(counts)
+    for step in range(len(owners)):
+        for arc in range(len(owners)):
+            shard = owners[(arc + step) % len(owners)]
+            while left[arc] and room[shard]:
+                left[arc] -= 1
+                room[shard] -= 1
+                want[arc, shard] += 1
+    got = Counter()
+    for arc, start, stop, shard, _ in sharding.fill(counts, owners, most):
+        got[arc, shard] += stop - start
+    assert got == want and sum(got.values()) == sum(counts)
+
+
+def test_few_documents_move_with_slack(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "cast(id AS string) AS text")
+    one = sharding.shard(docs, shards=8, slack=0.25)
+    more = sharding.shard(docs, shards=9, slack=0.25).selectExpr("doc_id", "shard AS other")
+    moved = one.join(more, "doc_id").where("shard <> other").count()
+    assert moved < 4000 * 0.35
+    assert one.groupBy("shard").count().selectExpr("max(count)").first()[0] <= 4000 * 1.25 / 8 + 2
+
+
+def test_arcs_match_the_cells():
+    ends, owners = sharding.ring(24, 128)
+    assert len(ends) == len(owners) == 24 * 128
+    cells = sharding.ring_cells(ends)
+    assert sum(len(own) for _, _, own in cells) == len(ends)
+    for position in (0, ends[0], ends[0] + 1, ends[-1], ends[-1] + 1, (1 << 40) - 1, 123456789012):
+        _, base, own = cells[position >> (sharding.RING_BITS - sharding.CELL_BITS)]
+        assert (base + sum(end < position for end in own)) % len(ends) == sharding.arc_of(position, ends)
