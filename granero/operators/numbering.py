@@ -18,6 +18,13 @@ from granero.sources.staging import stage
 
 # Fixed value: monotonically_increasing_id keeps the row place in the low 33 bits.
 PLACE_BITS = 33
+MOST = 2**31 - 1
+
+
+def _must_fit(last: int, name: str) -> None:
+    """Fail before anything is written; a cast would wrap where ANSI mode is off."""
+    if last > MOST:
+        raise OverflowError(f"{name} would reach {last}, above {MOST}")
 
 
 def _ordered(df: DataFrame, order: list[Column]) -> DataFrame:
@@ -45,6 +52,7 @@ def surrogate_ids(
     counts = sorted(
         (row["_part"], row["count"]) for row in ordered.groupBy("_part").count().collect()
     )
+    _must_fit(start_at + sum(count for _, count in counts) - 1, name)
     before = accumulate((count for _, count in counts), initial=start_at)
     offsets = F.broadcast(
         df.sparkSession.createDataFrame(
@@ -68,6 +76,9 @@ def group_counter(df: DataFrame, keys: list[str], order: list[Column], name: str
     row per partition and is broadcast.
     """
     ordered = _ordered(df, [F.col(key) for key in keys] + order)
+    if ordered.count() > MOST:  # only then can one key have too many
+        largest = ordered.groupBy(*keys).count().agg(F.max("count")).first()[0]
+        _must_fit(largest, name)
     window = Window.partitionBy("_part", *keys).orderBy("_place")
     local = ordered.withColumn("_local", F.row_number().over(window))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(

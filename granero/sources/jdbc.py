@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Column of the stored table -> column and type of a read-back row.
@@ -23,12 +23,20 @@ PRODUCT_READ_BACK = [
 ]
 
 
+def _int32(column: Column) -> Column:
+    """The whole number as an int; one out of range fails, with ANSI mode on or off."""
+    wide = column.cast("bigint")
+    fits = wide.between(-(2**31), 2**31 - 1)
+    wrong = F.raise_error(F.concat(F.lit("not a 32-bit number: "), wide.cast("string")))
+    return F.when(wide.isNull(), F.lit(0)).when(fits, wide.cast("int")).otherwise(wrong.cast("int"))
+
+
 def read_back(stored: DataFrame) -> DataFrame:
     """Rows of the stored product table: a missing int is 0, a missing text stays."""
     return stored.select(
         *(
             (
-                F.coalesce(F.col(source).cast(kind), F.lit(0))
+                _int32(F.col(source))
                 if kind == "int"
                 else F.col(source).cast(kind)
             ).alias(name)

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -68,3 +69,17 @@ def test_no_window_gathers_a_whole_key(spark):
 
     text = plan(group_counter(people(spark), ["k"], order("v"), "n"))
     assert "SinglePartition" not in text
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_ids_do_not_wrap(spark, ansi):
+    rows = spark.createDataFrame([("a",), ("b",), ("c",)], "name string")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(OverflowError):
+            surrogate_ids(rows, [F.col("name")], "id", start_at=2**31 - 3 + 1)
+        last = surrogate_ids(rows, [F.col("name")], "id", start_at=2**31 - 3)
+        assert last.selectExpr("max(id)").first()[0] == 2**31 - 1
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
