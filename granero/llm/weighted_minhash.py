@@ -251,6 +251,22 @@ def signed(docs: DataFrame, idf: np.ndarray, bands: Bands) -> DataFrame:
 
 MEMBERS_IN_TASK = 400
 SPLIT_BY = 4
+# Places of a bitmap, 64 to a row: never more than 524,288 rows of 16 bytes.
+PLACES = 1 << 25
+
+
+def sifted(rows: DataFrame, own: Column, wanted: DataFrame) -> DataFrame:
+    """The rows whose hash ``own`` is in ``wanted`` (one column of hashes), and some others.
+
+    Spares an exact join that follows the shuffle of rows it would drop. The bitmap that
+    is broadcast has a fixed size; far more hashes than places let more other rows pass.
+    """
+    place = F.pmod(F.col(wanted.columns[0]), F.lit(PLACES))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(64)).cast("int"))
+    bitmap = wanted.groupBy(F.floor(place / 64).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    mine = F.pmod(own, F.lit(PLACES))
+    there = (F.floor(mine / 64) == F.col("_word")) & (F.getbit("_bits", F.pmod(mine, F.lit(64)).cast("int")) == 1)
+    return rows.join(F.broadcast(bitmap), there, "left_semi")
 
 
 def band_keys(bands: Bands) -> Column:
@@ -276,8 +292,11 @@ def _linked(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: flo
                 same.append(weighted_jaccard(first, bag(other.as_py(), idf)) >= similarity)
             yield batch.select([0, 1]).filter(pa.array(same, pa.bool_()))
 
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("one"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("other"))
+    pairs = stage(pairs)
+    if pairs.isEmpty():
+        return pairs
+    left = sifted(texts, F.col("node"), pairs.select("a")).select(F.col("node").alias("a"), F.col("text").alias("one"))
+    right = sifted(texts, F.col("node"), pairs.select("b")).select(F.col("node").alias("b"), F.col("text").alias("other"))
     return (
         pairs.join(right, "b").join(left, "a").select("a", "b", "one", "other").mapInArrow(verify, "a bigint, b bigint")
     )
@@ -409,8 +428,9 @@ def near_links(
         # Bands often group the same texts; one of those groups is enough.
         sets = small.groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("all"))
         once = sets.groupBy("all").agg(F.min("key").alias("key")).select("key")
+        compared = stage(small.select("key", "node", "label").join(once, "key"))
         inside = (
-            small.select("key", "node", "label").join(once, "key").join(texts, "node")
+            compared.join(sifted(texts, F.col("node"), compared.select("node")), "node")
             .groupBy("key").applyInPandas(_inside(idf, similarity), "a bigint, b bigint")
         )
         links = stage(links.unionByName(inside).distinct())
@@ -474,8 +494,9 @@ def _classes(docs: DataFrame, bands: Bands, similarity: float) -> DataFrame:
     keyed = nodes.where(F.size("samples") > 0).select("node", F.explode(band_keys(bands)).alias("key"))
     met = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("key")
     wanted = stage(keyed.join(met, "key", "left_semi").select("node").distinct().join(nodes.drop("samples"), "node"))
+    near = sifted(given, F.xxhash64("doc", "raw"), wanted.select(F.xxhash64("doc", "raw").alias("hash")))
     texts = stage(
-        given.join(wanted.select("node", F.col("doc").alias("_d"), F.col("raw").alias("_r")), (F.col("doc") == F.col("_d")) & (F.col("raw") == F.col("_r")))
+        near.join(wanted.select("node", F.col("doc").alias("_d"), F.col("raw").alias("_r")), (F.col("doc") == F.col("_d")) & (F.col("raw") == F.col("_r")))
         .select("node", "text").dropDuplicates(["node"])
     )
     candidates = nodes.join(wanted.select("node"), "node", "left_semi")
