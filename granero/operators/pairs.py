@@ -77,32 +77,41 @@ def hot_cells(
     """Cells of a pair join of two stored tables; none without a policy."""
     if policy is None:
         return []
-    counts = skew.key_counts(
-        {
-            "left": (left, text_key(*(F.col(name) for name, _ in on))),
-            "right": (right, text_key(*(F.col(name) for _, name in on))),
-        },
-        policy,
-    )
-    return skew.cells(counts["left"], counts["right"], policy)
+    tables: list[skew.Keyed] = [
+        (left, {("pairs", "left"): text_key(*(F.col(name) for name, _ in on))}),
+        (right, {("pairs", "right"): text_key(*(F.col(name) for _, name in on))}),
+    ]
+    return skew.join_cells(tables, policy)["pairs"]
 
 
 def matched(
-    left: DataFrame, right: DataFrame, on: list[tuple[str, str]], key_mode: str = "text"
+    left: DataFrame,
+    right: DataFrame,
+    on: list[tuple[str, str]],
+    key_mode: str = "text",
+    any_of: Column | None = None,
 ) -> DataFrame:
     """The left rows whose key some right row has, each once.
 
     The right side shrinks to its distinct keys before it is shuffled, so a key
-    that very many right rows share costs one row per task.
+    that very many right rows share costs one row per task. ``any_of`` is a condition
+    on right rows; column ``_any`` says whether it holds for any of the key's.
     """
     _check_mode(key_mode)
+    how = "left_semi" if any_of is None else "inner"
+    flag = [] if any_of is None else [F.bool_or(any_of).alias("_any")]
     if key_mode == "text":
-        keys = right.select(text_key(*(F.col(name) for _, name in on)).alias(KEY)).distinct()
+        keys = _distinct(right, [text_key(*(F.col(name) for _, name in on)).alias(KEY)], flag)
         keyed = left.withColumn(KEY, text_key(*(F.col(name) for name, _ in on)))
-        return keyed.join(keys, KEY, "left_semi").drop(KEY)
-    keys = right.select(*(name for _, name in on)).distinct()
+        return keyed.join(keys, KEY, how).drop(KEY)
+    keys = _distinct(right, [F.col(name) for _, name in on], flag)
     conditions = [_same_part(left, keys, a, b) for a, b in on]
-    return left.alias("l").join(keys.alias("r"), _all(conditions), "left_semi")
+    joined = left.alias("l").join(keys.alias("r"), _all(conditions), how)
+    return joined if any_of is None else joined.select("l.*", "r._any")
+
+
+def _distinct(df: DataFrame, keys: list[Column], facts: list[Column]) -> DataFrame:
+    return df.groupBy(*keys).agg(*facts) if facts else df.select(*keys).distinct()
 
 
 def group_sizes(left: DataFrame, right: DataFrame, on: list[tuple[str, str]]) -> DataFrame:

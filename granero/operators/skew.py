@@ -8,19 +8,22 @@ grid line and meets every column, a right row the other way round. Every pair
 meets in exactly one cell, so the result is unchanged.
 
 The statistics come from a sample of the key columns; they steer the layout only
-and never remove a row. At most ``top`` keys per side reach the driver.
+and never remove a row. Keys are ranked by the pairs they form, join by join, so a
+key that is frequent on one side only takes no place from one that forms pairs.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from math import ceil, sqrt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-Counts = dict[str, int]
 Cells = list[tuple[str, int, int]]
+# A table and, by (join, "left" or "right"), the key that the join has on it.
+Keyed = tuple[DataFrame, dict[tuple[str, str], Column]]
 
 POSITION = "_position"
 
@@ -29,53 +32,56 @@ POSITION = "_position"
 class SkewPolicy:
     """When and how far a key is split.
 
-    A cell holds about ``rows_per_cell`` rows of each side, so the extra copies
-    stay near 1/rows_per_cell of the joined rows. A key outside the ``top`` of
-    its side holds less than 1/top of that side's rows.
+    A key that forms more than ``pairs_per_cell`` pairs is split into cells of about
+    that many. At most ``top`` keys of each join reach the driver, those of the most
+    pairs; as counted in the sample, any other key forms less than 1/top of the
+    join's pairs. Of a side that the sample misses up to 1/sample rows are assumed.
     """
 
-    rows_per_cell: int = 20_000
+    pairs_per_cell: int = 20_000_000
     sample: float = 0.01
     top: int = 1_000
-    max_parts: int = 4_096
 
 
-def key_counts(
-    sides: dict[str, tuple[DataFrame, Column]], policy: SkewPolicy
-) -> dict[str, Counts]:
-    """Estimated row counts of the frequent keys of each side, in one job."""
-    # Sampled first, so keys are built for the sample only.
-    keys = [
-        (df.sample(policy.sample, seed=7) if policy.sample < 1 else df).select(
-            F.lit(side).alias("side"), key.alias("key")
-        )
-        for side, (df, key) in sides.items()
-    ]
-    frequent = (
-        reduce(DataFrame.unionByName, keys)
-        .groupBy("side", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= policy.rows_per_cell * policy.sample)
-        .orderBy(F.desc("n"))
-        .limit(policy.top * len(sides))
+def join_cells(tables: list[Keyed], policy: SkewPolicy) -> dict[str, Cells]:
+    """Cells of each named join, in one job that reads every table once."""
+    sampled = []
+    for df, keys in tables:
+        tagged = [
+            F.struct(F.lit(join).alias("join"), F.lit(side).alias("side"), key.alias("key"))
+            for (join, side), key in keys.items()
+        ]
+        # Sampled first, so keys are built for the sample only.
+        part = df.sample(policy.sample, seed=7) if policy.sample < 1 else df
+        sampled.append(part.select(F.explode(F.array(*tagged)).alias("at")).select("at.*"))
+
+    def rows(side: str) -> Column:
+        return F.count(F.when(F.col("side") == side, 1)).alias(side)
+
+    counted = reduce(DataFrame.unionByName, sampled).groupBy("join", "key").agg(rows("left"), rows("right"))
+    if policy.sample == 1:
+        counted = counted.where((F.col("left") > 0) & (F.col("right") > 0))
+    pairs = F.greatest("left", F.lit(1)).cast("double") * F.greatest("right", F.lit(1)) / policy.sample**2
+    ranked = Window.partitionBy("join").orderBy(F.desc("pairs"), "key")
+    hot = (
+        counted.withColumn("pairs", pairs)
+        .where(F.col("pairs") > policy.pairs_per_cell)
+        .withColumn("place", F.row_number().over(ranked))
+        .where(F.col("place") <= policy.top)
     )
-    counts: dict[str, Counts] = {side: {} for side in sides}
-    for row in frequent.collect():
-        counts[row.side][row.key] = int(row.n / policy.sample)
-    return counts
-
-
-def cells(left: Counts, right: Counts, policy: SkewPolicy) -> Cells:
-    """Grid size (left parts, right parts) of every key that needs a split."""
+    found: dict[str, Cells] = {join: [] for _, keys in tables for join, _ in keys}
+    for row in hot.orderBy("join", "place").collect():
+        left, right = (max(1, side) / policy.sample for side in (row.left, row.right))
+        found[row.join].append((row.key, *grid(left, right, policy)))
+    return found
 
-    def parts(rows: int) -> int:
-        return max(1, min(policy.max_parts, -(-rows // policy.rows_per_cell)))
 
-    grid = [
-        (key, parts(left.get(key, 0)), parts(right.get(key, 0)))
-        for key in sorted(left.keys() | right.keys())
-    ]
-    return [cell for cell in grid if cell[1] > 1 or cell[2] > 1]
+def grid(left: float, right: float, policy: SkewPolicy) -> tuple[int, int]:
+    """Parts of each side: about ``pairs_per_cell`` pairs a cell, with the fewest copies of rows."""
+    cells = ceil(left * right / policy.pairs_per_cell)
+    # Copies are left x (parts of the right) + right x (parts of the left).
+    lines = min(ceil(left), cells, max(1, round(sqrt(cells * left / right))))
+    return lines, min(ceil(right), ceil(cells / lines))
 
 
 def with_position(df: DataFrame) -> DataFrame:
@@ -87,10 +93,10 @@ def with_position(df: DataFrame) -> DataFrame:
     return df.withColumn(POSITION, F.monotonically_increasing_id())
 
 
-def deal(df: DataFrame, key: str, grid: Cells, side: str) -> DataFrame:
+def deal(df: DataFrame, key: str, cells: Cells, side: str) -> DataFrame:
     """Add ``_row`` and ``_column``, the grid cell(s) of each row."""
     hot = F.broadcast(
-        df.sparkSession.createDataFrame(grid, "_hot string, _left int, _right int")
+        df.sparkSession.createDataFrame(cells, "_hot string, _left int, _right int")
     )
     own, other = ("_left", "_right") if side == "left" else ("_right", "_left")
     own_cell, other_cell = ("_row", "_column") if side == "left" else ("_column", "_row")

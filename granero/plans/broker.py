@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granero.functions.keys import text_key
@@ -111,11 +113,19 @@ def corredor_load(
     commission is stored. So commissions only say which agents count, texts
     are turned into their stored form once per person or agent, and copies go
     before the two are joined. Of several rows of a key the greatest check
-    digit, then the greatest name, is kept.
+    digit, then the greatest name, is kept. A commission whose product or branch is
+    no number fails the job if its agent and person exist, as it does there.
     """
+    codes = (checked_int(F.col(name)).isNull() for name in ("cod_producto", "cod_ramo"))
     agents = (
-        matched(tables["magente"], tables["te_producto_cial_comis"], AGENT_ON, key_mode)
-        .select("id_persona", trunc_int_or_zero(F.col("cod_agente")).alias("AgenteID"))
+        matched(
+            tables["magente"],
+            tables["te_producto_cial_comis"],
+            AGENT_ON,
+            key_mode,
+            any_of=reduce(Column.__or__, codes),
+        )
+        .select("id_persona", trunc_int_or_zero(F.col("cod_agente")).alias("AgenteID"), "_any")
         .distinct()
     )
     persons = (
@@ -129,6 +139,8 @@ def corredor_load(
     if cells:
         persons, agents = _placed_by_content(persons), _placed_by_content(agents)
     joined = pair_join(persons, agents, PERSON_ON, key_mode, cells)
+    junk = F.raise_error(F.lit("number expected in cod_producto, cod_ramo")).cast("int")
+    joined = joined.withColumn("AgenteID", F.when(F.col("_any"), junk).otherwise(F.col("AgenteID")))
     return one_per_key(CORREDOR.rows(joined), list(CORREDOR.keys), list(CORREDOR.updates))
 
 
@@ -205,17 +217,15 @@ def producto_corredor_load(
         product_key = text_key(
             trunc_int_or_zero(F.col("cod_ramo")), trunc_int_or_zero(F.col("cod_producto"))
         )
-        counts = skew.key_counts(
-            {
-                "commission": (commissions, _key(AGENT_ON)),
-                "link": (links, _key(AGENT_ON)),
-                "product": (producto, _key(PRODUCT_ON)),
-                "paid": (commissions, product_key),
-            },
+        found = skew.join_cells(
+            [
+                (commissions, {("link", "left"): _key(AGENT_ON), ("product", "right"): product_key}),
+                (links, {("link", "right"): _key(AGENT_ON)}),
+                (producto, {("product", "left"): _key(PRODUCT_ON)}),
+            ],
             policy,
         )
-        link_cells = skew.cells(counts["commission"], counts["link"], policy)
-        product_cells = skew.cells(counts["product"], counts["paid"], policy)
+        link_cells, product_cells = found["link"], found["product"]
         if product_cells:
             commissions = skew.with_position(commissions)
     brokers = broker_commissions(commissions, links, key_mode, link_cells)

@@ -83,21 +83,24 @@ def product_rows(
     bridge_cells: skew.Cells = []
     plan_cells: skew.Cells = []
     if policy:
-        counts = skew.key_counts(
-            {
-                "product": (products, text_key(*(F.col(name) for name, _ in BRIDGE_ON))),
-                "bridge": (bridge, text_key(*(F.col(name) for _, name in BRIDGE_ON))),
-                "plan": (plans, text_key(*(F.col(name) for name, _ in PLAN_ON))),
-                # Stands for the bridged rows, without joining them to count.
-                "technical": (
+        found = skew.join_cells(
+            [
+                (products, {("bridge", "left"): text_key(*(F.col(name) for name, _ in BRIDGE_ON))}),
+                (
                     bridge,
-                    text_key(F.col("cod_ramo"), trunc_int_or_zero(F.col("cod_producto_tec"))),
+                    {
+                        ("bridge", "right"): text_key(*(F.col(name) for _, name in BRIDGE_ON)),
+                        # Stands for the bridged rows, without joining them to count.
+                        ("plan", "right"): text_key(
+                            F.col("cod_ramo"), trunc_int_or_zero(F.col("cod_producto_tec"))
+                        ),
+                    },
                 ),
-            },
+                (plans, {("plan", "left"): text_key(*(F.col(name) for name, _ in PLAN_ON))}),
+            ],
             policy,
         )
-        bridge_cells = skew.cells(counts["product"], counts["bridge"], policy)
-        plan_cells = skew.cells(counts["plan"], counts["technical"], policy)
+        bridge_cells, plan_cells = found["bridge"], found["plan"]
         if plan_cells:
             bridge = skew.with_position(bridge)
     bridged = product_bridge(products, bridge, key_mode, bridge_cells)

@@ -69,6 +69,8 @@ def test_junk_branch_comes_last_and_fails_if_it_is_the_only_one(spark):
     assert rows(coverages(tables(spark, plans, [("1", "x")]))) == {("1", "x", 5, "B"): 1}
     with pytest.raises(PySparkException):
         coverages(tables(spark, plans[:1], [("1", "x")])).collect()
+    with pytest.raises(PySparkException):
+        cobertura_load(coverages(tables(spark, plans[:1], [("1", "x")]))).collect()
 
 
 def test_insert_ready_coverage(spark):
@@ -106,5 +108,5 @@ def test_split_pairs_equal_whole_ones(spark, sf_dir):
     from granero.operators.skew import SkewPolicy
 
     sources = source_tables(spark, sf_dir)
-    tiny = SkewPolicy(rows_per_cell=4, sample=1.0, max_parts=3)
+    tiny = SkewPolicy(pairs_per_cell=16, sample=1.0)
     assert rows(tariff_pairs(sources, tiny)) == rows(tariff_pairs(sources, None))

@@ -99,6 +99,18 @@ def test_link_takes_the_agents_id(spark):
     ]
 
 
+@pytest.mark.parametrize("mode", ["text", "columns"])
+@pytest.mark.parametrize("codes", [("K", "1"), ("1", None)])
+def test_brokers_need_numbers_in_their_commissions(spark, mode, codes):
+    junk = ("1", "a", "0", *codes)
+    agents, persons = [("1", "a", "x"), ("2", "a", "x")], [("x", "55K", "n", "m", "o")]
+    good = ("2", "a", "0", "1", "1")
+    with pytest.raises(PySparkException):
+        broker.corredor_load(people(spark, [junk, good], agents, persons), mode).collect()
+    alone = people(spark, [junk, good], agents[1:], persons)
+    assert [tuple(row) for row in broker.corredor_load(alone, mode).collect()] == [(2, 55, 0, "N M O")]
+
+
 def test_person_without_id_meets_every_agent_without_one(spark):
     tables = people(
         spark,

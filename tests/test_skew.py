@@ -1,9 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from granero.functions.keys import text_key
 from granero.operators import skew
-from granero.operators.pairs import pair_join
+from granero.operators.pairs import hot_cells, pair_join
 from granero.plans.broker import producto_corredor_load
 from granero.plans.coverage import coverages, producto_cobertura_load
 from granero.plans.product import producto_load
@@ -12,7 +11,7 @@ from granero.sources.staging import stage
 from tests.helpers import bag
 
 ON = [("k", "k")]
-EAGER = skew.SkewPolicy(rows_per_cell=50, sample=1.0)
+EAGER = skew.SkewPolicy(pairs_per_cell=2500, sample=1.0)
 
 
 def hot_sides(spark, copies=3000):
@@ -29,40 +28,53 @@ def hot_sides(spark, copies=3000):
 
 
 def measured(left, right, policy=EAGER):
-    key = text_key(F.col("k"))
-    counts = skew.key_counts({"left": (left, key), "right": (right, key)}, policy)
-    return counts, skew.cells(counts["left"], counts["right"], policy)
+    return hot_cells(left, right, ON, policy)
 
 
 def test_hot_keys_are_found(spark):
-    counts, cells = measured(*hot_sides(spark))
-    assert counts == {"left": {"null": 3000}, "right": {"null": 100}}
-    assert cells == [("null", 60, 2)]
+    # 300,000 pairs in 120 cells; 60 lines of 50 rows, 2 columns of 50 rows.
+    assert measured(*hot_sides(spark)) == [("null", 60, 2)]
 
 
 def test_sampled_counts_are_scaled(spark):
-    left, _ = hot_sides(spark, copies=20_000)
-    policy = skew.SkewPolicy(rows_per_cell=1000, sample=0.1)
-    counts = skew.key_counts({"left": (left, text_key(F.col("k")))}, policy)
-    assert list(counts["left"]) == ["null"]
-    assert 17_000 < counts["left"]["null"] < 23_000
-
-
-def test_driver_gets_at_most_top_keys(spark):
-    df = spark.range(1000).select((F.col("id") % 100).cast("string").alias("k"))
-    policy = skew.SkewPolicy(rows_per_cell=1, sample=1.0, top=7)
-    assert len(skew.key_counts({"left": (df, F.col("k"))}, policy)["left"]) == 7
+    left, right = hot_sides(spark, copies=20_000)
+    policy = skew.SkewPolicy(pairs_per_cell=100_000, sample=0.1)
+    [(key, lines, columns)] = measured(left, right, policy)
+    assert key == "null"
+    assert 10 < lines * columns < 32
+
+
+def test_keys_hot_on_one_side_do_not_crowd_out_those_that_pair(spark):
+    left = spark.range(3000).select((F.col("id") % 30).cast("string").alias("k"))
+    pairing = spark.range(60).select(F.lit("both").alias("k"))
+    policy = skew.SkewPolicy(pairs_per_cell=100, sample=1.0, top=1)
+    assert measured(stage(left.union(pairing)), stage(pairing), policy) == [("both", 6, 6)]
+
+
+def test_joins_do_not_share_their_places(spark):
+    one = spark.range(500).select(F.lit("a").alias("k"))
+    two = spark.range(50).select(F.lit("b").alias("k"))
+    policy = skew.SkewPolicy(pairs_per_cell=100, sample=1.0, top=1)
+    key = F.col("k")
+    found = skew.join_cells(
+        [(one, {("x", "left"): key, ("x", "right"): key}), (two, {("y", "left"): key, ("y", "right"): key})],
+        policy,
+    )
+    assert [cells[0][0] for cells in found.values()] == ["a", "b"]
 
 
-def test_parts_are_bounded():
-    policy = skew.SkewPolicy(rows_per_cell=10, max_parts=4)
-    assert skew.cells({"a": 1000, "b": 10}, {"b": 25}, policy) == [("a", 4, 1), ("b", 1, 3)]
+def test_cells_hold_the_wanted_number_of_pairs():
+    policy = skew.SkewPolicy(pairs_per_cell=1000)
+    for left, right in [(10, 10), (1e9, 1), (1, 1e9), (1e6, 1e6), (5e4, 300)]:
+        lines, columns = skew.grid(left, right, policy)
+        assert left * right / (lines * columns) <= 1.6 * policy.pairs_per_cell
+        assert lines <= left and columns <= right
 
 
 @pytest.mark.parametrize("mode", ["text", "columns"])
 def test_split_keeps_every_pair_once(spark, mode):
     left, right = hot_sides(spark)
-    _, cells = measured(left, right)
+    cells = measured(left, right)
     whole = pair_join(left, right, ON, mode).select("l.x", "r.y")
     split = pair_join(left, right, ON, mode, cells).select("l.x", "r.y")
     assert whole.count() > 300_000
@@ -71,7 +83,7 @@ def test_split_keeps_every_pair_once(spark, mode):
 
 def test_split_spreads_a_hot_key_over_tasks(spark):
     left, right = hot_sides(spark)
-    _, cells = measured(left, right)
+    cells = measured(left, right)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -91,7 +103,7 @@ def test_split_spreads_a_hot_key_over_tasks(spark):
 
 def test_carried_positions_are_used(spark):
     left, right = hot_sides(spark)
-    _, cells = measured(left, right)
+    cells = measured(left, right)
     numbered = skew.with_position(left).repartition(5)
     split = pair_join(numbered, right, ON, "text", cells).select("l.x", "r.y")
     assert bag(split) == bag(pair_join(left, right, ON).select("l.x", "r.y"))
@@ -102,7 +114,7 @@ def test_flows_do_not_depend_on_splits(spark, sf_dir):
     from granero.plans.broker import corredor_load
 
     tables = source_tables(spark, sf_dir)
-    tiny = skew.SkewPolicy(rows_per_cell=5, sample=1.0, top=20, max_parts=3)
+    tiny = skew.SkewPolicy(pairs_per_cell=25, sample=1.0, top=20)
     plain = producto_load(tables, policy=None)
     assert bag(producto_load(tables, policy=tiny)) == bag(plain)
 
