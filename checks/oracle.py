@@ -299,3 +299,18 @@ ORACLE = {
     "f6_producto_alt": sql("SELECT * FROM f1", OTHER_EDITION),
     "f7_all": sql(COUNTED),
 }
+
+# The same results, whatever keys are split.
+ORACLE |= {
+    f"{name}_split": ORACLE[name]
+    for name in (
+        "j4_product_coverage",
+        "j6_person_broker",
+        "j7_product_broker",
+        "f1_producto",
+        "f3_producto_cobertura",
+        "f4_corredor",
+        "f5_producto_corredor",
+    )
+}
+ORACLE |= {f"{name}_split_columns": ORACLE[name] for name in ("f4_corredor", "f5_producto_corredor")}

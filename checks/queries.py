@@ -67,6 +67,35 @@ def _written(spark: SparkSession, target: Target, rows: DataFrame) -> DataFrame:
     return mart.read(target)
 
 
+def _bridged(tables: dict[str, DataFrame], key_mode: str = "text") -> DataFrame:
+    sides = _renamed(tables), tables["te_producto_tec_cial"]
+    cells = hot_cells(*sides, product.BRIDGE_ON, SkewPolicy())
+    return product.product_bridge(*sides, key_mode, cells)
+
+
+def _paid_agents(tables: dict[str, DataFrame], policy: SkewPolicy = SkewPolicy()) -> DataFrame:
+    sides = tables["te_producto_cial_comis"], tables["magente"]
+    return broker.commission_agents(*sides, cells=hot_cells(*sides, broker.AGENT_ON, policy))
+
+
+def _brokers(tables: dict[str, DataFrame], policy: SkewPolicy = SkewPolicy()) -> DataFrame:
+    # Stored, so that a repeated task deals its rows to the same cells.
+    sides = tables["mpersona"], stage(_paid_agents(tables, policy))
+    return broker.person_brokers(*sides, cells=hot_cells(*sides, broker.PERSON_ON, policy))
+
+
+def _paid_products(spark: SparkSession, sf_dir: str, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
+    sides = _stored_products(spark, sf_dir), stage(_brokers(source_tables(spark, sf_dir), policy))
+    return broker.product_brokers(*sides, cells=hot_cells(*sides, broker.PRODUCT_ON, policy))
+
+
+def _covered_products(spark: SparkSession, sf_dir: str, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
+    covered = stage(coverage.coverages(source_tables(spark, sf_dir)))
+    sides = _stored_products(spark, sf_dir), covered
+    cells = hot_cells(*sides, coverage.PRODUCT_ON, policy)
+    return coverage.product_coverages(*sides, cells=cells)
+
+
 @query
 def scan(spark, sf_dir):
     return source_tables(spark, sf_dir)["te_producto_cial"]
@@ -92,9 +121,7 @@ def rename_(spark, sf_dir):
 @query
 def pair_project(spark, sf_dir):
     tables = source_tables(spark, sf_dir)
-    return broker.commission_agents(
-        tables["te_producto_cial_comis"], tables["magente"]
-    ).select("cod_agente", "id_persona", "pje_comision", "cod_producto")
+    return _paid_agents(tables).select("cod_agente", "id_persona", "pje_comision", "cod_producto")
 
 
 @query
@@ -197,16 +224,12 @@ def cogroup_pairs(spark, sf_dir):
 
 @query
 def j1_product_bridge(spark, sf_dir):
-    tables = source_tables(spark, sf_dir)
-    return product.product_bridge(_renamed(tables), tables["te_producto_tec_cial"])
+    return _bridged(source_tables(spark, sf_dir))
 
 
 @query
 def j1_product_bridge_columns(spark, sf_dir):
-    tables = source_tables(spark, sf_dir)
-    return product.product_bridge(
-        _renamed(tables), tables["te_producto_tec_cial"], key_mode="columns"
-    )
+    return _bridged(source_tables(spark, sf_dir), "columns")
 
 
 @query
@@ -231,30 +254,22 @@ def first_per_text_and_product(spark, sf_dir):
 
 @query
 def j4_product_coverage(spark, sf_dir):
-    covered = stage(coverage.coverages(source_tables(spark, sf_dir)))
-    producto = _stored_products(spark, sf_dir)
-    cells = hot_cells(producto, covered, coverage.PRODUCT_ON, SkewPolicy())
-    return coverage.product_coverages(producto, covered, cells=cells)
+    return _covered_products(spark, sf_dir)
 
 
 @query
 def j5_commission_agent(spark, sf_dir):
-    tables = source_tables(spark, sf_dir)
-    return broker.commission_agents(tables["te_producto_cial_comis"], tables["magente"])
+    return _paid_agents(source_tables(spark, sf_dir))
 
 
 @query
 def j6_person_broker(spark, sf_dir):
-    tables = source_tables(spark, sf_dir)
-    paid = broker.commission_agents(tables["te_producto_cial_comis"], tables["magente"])
-    return broker.person_brokers(tables["mpersona"], paid)
+    return _brokers(source_tables(spark, sf_dir))
 
 
 @query
 def j7_product_broker(spark, sf_dir):
-    return broker.product_brokers(
-        _stored_products(spark, sf_dir), j6_person_broker(spark, sf_dir)
-    )
+    return _paid_products(spark, sf_dir)
 
 
 @query
@@ -374,3 +389,59 @@ def f7_all(spark, sf_dir):
         for target in TARGETS
     ]
     return reduce(DataFrame.unionByName, sizes)
+
+
+# The same once more with small cells, so that many keys are split on any data.
+SPLIT = SkewPolicy(pairs_per_cell=16, sample=1.0)
+
+
+@query
+def j4_product_coverage_split(spark, sf_dir):
+    return _covered_products(spark, sf_dir, SPLIT)
+
+
+@query
+def j6_person_broker_split(spark, sf_dir):
+    return _brokers(source_tables(spark, sf_dir), SPLIT)
+
+
+@query
+def j7_product_broker_split(spark, sf_dir):
+    return _paid_products(spark, sf_dir, SPLIT)
+
+
+@query
+def f1_producto_split(spark, sf_dir):
+    return product.producto_load(source_tables(spark, sf_dir), policy=SPLIT)
+
+
+@query
+def f3_producto_cobertura_split(spark, sf_dir):
+    covered = stage(coverage.coverages(source_tables(spark, sf_dir)))
+    return coverage.producto_cobertura_load(
+        _stored_products(spark, sf_dir), covered, "columns", SPLIT
+    )
+
+
+@query
+def f4_corredor_split(spark, sf_dir):
+    return broker.corredor_load(source_tables(spark, sf_dir), policy=SPLIT)
+
+
+@query
+def f4_corredor_split_columns(spark, sf_dir):
+    return broker.corredor_load(source_tables(spark, sf_dir), "columns", SPLIT)
+
+
+@query
+def f5_producto_corredor_split(spark, sf_dir):
+    tables = source_tables(spark, sf_dir)
+    return broker.producto_corredor_load(tables, _stored_products(spark, sf_dir), policy=SPLIT)
+
+
+@query
+def f5_producto_corredor_split_columns(spark, sf_dir):
+    tables = source_tables(spark, sf_dir)
+    return broker.producto_corredor_load(
+        tables, _stored_products(spark, sf_dir), "columns", SPLIT
+    )

@@ -8,7 +8,7 @@ from granero.plans.coverage import coverages, producto_cobertura_load
 from granero.plans.product import producto_load
 from granero.sources.jdbc import read_back
 from granero.sources.staging import stage
-from tests.helpers import bag
+from tests.helpers import bag, plan
 
 ON = [("k", "k")]
 EAGER = skew.SkewPolicy(pairs_per_cell=2500, sample=1.0)
@@ -132,3 +132,10 @@ def test_flows_do_not_depend_on_splits(spark, sf_dir):
         producto_corredor_load(tables, producto, policy=None)
     )
     assert bag(corredor_load(tables, policy=tiny)) == bag(corredor_load(tables, policy=None))
+
+
+def test_split_queries_split(spark, sf_dir):
+    from checks.queries import QUERIES
+
+    for name in [name for name in QUERIES if "_split" in name]:
+        assert "_row" in plan(QUERIES[name](spark, sf_dir)), name
