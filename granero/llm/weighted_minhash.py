@@ -493,14 +493,16 @@ def _classes(docs: DataFrame, bands: Bands, similarity: float) -> DataFrame:
     # Only texts that some band groups with another are fetched.
     keyed = nodes.where(F.size("samples") > 0).select("node", F.explode(band_keys(bands)).alias("key"))
     met = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("key")
-    wanted = stage(keyed.join(met, "key", "left_semi").select("node").distinct().join(nodes.drop("samples"), "node"))
+    grouped = stage(keyed.join(met, "key", "left_semi").select("node").distinct())
+    wanted = stage(sifted(nodes, F.col("node"), grouped).join(grouped, "node", "left_semi"))
     near = sifted(given, F.xxhash64("doc", "raw"), wanted.select(F.xxhash64("doc", "raw").alias("hash")))
+    # Repeated rows go first, by the keys of the join, so that texts are shuffled once.
     texts = stage(
-        near.join(wanted.select("node", F.col("doc").alias("_d"), F.col("raw").alias("_r")), (F.col("doc") == F.col("_d")) & (F.col("raw") == F.col("_r")))
-        .select("node", "text").dropDuplicates(["node"])
+        near.dropDuplicates(["doc", "raw"])
+        .join(wanted.select("node", F.col("doc").alias("_d"), F.col("raw").alias("_r")), (F.col("doc") == F.col("_d")) & (F.col("raw") == F.col("_r")))
+        .select("node", "text")
     )
-    candidates = nodes.join(wanted.select("node"), "node", "left_semi")
-    links = near_links(stage(candidates), texts, idf, bands, similarity)
+    links = near_links(wanted, texts, idf, bands, similarity)
     labels = components(links)
     degrees = (
         links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
