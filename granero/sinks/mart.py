@@ -16,14 +16,19 @@ from granero.sources.manifest import Entry, Manifest, utc_now
 BATCH = "batch"
 
 
+class StaleTable(RuntimeError):
+    """The table has changed since it was read for this write."""
+
+
 class ParquetMart:
     """Tables under one folder.
 
-    A table lives in the folder its newest manifest entry names; rows are kept
-    per batch. Appending adds a batch, so loading twice stores rows twice unless
-    the same ``batch_id`` is given, which replaces that batch. Overwriting and
-    upserting write a new folder and switch to it once it is complete; readers
-    of the old one are not disturbed.
+    A table is the batch folders that its newest manifest entry names. Appending adds
+    a batch, so loading twice stores rows twice unless the same ``batch_id`` is given,
+    which replaces that batch. Every write goes to a new folder, and the table switches
+    to it once it is complete: a failed write changes nothing, and readers of the old
+    rows are not disturbed. A write fails if the table has changed since it began;
+    two writers that publish in the same instant are not told apart.
     """
 
     def __init__(self, spark: SparkSession, base: str):
@@ -31,55 +36,70 @@ class ParquetMart:
         self.base = base
         self.manifest = Manifest(spark, base)
 
-    def _new_folder(self, target: Target) -> str:
-        return join_path(self.base, target.name, uuid.uuid4().hex)
-
-    def _write(self, rows: DataFrame, folder: str, batch_id: str) -> None:
-        rows.write.mode("overwrite").parquet(join_path(folder, f"{BATCH}={batch_id}"))
+    def _write(self, target: Target, rows: DataFrame, batch_id: str) -> str:
+        folder = join_path(self.base, target.name, uuid.uuid4().hex, f"{BATCH}={batch_id}")
+        rows.select(*target.schema.names).write.parquet(folder)
+        return folder
 
     def _current(self, target: Target) -> Entry | None:
         return self.manifest.newest([target.name]).get(target.name)
 
-    def _publish(self, target: Target, folder: str) -> None:
-        self.manifest.add([Entry(target.name, folder, target.schema.json(), utc_now())])
+    def _publish(self, target: Target, folders: list[str], read: Entry | None) -> None:
+        if self._current(target) != read:
+            raise StaleTable(f"{target.name} was written by another load in the meantime")
+        self.manifest.add([Entry(target.name, "\n".join(folders), target.schema.json(), utc_now())])
 
     def read(self, target: Target) -> DataFrame:
-        entry = self._current(target)
+        return self._rows(target, self._current(target))
+
+    def _rows(self, target: Target, entry: Entry | None) -> DataFrame:
         return entry.read(self.spark) if entry else self.spark.createDataFrame([], target.schema)
 
     def append(self, target: Target, rows: DataFrame, batch_id: str | None = None) -> None:
-        """Add insert-ready rows; a generated id goes on after the largest stored."""
-        batch_id = batch_id or uuid.uuid4().hex
-        if target.generated:
-            rows = self._with_ids(target, rows, batch_id)
-        entry = self._current(target)
-        folder = entry.path if entry else self._new_folder(target)
-        self._write(rows.select(*target.schema.names), folder, batch_id)
-        if entry is None:
-            self._publish(target, folder)
+        """Add insert-ready rows; a generated id goes on after the largest stored.
 
-    def _with_ids(self, target: Target, rows: DataFrame, batch_id: str) -> DataFrame:
-        # Ids of a batch that is about to be replaced are not counted.
+        A batch that replaces one takes over its ids, beginning with the least.
+        """
+        batch_id = batch_id or uuid.uuid4().hex
         entry = self._current(target)
-        last = 0
-        if entry:
-            stored = self.spark.read.schema(target.schema.add(BATCH, "string")).parquet(entry.path)
-            kept = stored.where(F.col(BATCH) != batch_id)
-            last = kept.agg(F.max(target.generated)).first()[0] or 0
-        return surrogate_ids(rows, target.order(), target.generated, start_at=last + 1)
+        stored = entry.folders if entry else []
+        old = [folder for folder in stored if folder.endswith(f"/{BATCH}={batch_id}")]
+        others = [folder for folder in stored if folder not in old]
+        if target.generated:
+            rows = self._with_ids(target, rows, old, others)
+        written = self._write(target, rows, batch_id)
+        self._publish(target, [written if folder in old else folder for folder in stored] if old else [*others, written], entry)
+
+    def _ids(self, target: Target, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], target.schema).select(target.generated)
+        return self.spark.read.schema(target.schema).parquet(*folders).select(target.generated)
+
+    def _with_ids(self, target: Target, rows: DataFrame, old: list[str], others: list[str]) -> DataFrame:
+        """Number the rows; a larger batch must not run into ids that later batches have."""
+        own = F.col(target.generated)
+        first = self._ids(target, old).agg(F.min(own)).first()[0]
+        if first is None:
+            last = self._ids(target, others).agg(F.max(own)).first()[0] or 0
+            return surrogate_ids(rows, target.order(), target.generated, start_at=last + 1)
+        numbered = surrogate_ids(rows, target.order(), target.generated, start_at=first)
+        taken = self._ids(target, others).where(own > first).agg(F.min(own)).first()[0]
+        if taken is not None and (numbered.agg(F.max(own)).first()[0] or 0) >= taken:
+            raise ValueError(
+                f"the batch has more rows than ids: {taken} belongs to a later batch of {target.name}"
+            )
+        return numbered
 
     def overwrite(self, target: Target, rows: DataFrame) -> None:
         """Replace the table; generated ids start at 1 again."""
+        entry = self._current(target)
         if target.generated:
             rows = surrogate_ids(rows, target.order(), target.generated)
-        folder = self._new_folder(target)
-        self._write(rows.select(*target.schema.names), folder, uuid.uuid4().hex)
-        self._publish(target, folder)
+        self._publish(target, [self._write(target, rows, uuid.uuid4().hex)], entry)
 
     def upsert(self, target: Target, rows: DataFrame) -> None:
         """Insert insert-ready rows or update those whose key is stored."""
+        entry = self._current(target)
         keys, updates = list(target.keys), list(target.updates)
-        merged = upsert(self.read(target), one_per_key(rows, keys, updates), keys, updates)
-        folder = self._new_folder(target)
-        self._write(merged, folder, uuid.uuid4().hex)
-        self._publish(target, folder)
+        merged = upsert(self._rows(target, entry), one_per_key(rows, keys, updates), keys, updates)
+        self._publish(target, [self._write(target, merged, uuid.uuid4().hex)], entry)

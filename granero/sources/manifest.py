@@ -26,7 +26,10 @@ def utc_now() -> datetime:
 
 @dataclass(frozen=True)
 class Entry:
-    """A complete copy of a table; ``columns`` is its schema as JSON."""
+    """A complete copy of a table; ``columns`` is its schema as JSON.
+
+    ``path`` names one folder, or several with a newline between them.
+    """
 
     name: str
     path: str
@@ -35,9 +38,13 @@ class Entry:
     expires_at: datetime | None = None
     row_count: int | None = None
 
+    @property
+    def folders(self) -> list[str]:
+        return self.path.split("\n")
+
     def read(self, spark: SparkSession) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(self.columns))
-        return spark.read.schema(schema).parquet(self.path).select(*schema.names)
+        return spark.read.schema(schema).parquet(*self.folders).select(*schema.names)
 
 
 class Manifest:

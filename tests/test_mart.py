@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from granero.plans.load import load_mart
-from granero.sinks.mart import ParquetMart
+from granero.sinks.mart import ParquetMart, StaleTable
 from granero.sinks.targets import (
     COBERTURA,
     CORREDOR,
@@ -83,6 +83,50 @@ def test_batch_id_makes_a_rerun_replace_its_rows(spark, mart):
     assert bag(mart.read(PRODUCTO)) == before
 
 
+def test_a_failed_rerun_leaves_the_old_batch(spark, mart):
+    mart.append(PRODUCTO, products(spark, ["5", "6"]), batch_id="monday")
+    before = bag(mart.read(PRODUCTO))
+    with pytest.raises(Exception):
+        mart.append(PRODUCTO, products(spark, ["5", "junk"]), batch_id="monday")
+    links = [(1, None, 1, None, None, None)]
+    mart.append(PRODUCTO_COBERTURA, spark.createDataFrame(links, PRODUCTO_COBERTURA.schema), "monday")
+    broken = spark.range(1).select(
+        F.raise_error(F.lit("no rows")).cast("int").alias("CoberturaId"),
+        *(F.lit(None).cast(f.dataType).alias(f.name) for f in PRODUCTO_COBERTURA.schema[1:]),
+    )
+    with pytest.raises(Exception):
+        mart.append(PRODUCTO_COBERTURA, broken, "monday")
+    assert bag(mart.read(PRODUCTO)) == before
+    assert mart.read(PRODUCTO_COBERTURA).count() == 1
+
+
+def test_a_replaced_middle_batch_keeps_its_ids(spark, mart):
+    mart.append(PRODUCTO, products(spark, ["1", "2"]), batch_id="monday")
+    mart.append(PRODUCTO, products(spark, ["3", "4"]), batch_id="tuesday")
+    before = bag(mart.read(PRODUCTO))
+    mart.append(PRODUCTO, products(spark, ["1", "2"]), batch_id="monday")
+    assert bag(mart.read(PRODUCTO)) == before
+    with pytest.raises(ValueError, match="later batch"):
+        mart.append(PRODUCTO, products(spark, ["1", "2", "9"]), batch_id="monday")
+    assert bag(mart.read(PRODUCTO)) == before
+    mart.append(PRODUCTO, products(spark, ["3", "4", "9"]), batch_id="tuesday")
+    assert sorted(column(mart.read(PRODUCTO), "ProductoId")) == [1, 2, 3, 4, 5]
+
+
+def test_a_stale_upsert_fails(spark, base, mart):
+    first = spark.createDataFrame([(1, 10, 5, "A")], CORREDOR.schema)
+    second = spark.createDataFrame([(2, 20, 5, "B")], CORREDOR.schema)
+
+    class Slow(ParquetMart):
+        def _write(self, target, rows, batch_id):
+            mart.upsert(CORREDOR, second)  # another load is faster
+            return super()._write(target, rows, batch_id)
+
+    with pytest.raises(StaleTable):
+        Slow(spark, base + "/mart").upsert(CORREDOR, first)
+    assert bag(mart.read(CORREDOR)) == bag(second.select(*CORREDOR.schema.names))
+
+
 def test_overwrite(spark, mart):
     mart.append(PRODUCTO, products(spark, ["1", "2"]))
     old = mart.read(PRODUCTO)
