@@ -9,8 +9,8 @@ exact weighted Jaccard similarity of their whole texts decides.
 
 Equal texts are one node. Within a band's group no pairs are listed: every text is
 compared with the group's first one. What fails is compared anew inside its group
-if that is small, and otherwise regrouped by one more sample. Links become classes
-by passing the smallest label along them.
+if that is small. The texts of all larger groups are joined by their rare shingles,
+exactly. Links become classes by passing the smallest label along them.
 """
 
 from __future__ import annotations
@@ -250,7 +250,8 @@ def signed(docs: DataFrame, idf: np.ndarray, bands: Bands) -> DataFrame:
 # --- links ----------------------------------------------------------------------
 
 MEMBERS_IN_TASK = 400
-SPLIT_BY = 4
+# Times that long lists of texts meet a text before all their pairs do.
+HOT_ROUNDS = 6
 # Places of a bitmap, 64 to a row: never more than 524,288 rows of 16 bytes.
 PLACES = 1 << 25
 
@@ -401,6 +402,95 @@ def _to_first(groups: DataFrame) -> DataFrame:
     return other.select(*pair).distinct()
 
 
+def _rare_first(texts: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
+    """Postings (node, shingle, rest, total) of the rarest shingles of (node, text).
+
+    Shingles have one order for all texts, the rare ones of these texts first. What two
+    similar texts have in common weighs at least ``similarity`` times either, so the first
+    shingle that both have is one with at least that share of both texts from it on
+    (``rest``). Only those shingles are listed.
+    """
+    rarity = inverse_frequencies(texts.select("text"))
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found, own = bag(text.as_py(), idf)
+                if not len(found):
+                    continue
+                order = np.lexsort((found, -weights(found, np.ones(len(found)), rarity)))
+                rest = own[order][::-1].cumsum()[::-1]
+                rest = rest[rest >= similarity * rest[0] * (1 - 1e-9)]
+                names = found[order[: len(rest)]].view(np.int64)
+                columns = [np.full(len(rest), node, np.int64), names, rest, np.full(len(rest), rest[0])]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "shingle", "rest", "total"])
+
+    return texts.select("node", "text").mapInArrow(listed, "node bigint, shingle bigint, rest double, total double")
+
+
+def _may_be_near(one: str, other: str, similarity: float) -> Column:
+    """Whether texts can be similar if the shingle they met at is the first that both have."""
+    least = similarity / (1 + similarity) * (1 - 1e-9)
+    return F.least(f"{one}.rest", f"{other}.rest") >= least * (F.col(f"{one}.total") + F.col(f"{other}.total"))
+
+
+def _lists(postings: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """Postings of shingles that texts of different labels have, with the first text of each."""
+    named = _with_labels(postings, labels)
+    facts = named.groupBy("shingle").agg(
+        F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "label", "rest", "total")).alias("head"),
+        F.count(F.lit(1)).alias("size"),
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+    )
+    return named.join(facts.where(F.col("low") != F.col("high")).drop("low", "high"), "shingle")
+
+
+def _all_pairs(lists: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different labels that may be near, of every list.
+
+    A list of more than ``MEMBERS_IN_TASK`` texts is dealt into parts and every two of
+    them meet in a cell of their own.
+    """
+    parts = F.ceil(F.col("size") / MEMBERS_IN_TASK)
+    dealt = lists.drop("head").withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), parts))
+    left = dealt.withColumn("row", F.col("part")).withColumn("column", F.explode(F.sequence("part", parts - 1)))
+    right = dealt.withColumn("column", F.col("part")).withColumn("row", F.explode(F.sequence(F.lit(0).cast("bigint"), "part")))
+    left, right = left.alias("l"), right.alias("r")
+    same = [F.col(f"l.{name}") == F.col(f"r.{name}") for name in ("shingle", "row", "column")]
+    once = (F.col("l.row") != F.col("l.column")) | (F.col("l.node") < F.col("r.node"))
+    apart = (F.col("l.label") != F.col("r.label")) & once & _may_be_near("l", "r", similarity)
+    return left.join(right, same[0] & same[1] & same[2] & apart).select(
+        F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")
+    ).distinct()
+
+
+def _among(
+    hot: DataFrame, texts: DataFrame, links: DataFrame, labels: DataFrame, idf: np.ndarray, similarity: float
+) -> DataFrame:
+    """``links`` and those between all similar texts of ``hot`` (node) that they do not connect."""
+    own = stage(sifted(texts, F.col("node"), hot).join(hot, "node", "left_semi"))
+    postings = stage(_rare_first(own, idf, similarity))
+    # Long lists shrink first: their texts meet one of them, as in bands, while that connects any.
+    for turn in range(HOT_ROUNDS):
+        lists = stage(_lists(postings, labels, turn))
+        long = lists.where(F.col("size") > MEMBERS_IN_TASK).alias("t")
+        if long.isEmpty():
+            break
+        meets = (F.col("t.label") != F.col("t.head.label")) & _may_be_near("t", "t.head", similarity)
+        pairs = long.where(meets).select(
+            F.least("t.node", "t.head.node").alias("a"), F.greatest("t.node", "t.head.node").alias("b")
+        )
+        met = stage(_linked(pairs.distinct(), own, idf, similarity))
+        if met.isEmpty():
+            break
+        links = stage(links.unionByName(met).distinct())
+        labels = components(links)
+    lists = stage(_lists(postings, labels, HOT_ROUNDS))
+    met = _linked(_all_pairs(lists, similarity), own, idf, similarity)
+    return stage(links.unionByName(met).distinct())
+
+
 def near_links(
     nodes: DataFrame, texts: DataFrame, idf: np.ndarray, bands: Bands = Bands(), similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -409,9 +499,8 @@ def near_links(
     ``nodes`` (node, doc, samples) and ``texts`` (node, text) are stored tables. In a
     band's group every text meets the group's first. In groups whose texts are then
     not all connected, small ones are compared inside one task, all unconnected pairs
-    of at most ``MEMBERS_IN_TASK`` texts. The texts of larger groups are split by two
-    more samples each round, and meet the first text of their new group, until their
-    groups are small or connected.
+    of at most ``MEMBERS_IN_TASK`` texts. The texts of all larger groups are joined
+    by their rare shingles, which finds every similar pair of them that is not connected.
     """
     samples = nodes.where(F.size("samples") > 0)
     members = samples.select(
@@ -422,39 +511,20 @@ def near_links(
     labels = components(links)
     known = groups.select("key", "node", "doc", "band")
     unlinked = stage(_grouped(_with_labels(known, labels)))
-    turn = 0
-    while True:
-        small = unlinked.where(F.col("size") <= MEMBERS_IN_TASK)
-        # Bands often group the same texts; one of those groups is enough.
-        sets = small.groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("all"))
-        once = sets.groupBy("all").agg(F.min("key").alias("key")).select("key")
-        compared = stage(small.select("key", "node", "label").join(once, "key"))
-        inside = (
-            compared.join(sifted(texts, F.col("node"), compared.select("node")), "node")
-            .groupBy("key").applyInPandas(_inside(idf, similarity), "a bigint, b bigint")
-        )
-        links = stage(links.unionByName(inside).distinct())
-        large = unlinked.where(F.col("size") > MEMBERS_IN_TASK)
-        if turn >= bands.samples - bands.rows or large.isEmpty():
-            return links
-        finer = [
-            F.element_at("samples", F.pmod((F.col("band") + 1) * bands.rows + turn + i, F.lit(bands.samples)) + 1)
-            for i in range(SPLIT_BY)
-        ]
-        split = (
-            large.select("key", "node", "doc", "band", "label").join(samples.select("node", "samples"), "node")
-            .withColumn("key", F.xxhash64("key", *finer)).drop("samples")
-        )
-        groups = stage(_grouped(split))
-        met = stage(_linked(_to_first(groups.where(F.col("size") > MEMBERS_IN_TASK)), texts, idf, similarity))
-        links = stage(links.unionByName(met).distinct())
-        ends = met.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        joined = ends.select(F.col("a").alias("first"), F.col("b").alias("node"), F.lit(True).alias("met"))
-        label = F.when(F.col("met"), F.col("first_label")).otherwise(F.col("label")).alias("label")
-        unlinked = stage(
-            _grouped(groups.join(joined, ["first", "node"], "left").select("key", "node", "doc", "band", label))
-        )
-        turn += SPLIT_BY
+    small = unlinked.where(F.col("size") <= MEMBERS_IN_TASK)
+    # Bands often group the same texts; one of those groups is enough.
+    sets = small.groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("all"))
+    once = sets.groupBy("all").agg(F.min("key").alias("key")).select("key")
+    compared = stage(small.select("key", "node", "label").join(once, "key"))
+    inside = (
+        compared.join(sifted(texts, F.col("node"), compared.select("node")), "node")
+        .groupBy("key").applyInPandas(_inside(idf, similarity), "a bigint, b bigint")
+    )
+    links = stage(links.unionByName(inside).distinct())
+    hot = stage(unlinked.where(F.col("size") > MEMBERS_IN_TASK).select("node").distinct())
+    if hot.isEmpty():
+        return links
+    return _among(hot, texts, links, components(links), idf, similarity)
 
 
 def near_duplicates(docs: DataFrame, bands: Bands = Bands(), similarity: float = SIMILARITY) -> DataFrame:

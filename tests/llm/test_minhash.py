@@ -45,6 +45,21 @@ def test_large_groups_are_split_and_connected(spark, monkeypatch):
     assert all(found[100 + i] == 100 + i for i in range(12))
 
 
+def test_pairs_inside_a_large_group_equal_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(near, "MEMBERS_IN_TASK", 5)
+    shared = [f"word{i}" for i in range(500)]
+    rows = []
+    for i in range(70):
+        # Of every seven texts two have some of their own words in common.
+        pair = i // 7 if i % 7 < 2 else 100 + i
+        own = [f"own{pair}x{j}" for j in range(8)] + [f"last{i}x{j}" for j in range(9)]
+        rows.append((i, " ".join(shared + own)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = brute_classes(rows, near.inverse_frequencies(docs))
+    assert len({least for least in want.values()}) == 60
+    assert classes(docs) == {doc: least[1] for (doc, _), least in want.items()}
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     found = near.near_duplicates(docs)
