@@ -2,9 +2,10 @@
 
 Pages are parsed into elements. The subtree of every element is hashed, the hashes
 are counted per host, and subtrees that recur on many pages of their host are
-deleted with all that is in them. Pages are told apart by their titles, so copies
-of one article do not count as many pages. Paragraphs and the like may be quoted
-or copied; they go only if most of the host's pages have them.
+deleted with all that is in them. Pages are told apart by their own content, the
+largest part of their text that equally many pages of the host have and not most of
+them, so copies of one article do not count as many pages. Paragraphs and the like
+may be quoted or copied; they need more pages.
 
 What markup declares to be no article (menus, scripts, forms, adverts and so on)
 goes by its tag or class, so that hosts of a single page are cleaned too.
@@ -51,6 +52,8 @@ NOT_TEXT = frozenset(
 )
 # Copies of these are more often quotes than templates.
 FLOW = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table tbody thead tr td th figure figcaption a b i em strong span code".split())
+# Of these, what a section of a host can have as its template.
+SECTION = frozenset("p ul ol dl table".split())
 MAIN = frozenset(["article", "main"])
 WHOLE = MAIN | {"body", "html"}
 
@@ -85,7 +88,6 @@ class PageParser(HTMLParser):
         self.blocks: list[tuple[str, int, bool]] = []
         self.text: list[str] = []
         self.owner = 0
-        self.title: list[str] = []
 
     def flush(self) -> None:
         block = " ".join("".join(self.text).split())
@@ -164,8 +166,6 @@ class PageParser(HTMLParser):
     def handle_data(self, data: str) -> None:
         own = self.elements[self.open[-1]]
         own.digest.update(data.strip().encode())
-        if own.tag == "title" and not self.title:
-            self.title.append(data.strip())
         if not own.out:
             if not self.text:
                 self.owner = self.open[-1]
@@ -180,8 +180,20 @@ def _signed(number: int) -> int:
     return number - (1 << 64) if number >> 63 else number
 
 
-def parse(html: str) -> tuple[int, list[tuple[int, int, bool]], list[tuple[str, int]]]:
-    """Title hash, elements that hold text (hash, parent, flow), blocks (text, element).
+# Kinds of elements, by how many pages make them a template.
+PLAIN, IN_SECTIONS, IN_MOST = range(3)
+
+
+def _kind(tag: str) -> int:
+    return IN_SECTIONS if tag in SECTION else IN_MOST if tag in FLOW else PLAIN
+
+
+Parts = list[tuple[int, int]]
+
+
+def parse(html: str) -> tuple[int, list[tuple[int, int, int]], list[tuple[str, int]], Parts]:
+    """Content hash, elements that hold text (hash, parent, kind), blocks (text, element) and
+    the different block texts (hash, characters).
 
     If the page marks an article, only its blocks count.
     """
@@ -190,7 +202,7 @@ def parse(html: str) -> tuple[int, list[tuple[int, int, bool]], list[tuple[str,
     parser.finish()
     blocks = [block for block in parser.blocks if block[2]] or parser.blocks
     new: dict[int, int] = {0: -1}
-    elements: list[tuple[int, int, bool]] = []
+    elements: list[tuple[int, int, int]] = []
 
     def keep(at: int) -> int:
         path = []
@@ -200,27 +212,31 @@ def parse(html: str) -> tuple[int, list[tuple[int, int, bool]], list[tuple[str,
         for own in reversed(path):
             element = parser.elements[own]
             new[own] = len(elements)
-            elements.append((_signed(element.hash), new[element.parent], element.tag in FLOW))
+            elements.append((_signed(element.hash), new[element.parent], _kind(element.tag)))
         return new[path[0]] if path else new[at]
 
     placed = [(text, keep(at)) for text, at, _ in blocks]
-    title = parser.title[0] if parser.title else parser.elements[0].digest.hexdigest()
-    return _signed(xxhash.xxh3_64_intdigest(title.encode())), elements, placed
+    parts = {_signed(xxhash.xxh3_64_intdigest(text.encode())): len(text) for text, _ in placed}
+    content = _signed(xxhash.xxh3_64_intdigest("\n".join(text for text, _ in placed).encode()))
+    return content, elements, placed, list(parts.items())
 
 
 PARSED = (
-    "page_id bigint, url string, host string, title bigint, "
-    "elements array<struct<hash:bigint,parent:int,flow:boolean>>, blocks array<struct<text:string,element:int>>"
+    "page_id bigint, url string, host string, content bigint, "
+    "elements array<struct<hash:bigint,parent:int,kind:int>>, blocks array<struct<text:string,element:int>>, "
+    "parts array<struct<hash:bigint,chars:bigint>>"
 )
 
 
 @dataclass(frozen=True)
 class TemplatePolicy:
-    """A subtree goes if at least ``least_pages`` titles of its host have it; paragraphs
-    and other flow elements also need ``flow_share`` of the host's titles."""
+    """A subtree goes if at least ``least_pages`` pages of its host have it; paragraphs and
+    other flow elements also need ``flow_share`` of the host's pages. Whole paragraphs, lists
+    and tables can be templates of a section: ``section_pages`` are enough for them."""
 
     least_pages: int = 5
     flow_share: float = 0.5
+    section_pages: int = 50
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
@@ -228,21 +244,24 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [
-            pa.list_(pa.struct([("hash", pa.int64()), ("parent", pa.int32()), ("flow", pa.bool_())])),
+            pa.list_(pa.struct([("hash", pa.int64()), ("parent", pa.int32()), ("kind", pa.int32())])),
             pa.list_(pa.struct([("text", pa.string()), ("element", pa.int32())])),
+            pa.list_(pa.struct([("hash", pa.int64()), ("chars", pa.int64())])),
         ]
         for batch in batches:
             found = [parse(html.as_py() or "") for html in batch.column(3)]
-            elements = [[{"hash": h, "parent": p, "flow": f} for h, p, f in page[1]] for page in found]
+            elements = [[{"hash": h, "parent": p, "kind": k} for h, p, k in page[1]] for page in found]
             blocks = [[{"text": t, "element": e} for t, e in page[2]] for page in found]
+            parts = [[{"hash": h, "chars": n} for h, n in page[3]] for page in found]
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(i) for i in range(3)),
                     pa.array([page[0] for page in found], pa.int64()),
                     pa.array(elements, kinds[0]),
                     pa.array(blocks, kinds[1]),
+                    pa.array(parts, kinds[2]),
                 ],
-                ["page_id", "url", "host", "title", "elements", "blocks"],
+                ["page_id", "url", "host", "content", "elements", "blocks", "parts"],
             )
 
     host = F.lower(F.regexp_extract(F.col("url"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1))
@@ -252,21 +271,52 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
     return own.mapInArrow(read, PARSED)
 
 
+def own_contents(pages: DataFrame, policy: TemplatePolicy = TemplatePolicy()) -> DataFrame:
+    """What tells a page from others of its host: host, content, own.
+
+    Pages of the same text are one. A page's blocks are put together by how many of the
+    host's pages have them, without what most have; those of the most characters are its
+    own. So copies of an article in different surroundings are one, too.
+    """
+    texts = pages.select("host", "content", "parts").dropDuplicates(["host", "content"])
+    sizes = texts.groupBy(F.col("host").alias("_h")).agg(F.count(F.lit(1)).alias("_pages"))
+    parts = texts.select("host", "content", F.explode("parts").alias("p")).select("host", "content", "p.*")
+    counted = parts.groupBy(F.col("host").alias("_host"), F.col("hash").alias("_hash")).agg(F.count(F.lit(1)).alias("n"))
+    # What only one page has needs no row.
+    often = counted.where(F.col("n") > 1).join(sizes, F.col("_host") == F.col("_h")).drop("_h")
+    n = F.coalesce("n", F.lit(1))
+    most = F.coalesce((n >= policy.least_pages) & (n >= policy.flow_share * F.col("_pages")), F.lit(False))
+    alike = (
+        parts.join(often, (F.col("host") == F.col("_host")) & (F.col("hash") == F.col("_hash")), "left")
+        .where(~most)
+        .groupBy("host", "content", n.alias("n"))
+        .agg(F.sum("chars").alias("chars"), F.bit_xor("hash").alias("own"))
+    )
+    own = alike.groupBy("host", "content").agg(F.max(F.struct("chars", "n", "own")).alias("best"))
+    return own.select("host", "content", F.col("best.own").alias("own"))
+
+
 def templates(pages: DataFrame, policy: TemplatePolicy = TemplatePolicy()) -> DataFrame:
     """Subtrees (host, hash) that recur on many pages of their host.
 
     ``pages`` are parsed pages. A page without a host has no site and counts for none.
     """
     sited = pages.where(F.col("host") != "")
-    uses = sited.select("host", "title", F.explode("elements").alias("e")).select(
-        "host", "title", F.col("e.hash").alias("hash"), F.col("e.flow").alias("flow")
-    )
-    counted = uses.groupBy("host", "hash").agg(
-        F.count_distinct("title").alias("n"), F.bool_and("flow").alias("flow")
+    own = stage(own_contents(sited, policy))
+    named = own.select(F.col("host").alias("_h"), F.col("content").alias("_c"), "own")
+    # Pages of nothing but what most pages have are one page.
+    uses = (
+        sited.select("host", "content", "elements")
+        .join(named, (F.col("host") == F.col("_h")) & (F.col("content") == F.col("_c")), "left")
+        .select("host", F.coalesce("own", F.lit(0)).alias("own"), F.explode("elements").alias("e"))
+        .select("host", "own", F.col("e.hash").alias("hash"), F.col("e.kind").alias("kind"))
     )
-    hosts = sited.groupBy(F.col("host").alias("_host")).agg(F.count_distinct("title").alias("_titles"))
-    often = (F.col("n") >= policy.least_pages) & (
-        ~F.col("flow") | (F.col("n") >= policy.flow_share * F.col("_titles"))
+    counted = uses.groupBy("host", "hash").agg(F.count_distinct("own").alias("n"), F.min("kind").alias("kind"))
+    hosts = own.groupBy(F.col("host").alias("_host")).agg(F.count_distinct("own").alias("_pages"))
+    often = (
+        (F.col("kind") == PLAIN)
+        | (F.col("n") >= policy.flow_share * F.col("_pages"))
+        | ((F.col("kind") == IN_SECTIONS) & (F.col("n") >= policy.section_pages))
     )
     # Only what recurs at all meets the hosts' sizes.
     return (

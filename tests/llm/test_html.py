@@ -46,6 +46,29 @@ def test_copies_of_an_article_stay(spark):
     assert {r.text for r in site.extract(pages(spark, rows)).collect()} == {"Copied text"}
 
 
+def test_templates_go_from_pages_of_one_title(spark):
+    body = "<title>The site</title><div>Site line</div><div><p>Own text {0}, longer than all else on its page.</p></div>"
+    found = site.extract(pages(spark, [(i, f"http://a.example/{i}", body.format(i)) for i in range(8)])).collect()
+    assert {r.text for r in found} == {f"Own text {i}, longer than all else on its page." for i in range(8)}
+
+
+def test_copies_in_different_surroundings_stay(spark):
+    copy = "<title>t{0}</title><div>Ad {0}</div><div><p>An article that eight pages of the host have.</p></div>"
+    other = "<title>t{0}</title><div><p>Some other article of the host, number {0}.</p></div>"
+    rows = [(i, f"http://a.example/{i}", (copy if i < 8 else other).format(i)) for i in range(30)]
+    found = {r.page_id: r.text for r in site.extract(pages(spark, rows)).collect()}
+    assert found[3] == "Ad 3\nAn article that eight pages of the host have."
+    assert found[20] == "Some other article of the host, number 20."
+
+
+def test_section_templates_go(spark):
+    menu = "<ul><li>One</li><li>Two</li></ul>"
+    own = "<title>t{0}</title><h2>Heading</h2><p>Own text {0}, longer than all else on its page.</p>"
+    rows = [(i, f"http://a.example/{i}", (menu if i < 60 else "") + own.format(i)) for i in range(200)]
+    found = {r.page_id: r.text for r in site.extract(pages(spark, rows)).collect()}
+    assert all(text == f"Own text {i}, longer than all else on its page." for i, text in found.items())
+
+
 def test_awkward_pages(spark):
     rows = [(1, None, None), (None, "not a url", "<p>x"), (2, "http://h/", ""), (2, "http://h/", ""), (3, "HTTPS://U:P@H:8/", "<p>" + "y " * 200_000)]
     found = site.extract(pages(spark, rows))
