@@ -8,7 +8,8 @@ them, so copies of one article do not count as many pages. Paragraphs and the li
 may be quoted or copied; they need more pages.
 
 What markup declares to be no article (menus, scripts, forms, adverts and so on)
-goes by its tag or class, so that hosts of a single page are cleaned too.
+goes by its tag or class, so that hosts of a single page are cleaned too. Forms and
+class names only hint: what holds the article or much of the page's text stays.
 """
 
 from __future__ import annotations
@@ -47,7 +48,7 @@ KEEPS = frozenset("article aside blockquote body div dl fieldset figure footer f
 WITHIN = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
 
 NOT_TEXT = frozenset(
-    "head title script style noscript template iframe object svg canvas audio video select button textarea form "
+    "head title script style noscript template iframe object svg canvas audio video select button textarea "
     "nav aside footer menu dialog".split()
 )
 # Copies of these are more often quotes than templates.
@@ -56,6 +57,8 @@ FLOW = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table tbo
 SECTION = frozenset("p ul ol dl table".split())
 MAIN = frozenset(["article", "main"])
 WHOLE = MAIN | {"body", "html"}
+# Marked articles are not the page's text if the rest is over so many times longer.
+TEASERS = 2
 
 _NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adslot|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|"
@@ -64,8 +67,15 @@ _NAMES = re.compile(
     r"pagination|pager|widget|login|skip-link)(?:$|[\s_-]|\d)",
     re.IGNORECASE,
 )
+# Names that say how a page is laid out, not what the element is.
+_LAYOUT = re.compile(
+    r"(?:^|(?<=\s))(?:(?:has|no|not|with|without|is|hide|show|open)[_-]\S*|"
+    r"\S*[_-](?:open|opened|close|closed|enabled|disabled|on|off|layout|wrap|wrapper))(?=\s|$)",
+    re.IGNORECASE,
+)
+_COMMENTS = re.compile(r"comment|respond|repl", re.IGNORECASE)
 _HEADERS = re.compile(r"(?:^|[\s_-])(?:header|site-title|topbar)(?:$|[\s_-]|\d)", re.IGNORECASE)
-_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
+_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu".split())
 
 
 @dataclass
@@ -74,6 +84,10 @@ class Element:
     parent: int
     out: bool
     main: bool
+    # Perhaps no article, by its class or as a form; a whole name says so; readers' comments by class.
+    hinted: bool = False
+    named: bool = False
+    comments: bool = False
     digest: xxhash.xxh3_64 = field(default_factory=xxhash.xxh3_64)
     hash: int = 0
 
@@ -108,20 +122,29 @@ class PageParser(HTMLParser):
             return
         named = dict(attrs)
         words = f"{named.get('class') or ''} {named.get('id') or ''}"
+        own = _LAYOUT.sub(" ", words)
         role = (named.get("role") or "").lower()
         main = above.main or tag in MAIN or role == "main"
+        comments = tag not in ("body", "html") and bool(_NAMES.search(own)) and bool(_COMMENTS.search(own))
+        hinted = (
+            tag == "form"
+            or role == "form"
+            or (tag not in WHOLE and bool(_NAMES.search(own)))
+            or (not above.main and tag not in WHOLE and bool(_HEADERS.search(own)))
+        )
+        whole = any((found := _NAMES.search(name)) and found[0] == name for name in own.split())
         out = (
             above.out
             or tag in NOT_TEXT
             or "hidden" in named
             or role in _ROLES
-            or (tag not in WHOLE and bool(_NAMES.search(words)))
-            or (not above.main and tag not in WHOLE and (tag == "header" or bool(_HEADERS.search(words))))
+            or (not above.main and tag == "header")
+            # Parts of a line go at once, lest lines be torn.
+            or (hinted and tag not in BLOCKS)
+            # Readers' comments are often articles of their own inside or below the article.
+            or (tag in MAIN and comments)
         )
-        # Readers' comments are often articles of their own inside or below the article.
-        if tag in MAIN and _NAMES.search(words) and re.search(r"comment|respond|repl", words, re.IGNORECASE):
-            out = True
-        self.elements.append(Element(tag, self.open[-1], out, main and not out))
+        self.elements.append(Element(tag, self.open[-1], out, main and not out, hinted, whole, comments))
         self.elements[-1].digest.update(f"{tag} {words}".encode())
         self.open.append(len(self.elements) - 1)
         if tag in BLOCKS:
@@ -175,6 +198,38 @@ class PageParser(HTMLParser):
         self.close()
         self.close_to(0)
 
+    def article(self) -> list[tuple[str, int, bool]]:
+        """The blocks that are the page's text.
+
+        Hinted elements go, unless they hold most of the marked articles or, if none is
+        marked or those are far shorter, most of the text. Beside marked articles those go
+        that have a whole name, such as "ad". Of what stays, marked articles are
+        all that counts unless the rest is far longer: then they are teasers.
+        """
+        chars, marked = [0] * len(self.elements), [0] * len(self.elements)
+        for text, at, main in self.blocks:
+            chars[at] += len(text)
+            marked[at] += len(text) if main else 0
+        for at in range(len(self.elements) - 1, 0, -1):  # parents come before what they hold
+            above = self.elements[at].parent
+            chars[above] += chars[at]
+            marked[above] += marked[at]
+        total, articles = chars[0], marked[0]
+        gone = [False] * len(self.elements)
+        for at, element in enumerate(self.elements[1:], 1):
+            gone[at] = gone[element.parent]
+            if element.hinted and not gone[at]:
+                if articles and element.comments:
+                    gone[at] = marked[at] < articles
+                elif articles and element.named:
+                    gone[at] = 2 * marked[at] <= articles
+                elif 2 * marked[at] <= articles:
+                    gone[at] = 2 * chars[at] <= total or chars[at] <= TEASERS * articles
+        left = [block for block in self.blocks if not gone[block[1]]]
+        inside = [block for block in left if block[2]]
+        within = sum(len(text) for text, _, _ in inside)
+        return inside if inside and sum(len(text) for text, _, _ in left) <= (1 + TEASERS) * within else left
+
 
 def _signed(number: int) -> int:
     return number - (1 << 64) if number >> 63 else number
@@ -195,12 +250,12 @@ def parse(html: str) -> tuple[int, list[tuple[int, int, int]], list[tuple[str, i
     """Content hash, elements that hold text (hash, parent, kind), blocks (text, element) and
     the different block texts (hash, characters).
 
-    If the page marks an article, only its blocks count.
+    If the page marks an article, only its blocks count; see :meth:`PageParser.article`.
     """
     parser = PageParser()
     parser.feed(html)
     parser.finish()
-    blocks = [block for block in parser.blocks if block[2]] or parser.blocks
+    blocks = parser.article()
     new: dict[int, int] = {0: -1}
     elements: list[tuple[int, int, int]] = []
 

@@ -27,6 +27,27 @@ def test_parse(html, text):
     assert text_of(html) == text
 
 
+BODY = "<p>A body that is much longer than all the teasers are.</p><p>It goes on and on for a while.</p>"
+BODY_TEXT = "A body that is much longer than all the teasers are.\nIt goes on and on for a while."
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        *((f"<div class='{name}'><article>{BODY}</article></div>", BODY_TEXT) for name in (
+            "layout has-sidebar", "no-sidebar", "content comments-open", "post has-comments", "wrap sticky-nav")),
+        *((f"<div class='{name}'>{BODY}</div>", BODY_TEXT) for name in ("no-sidebar", "post has-comments", "wrap sticky-nav")),
+        (f"<form id=aspnetForm><div class=menu>no</div>{BODY}</form>", BODY_TEXT),
+        (f"<div>{BODY}</div><article>Teaser</article><article>Other</article>", f"{BODY_TEXT}\nTeaser\nOther"),
+        (f"<article>Short but all.</article><div class=comments>{BODY}</div>", "Short but all."),
+        (f"<article>{BODY}</article><div class=related><article>Teaser</article></div>", BODY_TEXT),
+        (f"<div class=sidebar>no</div><div>{BODY}</div><form>no</form>", BODY_TEXT),
+    ],
+)
+def test_wrappers_keep_what_they_hold(html, text):
+    assert text_of(html) == text
+
+
 def pages(spark, rows):
     return spark.createDataFrame([(*row, "clash") for row in rows], "page_id bigint, url string, html string, text string")
 
