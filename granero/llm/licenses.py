@@ -7,6 +7,10 @@ a template (prefix filter), has enough words of the templates (length filter)
 and enough of them after the word they met at (positional filter). What passes
 is counted exactly, so no match is lost and none is added.
 
+:func:`scan` takes lines as blocks, as its SQL does. :func:`notices` takes windows of
+the whole text, across line ends, about as long as the template, and asks for the
+words that tell a license from its relatives.
+
 Templates are a parameter of bounded size and travel with the tasks. The corpus
 never moves; only the counts of the templates' words are shuffled.
 """
@@ -41,6 +45,15 @@ TEMPLATES = {
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
 }
 
+# Words without which a notice is not of that license, though it may hold most others.
+TELLING = {
+    "apache-2.0": "apache 2",
+    "cc-by-nc": "cc by nc",
+    "gpl-3.0": "gnu general public 3",
+    "mit": "mit",
+    "mpl-2.0": "mozilla public 2",
+}
+
 THRESHOLD = 0.8
 MOST_TEMPLATE_WORDS = 100_000
 
@@ -125,6 +138,58 @@ class Templates:
                     yield name, common / size
 
 
+class Windows:
+    """The windows of a text that hold enough of a template.
+
+    A window is as many words as the template has, repeats included, over the threshold, so
+    a notice may have some other words inside. Every window of the text is looked at.
+    """
+
+    def __init__(self, texts: Mapping[str, str], telling: Mapping[str, str], threshold: float):
+        self.words = {name: template_words(text) for name, text in texts.items()}
+        self.telling = {name: template_words(telling.get(name, "")) for name in texts}
+        for name, own in self.telling.items():
+            if not own <= self.words[name]:
+                raise ValueError(f"telling words of {name} are not in its template")
+        self.needed = {name: max(1, math.ceil(threshold * len(own) - 1e-9)) for name, own in self.words.items()}
+        self.length = {
+            name: math.ceil(len(text.encode().translate(LINES).split()) / threshold) for name, text in texts.items()
+        }
+        self.of: dict[bytes, list[str]] = defaultdict(list)
+        for name, own in self.words.items():
+            for word in own:
+                self.of[word].append(name)
+
+    def match(self, words: list[bytes]) -> Iterator[tuple[str, int, float]]:
+        """Template, first word and containment of the best window of every stretch of matches."""
+        places: dict[str, list[tuple[int, bytes]]] = defaultdict(list)
+        for at, word in enumerate(words):
+            for name in self.of.get(word, ()):
+                places[name].append((at, word))
+        for name, held in places.items():
+            telling, needed, size = self.telling[name], self.needed[name], len(self.words[name])
+            if len({word for _, word in held}) < needed:
+                continue
+            inside: Counter[bytes] = Counter()
+            first, best, end = 0, (0, 0), -1
+            for at, word in held:
+                inside[word] += 1
+                while held[first][0] <= at - self.length[name]:
+                    old = held[first][1]
+                    inside[old] -= 1
+                    if not inside[old]:
+                        del inside[old]
+                    first += 1
+                if len(inside) < needed or not telling <= inside.keys():
+                    continue
+                if best[0] and held[first][0] > end:  # a window apart from the last ones
+                    yield name, -best[1], best[0] / size
+                    best = (0, 0)
+                best, end = max(best, (len(inside), -held[first][0])), at
+            if best[0]:
+                yield name, -best[1], best[0] / size
+
+
 def _places(words: list[bytes], phrase: tuple[bytes, ...]) -> Iterator[int]:
     at = -1
     try:
@@ -136,6 +201,17 @@ def _places(words: list[bytes], phrase: tuple[bytes, ...]) -> Iterator[int]:
         return
 
 
+def _record(batch: pa.RecordBatch, sizes: list, places: list, matches: list) -> pa.RecordBatch:
+    kinds = [
+        pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())])),
+        pa.list_(pa.struct([("block", pa.int64()), ("template", pa.string()), ("containment", pa.float64())])),
+    ]
+    return pa.RecordBatch.from_arrays(
+        [batch.column(0), pa.array(sizes, pa.int64()), pa.array(places, kinds[0]), pa.array(matches, kinds[1])],
+        ["doc_id", "n_words", "places", "matches"],
+    )
+
+
 def scan(
     docs: DataFrame,
     templates: Mapping[str, str] = TEMPLATES,
@@ -174,21 +250,44 @@ def scan(
                         for name, share in index.match(set(line.split())):
                             matches[-1].append({"block": number, "template": name, "containment": share})
                 sizes.append(len(words))
-            kinds = [
-                pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())])),
-                pa.list_(
-                    pa.struct([("block", pa.int64()), ("template", pa.string()), ("containment", pa.float64())])
-                ),
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(places, kinds[0]),
-                    pa.array(matches, kinds[1]),
-                ],
-                ["doc_id", "n_words", "places", "matches"],
-            )
+            yield _record(batch, sizes, places, matches)
+
+    own = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    return own.mapInArrow(look, MATCHES)
+
+
+def notices(
+    docs: DataFrame,
+    templates: Mapping[str, str] = TEMPLATES,
+    phrases: Mapping[str, str] = PHRASES,
+    threshold: float = THRESHOLD,
+    telling: Mapping[str, str] = TELLING,
+) -> DataFrame:
+    """As :func:`scan`, but notices are found wherever their lines break, and long lines are
+    not one bag of words: blocks are windows of bounded length over the words of the whole
+    text, and ``block`` is the number of a window's first word. ``telling`` names words of a
+    template that a match must have."""
+    named = {name: text for name, text in templates.items() if template_words(text)}
+    index = Windows(named, telling, threshold)
+    wanted = {tuple(phrase.encode().split()): label for phrase, label in phrases.items()}
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, places, matches = [], [], []
+            for text in batch.column(1):
+                words = (text.as_py() or "").encode().translate(LINES).split()
+                own = set(words)
+                found = [
+                    {"word": at, "label": label}
+                    for phrase, label in wanted.items()
+                    if own.issuperset(phrase)
+                    for at in _places(words, phrase)
+                ]
+                places.append(sorted(found, key=lambda place: (place["word"], place["label"])))
+                held = sorted(index.match(words), key=lambda match: (match[1], match[0]))
+                matches.append([{"block": at, "template": name, "containment": share} for name, at, share in held])
+                sizes.append(len(words))
+            yield _record(batch, sizes, places, matches)
 
     own = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return own.mapInArrow(look, MATCHES)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from granero.llm.ann import nearest
 from granero.llm.host_rules import MEASURES, host_quality
-from granero.llm.licenses import labelled, scan
+from granero.llm.licenses import labelled, notices, scan
 from granero.llm.line_dedup import dedup_lines
 from granero.llm.mixing import mix
 from granero.llm.packing import pack_documents
@@ -52,6 +52,12 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled(scan(read(spark, sf_dir, "documents")))
 
 
+@query
+def op4_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices wherever their lines break; ``op4_license_scan`` is held to its SQL, which reads lines."""
+    return labelled(notices(read(spark, sf_dir, "documents")))
+
+
 @query
 def op5_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
