@@ -532,8 +532,9 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands(), similarity: float =
 
     ``class_id`` is the smallest doc_id of the class, ``kept`` marks the document that
     stands for it (the smallest text hash, if rows share that id; equal rows are all
-    marked). ``n_links`` counts the verified links of the document's text. Texts with
-    the same words are one text; null and empty texts are all the text of no words.
+    marked). ``n_links`` counts the spanning links of the document's text: verified, but
+    only those found on the way to connecting its class, so in a large class far fewer
+    than its similar texts. Texts with the same words are one text; null and empty texts are all the text of no words.
     Null ids are smallest. Columns other than doc_id and text are not read. An empty
     table gives an empty result.
     """

@@ -45,6 +45,16 @@ def test_large_groups_are_split_and_connected(spark, monkeypatch):
     assert all(found[100 + i] == 100 + i for i in range(12))
 
 
+def test_links_of_a_large_class_are_called_spanning(spark):
+    words = [f"word{i}" for i in range(300)]
+    rows = [(i, " ".join(words[: 7 * i] + [f"new{i}"] + words[7 * i + 1 :])) for i in range(40)]
+    found = near.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.class_id for r in found} == {0}
+    # All 780 pairs are similar; far fewer links connect them.
+    assert 2 * 39 <= sum(r.n_links for r in found) < 780
+    assert "spanning links" in near.near_duplicates.__doc__
+
+
 def test_pairs_inside_a_large_group_equal_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(near, "MEMBERS_IN_TASK", 5)
     shared = [f"word{i}" for i in range(500)]
