@@ -177,3 +177,34 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY r, doc_id
 """
+
+# The line rule, the marks and the seed of the contract.
+ORACLE["op11_displacement_scatter"] = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+  FROM documents
+),
+numbers AS (
+  SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n,
+    CAST('0x' || digest[1:8] AS BIGINT) % (len(u) + 1) AS a,
+    CAST('0x' || digest[9:16] AS BIGINT) % (len(u) + 1) AS b,
+    CAST('0x' || digest[25:32] AS BIGINT) % 100 AS side
+  FROM drawn
+),
+parts AS (
+  SELECT doc_id, t, n, side,
+    array_to_string(u[1:least(a, b)], '') AS p,
+    array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m,
+    array_to_string(u[greatest(a, b) + 1:], '') AS s,
+    t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') AS plain
+  FROM numbers
+)
+SELECT doc_id, n,
+  CASE WHEN plain THEN 'plain' WHEN side < 50 THEN 'spm' ELSE 'psm' END AS form,
+  CASE WHEN NOT plain THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN NOT plain THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE WHEN plain THEN t WHEN side < 50 THEN '<S>' || s || '<P>' || p || '<M>' || m
+    ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts"""

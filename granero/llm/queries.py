@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granero.llm.ann import nearest
+from granero.llm.byte_bpe import decode, encode
+from granero.llm.fill_middle import fill_in_middle, restored
 from granero.llm.host_rules import MEASURES, host_quality
 from granero.llm.licenses import labelled, notices, scan
 from granero.llm.line_dedup import dedup_lines
@@ -97,3 +99,28 @@ def op6_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_displacement_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = restored(fill_in_middle(read(spark, sf_dir, "documents")))
+    return moved.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = decode(encode(read(spark, sf_dir, "documents")))
+    return tokens.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
