@@ -208,3 +208,35 @@ SELECT doc_id, n,
     ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
   sha256(t) AS restored_sha256
 FROM parts"""
+
+# The anchors, labels, scale and window of the contract.
+ORACLE["op12_split_point_negatives"] = """
+WITH given AS (
+  SELECT vec_id,
+    CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+usual AS (SELECT len(v) AS d FROM given GROUP BY 1 ORDER BY count(*) DESC, 1 DESC LIMIT 1),
+rows_ AS (
+  SELECT vec_id, r.label AS label, r.v AS v
+  FROM (SELECT vec_id, min({'label': label, 'v': v}) AS r FROM given, usual WHERE len(v) = d GROUP BY 1)
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same,
+    CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows_ a JOIN rows_ b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+),
+mined AS (
+  SELECT p.anchor_id, positive_id, s.vec_id AS negative_id, positive_score, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+    AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+)
+SELECT * FROM mined WHERE rank <= 3"""

@@ -14,6 +14,7 @@ from granero.llm.host_rules import MEASURES, host_quality
 from granero.llm.licenses import labelled, notices, scan
 from granero.llm.line_dedup import dedup_lines
 from granero.llm.mixing import mix
+from granero.llm.negatives import hard_negatives
 from granero.llm.packing import pack_documents
 from granero.llm.rule_ensemble import classify, fit_rules
 from granero.llm.sharding import shard
@@ -115,6 +116,13 @@ def op11_displacement_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_split_point_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = decode(encode(read(spark, sf_dir, "documents")))
