@@ -23,9 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granero.llm.packing import Generations, batches_by_size
+from granero.llm.fill_middle import slices
+from granero.llm.packing import Generations
 
-CACHED_PIECES = 400_000
+# Matches whose ids a task remembers, and text bytes it splits at a time.
+CACHED_PIECES = 200_000
+MOST_BYTES = 2_000_000
 # Longer matches are rare, so they are encoded without being remembered.
 CACHED_CHARS = 64
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -143,20 +146,16 @@ def model_file(tokens: list[bytes]) -> bytes:
 # --- encoding and decoding --------------------------------------------------------
 
 
-class ByteBpe:
-    """Ids of texts as little-endian 32-bit numbers, and their bytes again."""
+class Encoder:
+    """Ids of texts as little-endian 32-bit numbers."""
 
     def __init__(self, path: str, pattern: str):
-        self.tokens = read_ranks(path)
+        tokens = read_ranks(path)
         self.matches = regex.compile(pattern).findall
-        self.model = sentencepiece.SentencePieceProcessor(model_proto=model_file(self.tokens))
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=model_file(tokens))
         # A match that is a token is that token, whatever merges would make of it.
-        self.whole = {token: struct.pack("<I", rank) for rank, token in enumerate(self.tokens)}
+        self.whole = {token: struct.pack("<I", rank) for rank, token in enumerate(tokens)}
         self.known = Generations(CACHED_PIECES)
-        pieces = self.model.id_to_piece(list(range(len(self.tokens))))
-        self.data = np.frombuffer(from_letters("".join(pieces).encode()), np.uint8)
-        self.sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        self.starts = np.cumsum(self.sizes) - self.sizes
 
     def _encoded(self, matches: list[str]) -> list[bytes]:
         out, rest, places = [], [], []
@@ -185,20 +184,35 @@ class ByteBpe:
         ids = (own or self.known).__getitem__
         return [b"".join(map(ids, matches)) for matches in found]
 
+
+class Decoder:
+    """The bytes of ids: all pieces' letters, turned back into bytes, in one run."""
+
+    def __init__(self, path: str):
+        tokens = read_ranks(path)
+        self.data = np.frombuffer(from_letters(b"".join(letters_of_each(tokens))), np.uint8)
+        self.sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
     def decode(self, data: bytes) -> bytes:
         """The bytes of little-endian ids."""
         ids = np.frombuffer(data, "<u4").astype(np.int64)
-        sizes = self.sizes[ids]
-        stops = np.cumsum(sizes)
         if not len(ids):
             return b""
+        sizes = self.sizes[ids]
+        stops = np.cumsum(sizes)
         first = np.repeat(self.starts[ids] - stops + sizes, sizes)
         return self.data[first + np.arange(stops[-1])].tobytes()
 
 
 @lru_cache(maxsize=1)
-def _codec(path: str, pattern: str) -> ByteBpe:
-    return ByteBpe(path, pattern)
+def _encoder(path: str, pattern: str) -> Encoder:
+    return Encoder(path, pattern)
+
+
+@lru_cache(maxsize=1)
+def _decoder(path: str) -> Decoder:
+    return Decoder(path)
 
 
 def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -212,14 +226,14 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
     """
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(vocabulary or default_vocabulary(), pattern or default_pattern())
+        encoder = _encoder(vocabulary or default_vocabulary(), pattern or default_pattern())
         for batch in rows:
-            texts = batch.column(1).to_pylist()
-            for part in batches_by_size(texts):
-                ids = codec.encode(texts[part])
+            for start, stop in slices(batch.column(1), MOST_BYTES):
+                part = batch.slice(start, stop - start)
+                ids = encoder.encode(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0)[part.start : part.stop],
+                        part.column(0),
                         pa.array([len(own) // 4 for own in ids], pa.int64()),
                         pa.array(ids, pa.binary()),
                     ],
@@ -230,7 +244,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text")).mapInArrow(batches, TOKENS)
 
 
-def decode(tokens: DataFrame, vocabulary: str | None = None, pattern: str | None = None) -> DataFrame:
+def decode(tokens: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """The rows of ``tokens`` with ``decoded``, the bytes of their ``ids``.
 
     Null or no ids give no bytes. Ids that the vocabulary lacks are an error. All
@@ -241,9 +255,9 @@ def decode(tokens: DataFrame, vocabulary: str | None = None, pattern: str | None
     schema = T.StructType([*tokens.schema, T.StructField("decoded", T.BinaryType())])
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(vocabulary or default_vocabulary(), pattern or default_pattern())
+        decoder = _decoder(vocabulary or default_vocabulary())
         for batch in rows:
-            decoded = [codec.decode(ids.as_buffer() if ids.is_valid else b"") for ids in batch.column(place)]
+            decoded = [decoder.decode(ids.as_buffer() if ids.is_valid else b"") for ids in batch.column(place)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(decoded, pa.binary())], [*batch.schema.names, "decoded"]
             )

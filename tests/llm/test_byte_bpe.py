@@ -14,12 +14,17 @@ from granero.llm.queries import QUERIES
 
 @pytest.fixture(scope="module")
 def codec():
-    return byte_bpe.ByteBpe(byte_bpe.default_vocabulary(), byte_bpe.default_pattern())
+    return byte_bpe.Encoder(byte_bpe.default_vocabulary(), byte_bpe.default_pattern())
 
 
 @pytest.fixture(scope="module")
-def library(codec):
-    ranks = {token: rank for rank, token in enumerate(codec.tokens)}
+def tokens():
+    return byte_bpe.read_ranks(byte_bpe.default_vocabulary())
+
+
+@pytest.fixture(scope="module")
+def library(tokens):
+    ranks = {token: rank for rank, token in enumerate(tokens)}
     return tiktoken.Encoding("own", pat_str=byte_bpe.default_pattern(), mergeable_ranks=ranks, special_tokens={})
 
 
@@ -51,9 +56,9 @@ def test_letters_and_back():
     assert byte_bpe.from_letters(byte_bpe.to_letters(every)) == every
 
 
-def test_every_token_is_reached_by_merges(codec):
-    letters = list(byte_bpe.letters_of_each(codec.tokens))
-    assert codec.model.encode(letters, out_type=int) == [[rank] for rank in range(len(codec.tokens))]
+def test_every_token_is_reached_by_merges(codec, tokens):
+    letters = list(byte_bpe.letters_of_each(tokens))
+    assert codec.model.encode(letters, out_type=int) == [[rank] for rank in range(len(tokens))]
 
 
 def test_ids_equal_the_library(codec, library, spark, sf_dir):
@@ -63,7 +68,8 @@ def test_ids_equal_the_library(codec, library, spark, sf_dir):
     texts += ["".join(map(chr, rng.choice([9, 10, 32, 39, 48, 65, 97, 115, 0xE9, 0x3A9, 0x4E00, 0x1F600, 0x301, 0xA0], 60))) for _ in range(500)]
     found = codec.encode(texts)
     assert found == [packed(library.encode_ordinary(text)) for text in texts]
-    assert [codec.decode(ids) for ids in found] == [text.encode() for text in texts]
+    decoder = byte_bpe.Decoder(byte_bpe.default_vocabulary())
+    assert [decoder.decode(ids) for ids in found] == [text.encode() for text in texts]
 
 
 def test_classes_of_letters_equal_the_library(codec, library):
@@ -76,7 +82,7 @@ def test_model_equals_brute_force_on_another_vocabulary(tmp_path):
     tokens = [bytes([byte]) for byte in range(256)] + [b"ab", b"bc", b"abc", b"aa", b"aaa", b"bcab", b"\xc3\xa9", b"c\xc3"]
     path = tmp_path / "own.ranks"
     path.write_bytes(b"".join(base64.b64encode(token) + b" %d\n" % rank for rank, token in enumerate(tokens)))
-    own = byte_bpe.ByteBpe(str(path), r"\S+|\s+")
+    own = byte_bpe.Encoder(str(path), r"\S+|\s+")
     ranks = {token: rank for rank, token in enumerate(tokens)}
     rng = np.random.default_rng(9)
     for _ in range(300):
@@ -98,7 +104,7 @@ def test_bad_vocabularies_are_refused(tmp_path):
 
 
 def test_little_memory_gives_the_same(codec, library, monkeypatch):
-    own = byte_bpe.ByteBpe(byte_bpe.default_vocabulary(), byte_bpe.default_pattern())
+    own = byte_bpe.Encoder(byte_bpe.default_vocabulary(), byte_bpe.default_pattern())
     own.known = byte_bpe.Generations(3)
     for text in AWKWARD[:9] * 2:
         assert own.encode([text]) == [packed(library.encode_ordinary(text))]
