@@ -15,3 +15,13 @@ def delete(spark: SparkSession, path: str) -> bool:
     target = jvm.org.apache.hadoop.fs.Path(path)
     system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return system.delete(target, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if there is no such folder."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return []
+    return [found.getPath().getName() for found in system.listStatus(target)]
