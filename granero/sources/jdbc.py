@@ -76,3 +76,63 @@ def jdbc_scan(
             numPartitions=str(partitions),
         )
     return reader.load()
+
+
+def plain_scan(
+    spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None
+) -> DataFrame:
+    """Read a database table over one connection."""
+    return spark.read.format("jdbc").options(url=url, dbtable=table, **(properties or {})).load()
+
+
+def cuts_query(table: str, column: str, partitions: int) -> str:
+    """The least value of each of ``partitions`` shares with equally many rows.
+
+    The database ranks the column's values, from its index if there is one, and sends
+    one number per share.
+    """
+    ranked = (
+        f"SELECT {column} AS c, NTILE({partitions}) OVER (ORDER BY {column}) AS share "
+        f"FROM {table} WHERE {column} IS NOT NULL"
+    )
+    return f"SELECT MIN(c) AS cut FROM ({ranked}) ranked GROUP BY share"
+
+
+def share_predicates(column: str, cuts: list[int]) -> list[str]:
+    """Conditions that every row meets exactly one of; rows without a value are in the first."""
+    borders = sorted(set(cuts))[1:]
+    if not borders:
+        return ["1 = 1"]
+    return [
+        f"{column} < {borders[0]} OR {column} IS NULL",
+        *(f"{column} >= {low} AND {column} < {high}" for low, high in zip(borders, borders[1:])),
+        f"{column} >= {borders[-1]}",
+    ]
+
+
+def balanced_scan(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    column: str,
+    partitions: int,
+    properties: dict[str, str] | None = None,
+) -> DataFrame:
+    """Read a database table over several connections with equally many rows each.
+
+    Unlike ``jdbc_scan``, gaps in the numeric ``column`` do not matter: it is cut
+    where its values lie. Only rows that share one value stay together. The table must
+    not change between the two reads, or shares become uneven; no row is lost by that.
+    Filters and column selection on the result reach the database.
+    """
+    options = {"url": url, **(properties or {})}
+    found = (
+        spark.read.format("jdbc")
+        .options(**options)
+        .option("query", cuts_query(table, column, partitions))
+        .load()
+        .collect()
+    )
+    return spark.read.jdbc(
+        url, table, predicates=share_predicates(column, [row[0] for row in found]), properties=properties or {}
+    )
