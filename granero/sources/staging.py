@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,7 +14,8 @@ from granero.sources.folders import delete, join_path
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 LOCAL_DIR = "granero.local.staging"
-SCOPE = "granero.staging.scope"
+# The scope that staged tables belong to; loads in different threads have their own.
+SCOPE: ContextVar[str] = ContextVar("staging_scope", default="kept")
 
 
 def staging_dir(spark: SparkSession) -> str:
@@ -35,20 +37,21 @@ def staging_dir(spark: SparkSession) -> str:
 
 def staging_path(spark: SparkSession) -> str:
     """A fresh path in the staging folder."""
-    scope = spark.conf.get(SCOPE, "") or "kept"
-    return join_path(staging_dir(spark), "granero", scope, uuid.uuid4().hex)
+    return join_path(staging_dir(spark), "granero", SCOPE.get(), uuid.uuid4().hex)
 
 
 @contextmanager
 def staging_scope(spark: SparkSession) -> Iterator[None]:
-    """Tables staged inside are deleted on leaving, so results must be written by then."""
-    outer = spark.conf.get(SCOPE, "")
+    """Tables staged inside are deleted on leaving, so results must be written by then.
+
+    Scopes may be nested, and threads of one session do not share them.
+    """
     scope = uuid.uuid4().hex
-    spark.conf.set(SCOPE, scope)
+    outer = SCOPE.set(scope)
     try:
         yield
     finally:
-        spark.conf.set(SCOPE, outer)
+        SCOPE.reset(outer)
         delete(spark, join_path(staging_dir(spark), "granero", scope))
 
 

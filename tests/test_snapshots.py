@@ -4,7 +4,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from granero.sources.snapshots import SnapshotStore
+from granero.sources.snapshots import FileTable, SnapshotStore
 from granero.sources.staging import stage, staging_dir, staging_path, staging_scope
 from granero.sources.tables import scan, scan_sources
 from tests.helpers import bag, plan
@@ -136,3 +136,109 @@ def test_a_local_session_gets_one_folder_of_its_own():
 def test_no_machine_local_staging_on_a_cluster():
     with pytest.raises(RuntimeError):
         staging_dir(Session(spark_master="yarn"))
+
+
+# --- tables of files ------------------------------------------------------------------
+
+
+def copied_files(base):
+    return sorted(str(path) for path in Path(base, "s").rglob("*.parquet") if "manifest" not in str(path))
+
+
+def test_an_unchanged_table_is_frozen_again_without_writing(spark, base, source):
+    store = SnapshotStore(spark, f"{base}/s")
+    table = {"t": FileTable(source)}
+    assert store.take(table, now=NOW)["t"].count() == 3
+    before = copied_files(base)
+    again = store.take(table, if_exists="new", now=NOW + timedelta(hours=1))["t"]
+    assert copied_files(base) == before and bag(again) == bag(spark.range(3))
+    assert store.manifest.entries().count() == 2
+
+
+def test_only_new_and_changed_files_are_copied(spark, base, source):
+    store = SnapshotStore(spark, f"{base}/s")
+    first = store.take({"t": FileTable(source)}, now=NOW)["t"]
+    before = copied_files(base)
+    spark.range(10, 14).coalesce(1).write.mode("append").parquet(source)
+    assert first.count() == 3 and store.read("t", NOW).count() == 3
+    second = store.take({"t": FileTable(source)}, if_exists="new", now=NOW + timedelta(hours=1))["t"]
+    assert sorted(row.id for row in second.collect()) == [0, 1, 2, 10, 11, 12, 13]
+    assert len(copied_files(base)) == len(before) + 1 and set(before) < set(copied_files(base))
+
+    removed = sorted(Path(source).glob("*.parquet"), key=lambda path: -spark.read.parquet(str(path)).count())
+    kept = [row.id for row in spark.read.parquet(str(removed[0])).collect()]
+    for path in removed[1:]:
+        path.unlink()
+    third = store.take({"t": FileTable(source)}, if_exists="new", now=NOW + timedelta(hours=2))["t"]
+    assert sorted(row.id for row in third.collect()) == sorted(kept)
+    assert sorted(row.id for row in second.collect()) == [0, 1, 2, 10, 11, 12, 13]
+    assert len(copied_files(base)) == len(before) + 1
+
+    spark.range(50, 52).write.mode("overwrite").parquet(source)
+    fourth = store.take({"t": FileTable(source)}, if_exists="new", now=NOW + timedelta(hours=3))["t"]
+    assert sorted(row.id for row in fourth.collect()) == [50, 51]
+
+
+def test_frozen_files_keep_columns_and_other_columns_are_copied_apart(spark, base):
+    path = f"{base}/wide"
+    spark.createDataFrame([(1, "x", None), (2, None, 5)], "id int, name string, other int").write.parquet(path)
+    store = SnapshotStore(spark, f"{base}/s")
+    narrow = store.take({"t": FileTable(path, ("id", "name"))}, now=NOW)["t"]
+    assert bag(narrow) == {(1, "x"): 1, (2, None): 1} and narrow.columns == ["id", "name"]
+    wide = store.take({"t": FileTable(path)}, if_exists="new", now=NOW + timedelta(hours=1))["t"]
+    assert bag(wide) == {(1, "x", None): 1, (2, None, 5): 1}
+
+
+def test_tables_without_rows_or_files(spark, base):
+    spark.range(0).write.parquet(f"{base}/none")
+    store = SnapshotStore(spark, f"{base}/s")
+    assert store.take({"t": FileTable(f"{base}/none")}, now=NOW)["t"].columns == ["id"]
+    assert store.read("t", NOW).count() == 0
+    with pytest.raises(Exception):
+        store.take({"u": FileTable(f"{base}/missing")}, now=NOW)
+
+
+def test_purge_keeps_files_that_a_later_snapshot_shares(spark, base, source):
+    store = SnapshotStore(spark, f"{base}/s")
+    store.take({"t": FileTable(source)}, now=NOW)
+    spark.range(7, 8).coalesce(1).write.mode("append").parquet(source)
+    later = NOW + timedelta(days=6)
+    store.take({"t": FileTable(source)}, if_exists="new", now=later)
+    assert store.purge(NOW + timedelta(days=8)) == []
+    assert store.read("t", NOW + timedelta(days=8)).count() == 4
+    assert len(store.purge(NOW + timedelta(days=14))) > 0
+    assert store.purge(NOW + timedelta(days=14)) == [] and copied_files(base) == []
+
+
+def test_a_file_that_changes_while_it_is_copied_stops_the_snapshot(spark, base, source, monkeypatch):
+    store = SnapshotStore(spark, f"{base}/s")
+    listed = store._listed(FileTable(source))
+    monkeypatch.setattr(store, "_listed", lambda table: {f"other {key}": path for key, path in listed.items()})
+    with pytest.raises(RuntimeError, match="changed while"):
+        store.take({"t": FileTable(source)}, now=NOW)
+    assert store.manifest.entries().count() == 0
+
+
+def test_scopes_of_threads_are_their_own(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    together = Barrier(2, timeout=60)
+
+    def load(rows):
+        with staging_scope(spark):
+            table = stage(spark.range(rows))
+            together.wait()  # both are inside their scopes
+            assert table.count() == rows
+        together.wait()
+
+    def slow(rows):
+        with staging_scope(spark):
+            table = stage(spark.range(rows))
+            together.wait()
+            together.wait()  # the other scope has ended
+            return table.count()
+
+    with ThreadPoolExecutor(2) as pool:
+        first, second = pool.submit(load, 2), pool.submit(slow, 5)
+        assert (first.result(), second.result()) == (None, 5)
