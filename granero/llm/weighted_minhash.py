@@ -1,13 +1,14 @@
 """Near-duplicate texts by improved consistent weighted sampling.
 
-A text is the bag of its five-word shingles, weighed by TF-IDF. Document
-frequencies are counted over the whole corpus in a fixed number of hash buckets, as
-a hashed feature table does, so they have a size that does not grow. Consistent
-weighted samples of two texts agree as often as their weighted Jaccard similarity.
-Samples are grouped into bands; texts that agree on a band are candidates, and the
-exact weighted Jaccard similarity of their whole texts decides.
-
-Equal texts are one node. Within a band's group no pairs are listed: every text is
+A text is the bag of its five-word shingles, weighed by TF-IDF. Shingles that at least
+one in 1,024 documents has are counted exactly over the whole corpus; all rarer ones
+share the weight of that frequency, so the table of frequencies has as many rows as
+1,024 documents have shingles, however large the corpus is. Consistent weighted
+samples of two texts agree as often as their weighted Jaccard similarity. Samples are
+grouped into bands; texts that agree on a band are candidates, and the exact weighted
+Jaccard similarity of their whole texts decides.
+
+Equal texts, byte by byte, are one node. Within a band's group no pairs are listed: every text is
 compared with the group's first one. What fails is compared anew inside its group
 if that is small. The texts of all larger groups are joined by their rare shingles,
 exactly. Links become classes by passing the smallest label along them.
@@ -30,7 +31,11 @@ from granero.sources.staging import stage
 
 SHINGLE = 5
 SIMILARITY = 0.8
-IDF_BUCKETS = 1 << 16
+# Shingles of a smaller share of documents, or of fewer documents, share one weight.
+RARE_SHARE, RARE_LEAST = 1 / 1024, 4
+# A shingle that is not rare is in this many documents of some counting task, or more.
+LEAST_IN_TASK = 4
+SKETCH = 1 << 23
 # Pooled random numbers of the samples; a shingle's hash picks among them.
 POOL = 1 << 16
 NO_ID = -(1 << 63)
@@ -61,6 +66,41 @@ def _word_bytes() -> bytes:
 
 
 WORD_BYTES = _word_bytes()
+BLANK_BYTES = b" \t\n\r\x0b\x0c"
+
+
+def _kinds() -> bytes:
+    """0 for blanks, 1 for signs, 2 for what words are made of."""
+    return bytes(0 if byte in BLANK_BYTES else 1 if WORD_BYTES[byte] == 32 else 2 for byte in range(256))
+
+
+KINDS = _kinds()
+
+
+def word_bytes(text: str) -> np.ndarray:
+    """Lower-cased words with blanks between them.
+
+    Signs at words are blanks. A run of signs between blanks, such as an operator, is
+    a word, so texts that differ only in such signs differ.
+    """
+    raw = text.encode()
+    plain = np.frombuffer(raw.translate(WORD_BYTES), np.uint8)
+    kinds = np.frombuffer(b"\0" + raw.translate(KINDS) + b"\0", np.uint8)
+    begins = np.flatnonzero((kinds[1:] == 1) & (kinds[:-1] == 0)) + 1
+    if not len(begins):
+        return plain
+    others = np.flatnonzero(kinds != 1)
+    ends = others[np.searchsorted(others, begins)]
+    alone = kinds[ends] == 0
+    if not alone.any():
+        return plain
+    steps = np.zeros(len(kinds), np.int8)
+    steps[begins[alone]] = 1
+    steps[ends[alone]] = -1
+    kept = np.cumsum(steps, dtype=np.int8)[1:-1].astype(bool)
+    return np.where(kept, np.frombuffer(raw, np.uint8), plain)
+
+
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
@@ -120,7 +160,7 @@ def shingles(text: str, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
 
     A text of fewer words is one shingle; one of no words has none.
     """
-    words = word_hashes(np.frombuffer(text.encode().translate(WORD_BYTES), np.uint8))
+    words = word_hashes(word_bytes(text))
     if not len(words):
         return words, np.empty(0, np.int64)
     size = min(size, len(words))
@@ -130,25 +170,29 @@ def shingles(text: str, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(mixed(total + np.uint64(size)), return_counts=True)
 
 
-def text_identity(text: str) -> int:
-    """A hash of the words in order: texts that differ in signs or case are equal."""
-    words = b" ".join(text.encode().translate(WORD_BYTES).split())
-    number = xxhash.xxh3_64_intdigest(words)
-    return number - (1 << 64) if number >> 63 else number
+@dataclass(frozen=True)
+class Rarity:
+    """IDF of shingles: ``idf`` of the sorted ``names``, ``rare`` of all others."""
 
+    names: np.ndarray
+    idf: Rarity
+    rare: float
 
-def buckets(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> _S48).astype(np.int64)
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.names):
+            return np.full(len(hashes), self.rare)
+        at = np.minimum(np.searchsorted(self.names, hashes), len(self.names) - 1)
+        return np.where(self.names[at] == hashes, self.idf[at], self.rare)
 
 
-def weights(hashes: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return counts * idf[buckets(hashes)]
+def weights(hashes: np.ndarray, counts: np.ndarray, rarity: Rarity) -> np.ndarray:
+    return counts * rarity.of(hashes)
 
 
 Bag = tuple[np.ndarray, np.ndarray]
 
 
-def bag(text: str, idf: np.ndarray) -> Bag:
+def bag(text: str, idf: Rarity) -> Bag:
     """Distinct shingles and their weights."""
     found, counts = shingles(text)
     return found, weights(found, counts, idf)
@@ -165,24 +209,80 @@ def weighted_jaccard(one: Bag, other: Bag) -> float:
 # --- corpus statistics ----------------------------------------------------------
 
 
-def inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    """IDF of every bucket from all documents (column text): ln((1 + N) / (1 + df)) + 1."""
+def _often_in_task(least: float):
+    """Shingles that may be in ``least`` documents of a task, with an upper bound of how many.
+
+    Documents are counted in a fixed number of hash buckets. A shingle is listed once
+    its bucket has reached the number, so none is missed.
+    """
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(SKETCH, np.uint32)
+        often = np.empty(0, np.uint64)
+        found: list[np.ndarray] = []
+        waiting = 0
+        for batch in batches:
+            for text in batch.column(0):
+                own = shingles(text.as_py() or "")[0]
+                place = own & np.uint64(SKETCH - 1)
+                held[place] += 1
+                found.append(own[held[place] >= least])
+                waiting += len(found[-1])
+                if waiting > 1_000_000:
+                    often, found, waiting = np.unique(np.concatenate([often, *found])), [], 0
+        often = np.unique(np.concatenate([often, *found]))
+        if len(often):
+            most = held[often & np.uint64(SKETCH - 1)].astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(often.view(np.int64)), pa.array(most)], ["shingle", "most"])
+
+    return listed
+
+
+def _exactly(names: np.ndarray):
+    """In how many documents of a task each of these sorted shingles is."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(IDF_BUCKETS + 1, np.int64)
+        held = np.zeros(len(names), np.int64)
         for batch in batches:
             for text in batch.column(0):
-                held[np.unique(buckets(shingles(text.as_py() or "")[0]))] += 1
-            held[-1] += batch.num_rows
+                own = shingles(text.as_py() or "")[0]
+                at = np.minimum(np.searchsorted(names, own), len(names) - 1)
+                held[at[names[at] == own]] += 1
         there = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(held[there])], ["bucket", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(held[there])], ["place", "n"])
+
+    return count
 
-    counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "bucket bigint, n bigint")
-    # One row per bucket, however large the corpus is.
-    rows = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    total = np.zeros(IDF_BUCKETS + 1)
-    total[rows["bucket"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    return np.log((1 + total[-1]) / (1 + total[:-1])) + 1
+
+def inverse_frequencies(docs: DataFrame, share: float = RARE_SHARE, least: int = RARE_LEAST) -> Rarity:
+    """IDF of all shingles of the column text: ln((1 + N) / (1 + max(df, floor))) + 1.
+
+    ``floor`` is ``share`` of the N documents, or ``least``. A shingle in that many
+    documents is in at least floor / tasks of them in some task, so every task lists
+    its own such shingles, those whose bounds together reach the floor are counted
+    exactly, and the others are rare. What reaches the driver is bounded by the number
+    of shingles in a task's documents, about 1 / share times ``LEAST_IN_TASK`` of them.
+    """
+    texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    total = texts.count()
+    floor = max(least, int(np.ceil(total * share)))
+    rare = float(np.log((1 + total) / (1 + min(floor, total))) + 1)
+    tasks = max(1, floor // LEAST_IN_TASK)
+    in_task = floor / tasks
+    few = texts.coalesce(tasks)
+    listed = few.mapInArrow(_often_in_task(in_task), "shingle bigint, most bigint")
+    # Where a shingle is not listed it is in fewer than in_task documents.
+    elsewhere = (F.lit(tasks) - F.count(F.lit(1))) * int(np.ceil(in_task) - 1)
+    bounded = listed.groupBy("shingle").agg((F.sum("most") + elsewhere).alias("most"))
+    names = bounded.where(F.col("most") >= floor).select("shingle").toArrow().column(0).to_numpy()
+    names = np.sort(names.astype(np.int64).view(np.uint64))
+    if not len(names):
+        return Rarity(names, np.empty(0), rare)
+    counted = texts.mapInArrow(_exactly(names), "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
+    rows = counted.where(F.col("n") >= floor).toArrow()
+    place, df = (rows.column(i).to_numpy().astype(np.int64) for i in range(2))
+    order = np.argsort(place)
+    return Rarity(names[place[order]], np.log((1 + total) / (1 + df[order])) + 1, rare)
 
 
 # --- samples --------------------------------------------------------------------
@@ -196,7 +296,7 @@ class Sampler:
     is the sample, together with t.
     """
 
-    def __init__(self, bands: Bands, idf: np.ndarray):
+    def __init__(self, bands: Bands, idf: Rarity):
         rng = np.random.default_rng(bands.seed)
         self.idf = idf
         self.rate = rng.gamma(2.0, 1.0, POOL).astype(np.float32)
@@ -224,11 +324,11 @@ class Sampler:
         return own
 
 
-SIGNED = "doc bigint, raw bigint, node bigint, samples array<bigint>"
+SIGNED = "doc bigint, node bigint, samples array<bigint>"
 
 
-def signed(docs: DataFrame, idf: np.ndarray, bands: Bands) -> DataFrame:
-    """Node and samples of every row of (doc, raw, text); no samples without words."""
+def signed(docs: DataFrame, idf: Rarity, bands: Bands) -> DataFrame:
+    """Samples of every row of (doc, node, text); none without words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(bands, idf)
@@ -238,10 +338,9 @@ def signed(docs: DataFrame, idf: np.ndarray, bands: Bands) -> DataFrame:
                 [
                     batch.column(0),
                     batch.column(1),
-                    pa.array([text_identity(text) for text in texts], pa.int64()),
                     pa.array([sampler.samples(text).view(np.int64) for text in texts], pa.list_(pa.int64())),
                 ],
-                ["doc", "raw", "node", "samples"],
+                ["doc", "node", "samples"],
             )
 
     return docs.mapInArrow(sign, SIGNED)
@@ -280,7 +379,7 @@ def band_keys(bands: Bands) -> Column:
     )
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
+def _linked(pairs: DataFrame, texts: DataFrame, idf: Rarity, similarity: float) -> DataFrame:
     """The pairs (a, b) whose whole texts are similar enough."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,7 +436,7 @@ def _with_labels(members: DataFrame, labels: DataFrame) -> DataFrame:
     ).drop("_n")
 
 
-def similarities(texts: list[str], idf: np.ndarray, cells: int = 4_000_000) -> np.ndarray:
+def similarities(texts: list[str], idf: Rarity, cells: int = 4_000_000) -> np.ndarray:
     """Weighted Jaccard similarity of all pairs of a small group."""
     found = [shingles(text) for text in texts]
     weighed = [weights(own, counts, idf) for own, counts in found]
@@ -358,7 +457,7 @@ def similarities(texts: list[str], idf: np.ndarray, cells: int = 4_000_000) -> n
     return np.divide(common, either, out=np.zeros_like(common), where=either > 0)
 
 
-def _inside(idf: np.ndarray, similarity: float):
+def _inside(idf: Rarity, similarity: float):
     """Links between a small group's members that are not connected yet."""
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
@@ -402,30 +501,40 @@ def _to_first(groups: DataFrame) -> DataFrame:
     return other.select(*pair).distinct()
 
 
-def _rare_first(texts: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
-    """Postings (node, shingle, rest, total) of the rarest shingles of (node, text).
+def _rare_first(texts: DataFrame, idf: Rarity, similarity: float) -> DataFrame:
+    """Of every text (node, text) its rarest shingles: node, total, shingles, rests.
 
     Shingles have one order for all texts, the rare ones of these texts first. What two
     similar texts have in common weighs at least ``similarity`` times either, so the first
     shingle that both have is one with at least that share of both texts from it on
-    (``rest``). Only those shingles are listed.
+    (``rests``). Only those shingles are listed. Texts of no words are left out.
     """
     rarity = inverse_frequencies(texts.select("text"))
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows: list[tuple] = []
             for node, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 found, own = bag(text.as_py(), idf)
                 if not len(found):
                     continue
-                order = np.lexsort((found, -weights(found, np.ones(len(found)), rarity)))
+                order = np.lexsort((found, -rarity.of(found)))
                 rest = own[order][::-1].cumsum()[::-1]
                 rest = rest[rest >= similarity * rest[0] * (1 - 1e-9)]
-                names = found[order[: len(rest)]].view(np.int64)
-                columns = [np.full(len(rest), node, np.int64), names, rest, np.full(len(rest), rest[0])]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "shingle", "rest", "total"])
+                rows.append((node, float(rest[0]), found[order[: len(rest)]].view(np.int64), rest))
+            nodes, totals, names, rests = zip(*rows) if rows else ((),) * 4
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(nodes, pa.int64()),
+                    pa.array(totals, pa.float64()),
+                    pa.array(names, pa.list_(pa.int64())),
+                    pa.array(rests, pa.list_(pa.float64())),
+                ],
+                ["node", "total", "shingles", "rests"],
+            )
 
-    return texts.select("node", "text").mapInArrow(listed, "node bigint, shingle bigint, rest double, total double")
+    schema = "node bigint, total double, shingles array<bigint>, rests array<double>"
+    return texts.select("node", "text").mapInArrow(listed, schema)
 
 
 def _may_be_near(one: str, other: str, similarity: float) -> Column:
@@ -434,16 +543,18 @@ def _may_be_near(one: str, other: str, similarity: float) -> Column:
     return F.least(f"{one}.rest", f"{other}.rest") >= least * (F.col(f"{one}.total") + F.col(f"{other}.total"))
 
 
-def _lists(postings: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """Postings of shingles that texts of different labels have, with the first text of each."""
-    named = _with_labels(postings, labels)
-    facts = named.groupBy("shingle").agg(
+def _lists(postings: DataFrame, turn: int) -> DataFrame:
+    """Postings of shingles that texts of different labels have, with one text of each list.
+
+    ``postings`` is a stored table (node, label, shingle, rest, total).
+    """
+    facts = postings.groupBy("shingle").agg(
         F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "label", "rest", "total")).alias("head"),
         F.count(F.lit(1)).alias("size"),
         F.min("label").alias("low"),
         F.max("label").alias("high"),
     )
-    return named.join(facts.where(F.col("low") != F.col("high")).drop("low", "high"), "shingle")
+    return postings.join(facts.where(F.col("low") != F.col("high")).drop("low", "high"), "shingle")
 
 
 def _all_pairs(lists: DataFrame, similarity: float) -> DataFrame:
@@ -466,16 +577,19 @@ def _all_pairs(lists: DataFrame, similarity: float) -> DataFrame:
 
 
 def _among(
-    hot: DataFrame, texts: DataFrame, links: DataFrame, labels: DataFrame, idf: np.ndarray, similarity: float
+    hot: DataFrame, texts: DataFrame, links: DataFrame, labels: DataFrame, idf: Rarity, similarity: float
 ) -> DataFrame:
     """``links`` and those between all similar texts of ``hot`` (node) that they do not connect."""
     own = stage(sifted(texts, F.col("node"), hot).join(hot, "node", "left_semi"))
-    postings = stage(_rare_first(own, idf, similarity))
+    # Labels meet texts, not postings.
+    named = _with_labels(stage(_rare_first(own, idf, similarity)), labels)
+    each = F.explode(F.arrays_zip(F.col("shingles").alias("shingle"), F.col("rests").alias("rest")))
+    postings = stage(named.select("node", "label", "total", each.alias("p")).select("node", "label", "total", "p.*"))
     # Long lists shrink first: their texts meet one of them, as in bands, while that connects any.
-    for turn in range(HOT_ROUNDS):
-        lists = stage(_lists(postings, labels, turn))
+    for turn in range(HOT_ROUNDS + 1):
+        lists = stage(_lists(postings, turn))
         long = lists.where(F.col("size") > MEMBERS_IN_TASK).alias("t")
-        if long.isEmpty():
+        if turn == HOT_ROUNDS or long.isEmpty():
             break
         meets = (F.col("t.label") != F.col("t.head.label")) & _may_be_near("t", "t.head", similarity)
         pairs = long.where(meets).select(
@@ -485,14 +599,15 @@ def _among(
         if met.isEmpty():
             break
         links = stage(links.unionByName(met).distinct())
-        labels = components(links)
-    lists = stage(_lists(postings, labels, HOT_ROUNDS))
+        # Lists of texts that are all connected by now do not come again.
+        left = lists.select("node", "shingle", "rest", "total")
+        postings = stage(_with_labels(left, components(links)).select("node", "label", "shingle", "rest", "total"))
     met = _linked(_all_pairs(lists, similarity), own, idf, similarity)
     return stage(links.unionByName(met).distinct())
 
 
 def near_links(
-    nodes: DataFrame, texts: DataFrame, idf: np.ndarray, bands: Bands = Bands(), similarity: float = SIMILARITY
+    nodes: DataFrame, texts: DataFrame, idf: Rarity, bands: Bands = Bands(), similarity: float = SIMILARITY
 ) -> DataFrame:
     """Links (a, b) that connect similar texts.
 
@@ -534,7 +649,9 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands(), similarity: float =
     stands for it (the smallest text hash, if rows share that id; equal rows are all
     marked). ``n_links`` counts the spanning links of the document's text: verified, but
     only those found on the way to connecting its class, so in a large class far fewer
-    than its similar texts. Texts with the same words are one text; null and empty texts are all the text of no words.
+    than its similar texts. Equal texts are one text, a null one is empty; texts of no words
+    are near no other text. Words are compared without the signs at them, but a run of signs
+    between blanks is a word, so texts that differ only there are as far apart as by words.
     Null ids are smallest. Columns other than doc_id and text are not read. An empty
     table gives an empty result.
     """
@@ -549,7 +666,7 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands(), similarity: float =
 def _identified(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("raw"), text.alias("text")
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("node"), text.alias("text")
     )
 
 
@@ -557,20 +674,17 @@ def _classes(docs: DataFrame, bands: Bands, similarity: float) -> DataFrame:
     given = _identified(docs)
     idf = inverse_frequencies(given.select("text"))
     rows = stage(signed(given, idf, bands))
-    nodes = stage(
-        rows.groupBy("node").agg(F.min(F.struct("doc", "raw")).alias("least"), F.first("samples").alias("samples"))
-        .select("node", F.col("least.doc").alias("doc"), F.col("least.raw").alias("raw"), "samples")
-    )
+    nodes = stage(rows.groupBy("node").agg(F.min("doc").alias("doc"), F.first("samples").alias("samples")))
     # Only texts that some band groups with another are fetched.
     keyed = nodes.where(F.size("samples") > 0).select("node", F.explode(band_keys(bands)).alias("key"))
     met = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("key")
     grouped = stage(keyed.join(met, "key", "left_semi").select("node").distinct())
     wanted = stage(sifted(nodes, F.col("node"), grouped).join(grouped, "node", "left_semi"))
-    near = sifted(given, F.xxhash64("doc", "raw"), wanted.select(F.xxhash64("doc", "raw").alias("hash")))
+    near = sifted(given, F.col("node"), wanted.select("node"))
     # Repeated rows go first, by the keys of the join, so that texts are shuffled once.
     texts = stage(
-        near.dropDuplicates(["doc", "raw"])
-        .join(wanted.select("node", F.col("doc").alias("_d"), F.col("raw").alias("_r")), (F.col("doc") == F.col("_d")) & (F.col("raw") == F.col("_r")))
+        near.dropDuplicates(["doc", "node"])
+        .join(wanted.select(F.col("node").alias("_n"), F.col("doc").alias("_d")), (F.col("doc") == F.col("_d")) & (F.col("node") == F.col("_n")))
         .select("node", "text")
     )
     links = near_links(wanted, texts, idf, bands, similarity)
@@ -579,30 +693,35 @@ def _classes(docs: DataFrame, bands: Bands, similarity: float) -> DataFrame:
         links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     )
     named = _with_labels(nodes.drop("samples"), labels)
-    heads = named.groupBy("label").agg(F.min(F.struct("doc", "raw")).alias("head"))
+    heads = named.groupBy("label").agg(F.min(F.struct("doc", "node")).alias("head"))
     known = stage(
         named.join(heads, "label").join(degrees, "node", "left").select("node", "head", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     )
-    return rows.select("doc", "raw", "node").join(known, "node").select(
+    return rows.select("doc", "node").join(known, "node").select(
         "doc",
-        "raw",
+        "node",
         F.col("head.doc").alias("class"),
-        ((F.col("doc") == F.col("head.doc")) & (F.col("raw") == F.col("head.raw"))).alias("kept"),
+        ((F.col("doc") == F.col("head.doc")) & (F.col("node") == F.col("head.node"))).alias("kept"),
         "n_links",
     )
 
 
 def one_per_class(docs: DataFrame, bands: Bands = Bands(), similarity: float = SIMILARITY) -> DataFrame:
-    """The documents without near duplicates: one row per class, with all its columns."""
-    kept = _classes(docs, bands, similarity).where("kept").select("doc", "raw").distinct()
+    """The documents without near duplicates: one row per class, with all its columns.
+
+    The document of the smallest doc_id stays, a null id before all others; of rows of
+    that class that share it the one of the smallest text hash, and of equal ones any. A
+    null text counts as empty and stays null. An empty table gives an empty result.
+    """
+    kept = _classes(docs, bands, similarity).where("kept").select("doc", "node").distinct()
     names = docs.columns
     nested = docs.select(
         F.struct(*(F.col(f"`{name}`") for name in names)).alias("_row"),
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("_doc"),
-        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_raw"),
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_node"),
     )
     return (
-        nested.join(kept, (F.col("_doc") == F.col("doc")) & (F.col("_raw") == F.col("raw")))
-        .dropDuplicates(["_doc", "_raw"])
+        nested.join(kept, (F.col("_doc") == F.col("doc")) & (F.col("_node") == F.col("node")))
+        .dropDuplicates(["_doc", "_node"])
         .select("_row.*")
     )

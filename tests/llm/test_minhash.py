@@ -1,4 +1,8 @@
+import math
+from collections import Counter
+
 import numpy as np
+import pytest
 from helpers_llm import awkward
 
 from granero.llm import weighted_minhash as near
@@ -6,18 +10,25 @@ from granero.llm import weighted_minhash as near
 
 def brute_classes(rows, idf):
     """Smallest id of every connected class by all pairs."""
-    texts = sorted({near.text_identity(text or ""): text or "" for _, text in rows}.items())
-    found = near.similarities([text for _, text in texts], idf) >= near.SIMILARITY
+    texts = sorted({text or "" for _, text in rows})
+    found = near.similarities(texts, idf) >= near.SIMILARITY
     label = list(range(len(texts)))
     for one, other in zip(*np.nonzero(np.tril(found, -1))):
         a, b = label[one], label[other]
         label = [b if x == a else x for x in label]
-    of = {node: label[i] for i, (node, _) in enumerate(texts)}
+    of = {text: label[i] for i, text in enumerate(texts)}
     least = {}
     for doc, text in rows:
-        own = of[near.text_identity(text or "")]
+        own = of[text or ""]
         least[own] = min(least.get(own, (2, 0)), (doc is not None, doc or 0))
-    return {(doc, text): least[of[near.text_identity(text or "")]] for doc, text in rows}
+    return {(doc, text): least[of[text or ""]] for doc, text in rows}
+
+
+def brute_rarity(texts, share, least):
+    """IDF of every shingle by a dictionary of all of them."""
+    df = Counter(name for text in texts for name in near.shingles(text)[0].tolist())
+    floor = max(least, math.ceil(len(texts) * share))
+    return {name: math.log((1 + len(texts)) / (1 + max(n, min(floor, len(texts))))) + 1 for name, n in df.items()}
 
 
 def classes(docs, **options):
@@ -76,17 +87,18 @@ def test_awkward_rows(spark):
     assert found.count() == docs.count()
     by_id = {r.doc_id: r for r in found.collect()}
     assert by_id[7].class_id == by_id[8].class_id == 7 and by_id[7].kept and not by_id[8].kept
-    assert {by_id[i].class_id for i in (4, 5, 6)} == {4}
+    assert {by_id[i].class_id for i in (4, 5)} == {4} and by_id[6].class_id == 6
     assert by_id[None].class_id is None and by_id[None].kept
     assert near.one_per_class(docs).where("doc_id = 3").count() == 1
 
 
 def test_samples_agree_as_often_as_the_similarity():
-    idf = np.random.default_rng(2).uniform(1, 5, near.IDF_BUCKETS)
-    sampler = near.Sampler(near.Bands(bands=300), idf)
     one = [f"w{i}" for i in range(500)]
     other = [w if i % 50 else f"x{i}" for i, w in enumerate(one)] + one[:40]
     a, b = " ".join(one), " ".join(other)
+    names = near.shingles(a)[0][::2]
+    idf = near.Rarity(names, np.random.default_rng(2).uniform(1, 5, len(names)), 5.5)
+    sampler = near.Sampler(near.Bands(bands=300), idf)
     exact = near.weighted_jaccard(near.bag(a, idf), near.bag(b, idf))
     assert abs((sampler.samples(a) == sampler.samples(b)).mean() - exact) < 0.06
 
@@ -95,7 +107,68 @@ def test_shingles_of_any_length():
     long = "y" * 200_000
     text = f"a b {long} c d e {long} f"
     assert len(near.shingles(text)[0]) == 4
-    assert len(near.shingles("one two")[0]) == 1 and len(near.shingles(" ,. ")[0]) == 0
+    assert len(near.shingles("one two")[0]) == 1 and len(near.shingles(" \n ")[0]) == 0
     words = " ".join(f"w{i}" for i in range(60_000))
     found, counts = near.shingles(words)
     assert len(found) == 60_000 - 4 and counts.max() == 1
+
+
+@pytest.mark.parametrize("share, least, parts", [(1 / 1024, 4, 3), (1 / 20, 4, 9), (1 / 8, 2, 40), (1 / 2, 30, 7)])
+def test_frequencies_equal_a_dictionary(spark, sf_dir, share, least, parts):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text")
+    docs = docs.unionByName(docs.limit(50)).unionByName(spark.createDataFrame([(None,), ("",), ("only one",)], "text string"))
+    texts = [row.text or "" for row in docs.collect()]
+    found = near.inverse_frequencies(docs.repartition(parts), share, least)
+    want = brute_rarity(texts, share, least)
+    names = np.array(sorted(want), np.uint64)
+    assert np.allclose(found.of(names), [want[name] for name in names.tolist()], atol=1e-12)
+    assert (np.diff(found.names.astype(object)) > 0).all()
+    # Only shingles that are not rare have a row.
+    assert len(found.names) == sum(idf < found.rare - 1e-12 for idf in want.values()) + sum(
+        n == max(least, math.ceil(len(texts) * share)) for n in Counter(x for t in texts for x in near.shingles(t)[0].tolist()).values()
+    )
+
+
+def test_similarities_are_those_of_exact_weights(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = {row.doc_id: row.text or "" for row in docs.collect()}
+    want = brute_rarity(list(rows.values()), near.RARE_SHARE, near.RARE_LEAST)
+    idf = near.inverse_frequencies(docs)
+    by_class = {}
+    for row in near.near_duplicates(docs, similarity=0.6).collect():
+        by_class.setdefault(row.class_id, []).append(rows[row.doc_id])
+    pairs = 0
+    for texts in by_class.values():
+        for other in texts[1:6]:
+            a, b = (Counter(dict(zip(*(x.tolist() for x in near.shingles(text))))) for text in (texts[0], other))
+            weigh = [{name: n * want[name] for name, n in bag.items()} for bag in (a, b)]
+            common = sum(min(weigh[0][name], weigh[1][name]) for name in a.keys() & b.keys())
+            total = sum(sum(w.values()) for w in weigh) - common
+            found = near.weighted_jaccard(near.bag(texts[0], idf), near.bag(other, idf))
+            assert abs(found - (common / total if total else 0.0)) < 1e-9
+            pairs += 1
+    assert pairs > 10
+
+
+def test_frequencies_of_nothing(spark):
+    none = near.inverse_frequencies(spark.createDataFrame([], "text string"))
+    assert len(none.names) == 0 and none.of(np.array([3], np.uint64)).tolist() == [1.0]
+
+
+def test_texts_that_differ_only_in_signs_between_blanks_stay(spark):
+    texts = ["f(x) = x + 1", "f(x) = x - 1", "f(x) == x * 1", "### $$$", "!!!", "+-+-+", "", None, " \n "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = classes(docs)
+    assert found == {i: i for i in range(9)} | {7: 6}
+    assert sorted(row.doc_id for row in near.one_per_class(docs).collect()) == [0, 1, 2, 3, 4, 5, 6, 8]
+    words = " ".join(f"word{i}" for i in range(50))
+    same = [(0, words), (1, words.upper() + "!"), (2, words.replace("word7 ", "word7, ")), (3, words)]
+    assert set(classes(spark.createDataFrame(same, "doc_id bigint, text string")).values()) == {0}
+
+
+@pytest.mark.parametrize("text, want", [
+    ("A, b! c", "a  b  c"), ("x + y", "x + y"), ("(a) -> b", " a  -> b"), ("--", "--"), ("-a- --- é-", " a  --- é "),
+    ("\t*\n", " * "), ("", ""), ("a  =", "a  ="), ("$a +", " a +"),
+])
+def test_words_of_signs(text, want):
+    assert near.word_bytes(text).tobytes().decode() == want
