@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from checks.adapters import ADAPTERS, OTHER_EDITION, Adapter
+from granero.sinks.targets import TARGETS, Target
 
 
 def _int(text: str) -> str:
@@ -149,15 +150,31 @@ def _all(step: str) -> str:
     return sql(f"SELECT * FROM {step}")
 
 
+STORED = {
+    "Producto": "producto",
+    "Cobertura": "f2",
+    "ProductoCobertura": "f3",
+    "Corredor": "f4",
+    "ProductoCorredor": "f5",
+}
+
 COUNTED = " UNION ALL ".join(
     f"SELECT '{target}' AS target, count(*) AS row_count FROM {step}"
-    for target, step in {
-        "Producto": "producto",
-        "Cobertura": "f2",
-        "ProductoCobertura": "f3",
-        "Corredor": "f4",
-        "ProductoCorredor": "f5",
-    }.items()
+    for target, step in STORED.items()
+)
+
+
+def _digest(target: Target) -> str:
+    """32 bits of a row's MD5, columns by name."""
+    parts = ", ".join(f"coalesce(CAST({name} AS VARCHAR), '~')" for name in sorted(target.schema.names))
+    return f"CAST('0x' || substr(md5(concat_ws('|', {parts})), 1, 8) AS BIGINT)"
+
+
+# Digests of all rows add up, so every value of every stored row counts.
+DIGESTED = " UNION ALL ".join(
+    f"SELECT '{target.name}' AS target, count(*) AS row_count, "
+    f"CAST(coalesce(sum({_digest(target)}), 0) AS BIGINT) AS row_digest FROM {STORED[target.name]}"
+    for target in TARGETS
 )
 
 ORACLE = {
@@ -298,6 +315,20 @@ ORACLE = {
     "f5_producto_corredor": _all("f5"),
     "f6_producto_alt": sql("SELECT * FROM f1", OTHER_EDITION),
     "f7_all": sql(COUNTED),
+    "f7_all_contents": sql(DIGESTED),
+    "f7_resumed_contents": sql(DIGESTED),
+    "snapshot_files": sql(
+        "SELECT p_partkey, p_name FROM part UNION ALL SELECT p_partkey, p_name FROM part WHERE p_partkey % 3 = 0"
+    ),
+    "upsert_buckets": sql(
+        """
+        SELECT AgenteID, CorredorID, CorredorDV,
+               CASE WHEN AgenteID % 5 = 0 THEN 'NEW' ELSE NombreCorredor END AS NombreCorredor
+        FROM f4
+        UNION ALL
+        SELECT DISTINCT AgenteID, CAST(-1 AS INTEGER), CAST(7 AS INTEGER), 'ADDED'
+        FROM f4 WHERE AgenteID % 5 = 0"""
+    ),
 }
 
 # The same results, whatever keys are split.

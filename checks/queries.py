@@ -31,7 +31,7 @@ from granero.sinks.targets import (
 )
 from granero.sinks.text import text_dump
 from granero.sources.jdbc import read_back
-from granero.sources.snapshots import SnapshotStore
+from granero.sources.snapshots import FileTable, SnapshotStore
 from granero.sources.staging import stage, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -391,6 +391,72 @@ def f7_all(spark, sf_dir):
     return reduce(DataFrame.unionByName, sizes)
 
 
+def _digests(mart: ParquetMart) -> DataFrame:
+    """Rows of every target, and the sum of 32 bits of each row's MD5, columns by name."""
+
+    def digest(target: Target) -> DataFrame:
+        texts = (F.coalesce(F.col(name).cast("string"), F.lit("~")) for name in sorted(target.schema.names))
+        first = F.substring(F.md5(F.concat_ws("|", *texts)), 1, 8)
+        bits = F.conv(first, 16, 10).cast("bigint")
+        return mart.read(target).agg(
+            F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(bits), F.lit(0)).alias("row_digest")
+        ).select(F.lit(target.name).alias("target"), "row_count", "row_digest")
+
+    return reduce(DataFrame.unionByName, map(digest, TARGETS))
+
+
+@query
+def f7_all_contents(spark, sf_dir):
+    mart = ParquetMart(spark, staging_path(spark))
+    tables = source_tables(spark, sf_dir)
+    load_mart({name: tables[name] for name in ADAPTERS}, mart)
+    return _digests(mart)
+
+
+class _Fails(ParquetMart):
+    """Loses its executors while it writes the last target."""
+
+    def append(self, target, rows, batch_id=None):
+        if target is PRODUCTO_CORREDOR:
+            raise ConnectionError("executors lost")
+        super().append(target, rows, batch_id)
+
+
+@query
+def f7_resumed_contents(spark, sf_dir):
+    base, snapshots = staging_path(spark), SnapshotStore(spark, staging_path(spark))
+    tables = source_tables(spark, sf_dir)
+    every = {name: tables[name] for name in ADAPTERS}
+    try:
+        load_mart(every, _Fails(spark, base), snapshots, resume=True)
+    except ConnectionError:
+        load_mart(every, ParquetMart(spark, base), snapshots, resume=True)
+    return _digests(ParquetMart(spark, base))
+
+
+@query
+def upsert_buckets(spark, sf_dir):
+    """A second batch that meets some of the buckets and makes the table grow."""
+    mart = ParquetMart(spark, staging_path(spark), rows_per_bucket=100, least_buckets=4)
+    mart.upsert(CORREDOR, broker.corredor_load(source_tables(spark, sf_dir)))
+    some = mart.read(CORREDOR).where(F.col("AgenteID") % 5 == 0)
+    renamed = some.withColumn("NombreCorredor", F.lit("NEW"))
+    added = some.withColumn("CorredorID", F.lit(-1)).withColumn("CorredorDV", F.lit(7))
+    mart.upsert(CORREDOR, renamed.unionByName(added.withColumn("NombreCorredor", F.lit("ADDED")).distinct()))
+    return mart.read(CORREDOR)
+
+
+@query
+def snapshot_files(spark, sf_dir):
+    """The second snapshot of a table of files that has got more of them."""
+    source, store = staging_path(spark), SnapshotStore(spark, staging_path(spark))
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name")
+    parts.write.parquet(source)
+    store.take({"part": FileTable(source)})
+    parts.where("p_partkey % 3 = 0").write.mode("append").parquet(source)
+    return store.take({"part": FileTable(source)}, "new")["part"]
+
+
 # The same once more with small cells, so that many keys are split on any data.
 SPLIT = SkewPolicy(pairs_per_cell=16, sample=1.0)
 # Few agents share a person, so brokers take the smallest cells there are.
