@@ -76,7 +76,7 @@ def hot_cells(
 ) -> skew.Cells:
     """Cells of a pair join of two stored tables; none without a policy."""
     if policy is None:
-        return []
+        return skew.Cells()
     tables: list[skew.Keyed] = [
         (left, {("pairs", "left"): text_key(*(F.col(name) for name, _ in on))}),
         (right, {("pairs", "right"): text_key(*(F.col(name) for _, name in on))}),

@@ -21,7 +21,19 @@ from math import ceil, sqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-Cells = list[tuple[str, int, int]]
+from granero.sources.staging import stage
+
+
+class Cells(list):
+    """Hot keys (key, parts of the left, parts of the right), those of the most pairs first.
+
+    If there are more than a list should have, ``table`` has all of them, as ``_hot``,
+    ``_left`` and ``_right``, and the list only the first.
+    """
+
+    table: DataFrame | None = None
+
+
 # A table and, by (join, "left" or "right"), the key that the join has on it.
 Keyed = tuple[DataFrame, dict[tuple[str, str], Column]]
 
@@ -32,10 +44,10 @@ POSITION = "_position"
 class SkewPolicy:
     """When and how far a key is split.
 
-    A key that forms more than ``pairs_per_cell`` pairs is split into cells of about
-    that many. At most ``top`` keys of each join reach the driver, those of the most
-    pairs; as counted in the sample, any other key forms less than 1/top of the
-    join's pairs. Of a side that the sample misses up to 1/sample rows are assumed.
+    Every key that forms more than ``pairs_per_cell`` pairs is split into cells of about
+    that many, however many such keys there are. At most ``top`` keys of each join reach
+    the driver; if there are more, all of them stay in a stored table that is joined
+    by key. Of a side that the sample misses up to 1/sample rows are assumed.
     """
 
     pairs_per_cell: int = 20_000_000
@@ -63,19 +75,36 @@ def join_cells(tables: list[Keyed], policy: SkewPolicy) -> dict[str, Cells]:
         counted = counted.where((F.col("left") > 0) & (F.col("right") > 0))
     pairs = F.greatest("left", F.lit(1)).cast("double") * F.greatest("right", F.lit(1)) / policy.sample**2
     ranked = Window.partitionBy("join").orderBy(F.desc("pairs"), "key")
-    hot = (
-        counted.withColumn("pairs", pairs)
-        .where(F.col("pairs") > policy.pairs_per_cell)
-        .withColumn("place", F.row_number().over(ranked))
-        .where(F.col("place") <= policy.top)
-    )
-    found: dict[str, Cells] = {join: [] for _, keys in tables for join, _ in keys}
-    for row in hot.orderBy("join", "place").collect():
+    hot = counted.withColumn("pairs", pairs).where(F.col("pairs") > policy.pairs_per_cell)
+    first = hot.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= policy.top + 1)
+    found: dict[str, Cells] = {join: Cells() for _, keys in tables for join, _ in keys}
+    many = set()
+    for row in first.orderBy("join", "place").collect():
+        if row.place > policy.top:
+            many.add(row.join)
+            continue
         left, right = (max(1, side) / policy.sample for side in (row.left, row.right))
         found[row.join].append((row.key, *grid(left, right, policy)))
+    if many:
+        # Seldom needed, so the sample is only counted again then.
+        stored = stage(hot.where(F.col("join").isin(list(many))).select("join", *_grid_columns(policy)))
+        for join in many:
+            found[join].table = stored.where(F.col("join") == join).drop("join")
     return found
 
 
+def _grid_columns(policy: SkewPolicy) -> list[Column]:
+    """``grid`` of counted keys, as columns."""
+    left, right = (F.greatest(side, F.lit(1)).cast("double") / policy.sample for side in ("left", "right"))
+    cells = F.ceil(left * right / policy.pairs_per_cell)
+    lines = F.least(F.ceil(left), cells, F.greatest(F.lit(1), F.bround(F.sqrt(cells * left / right)).cast("bigint")))
+    return [
+        F.col("key").alias("_hot"),
+        lines.cast("int").alias("_left"),
+        F.least(F.ceil(right), F.ceil(cells / lines)).cast("int").alias("_right"),
+    ]
+
+
 def grid(left: float, right: float, policy: SkewPolicy) -> tuple[int, int]:
     """Parts of each side: about ``pairs_per_cell`` pairs a cell, with the fewest copies of rows."""
     cells = ceil(left * right / policy.pairs_per_cell)
@@ -95,9 +124,9 @@ def with_position(df: DataFrame) -> DataFrame:
 
 def deal(df: DataFrame, key: str, cells: Cells, side: str) -> DataFrame:
     """Add ``_row`` and ``_column``, the grid cell(s) of each row."""
-    hot = F.broadcast(
-        df.sparkSession.createDataFrame(cells, "_hot string, _left int, _right int")
-    )
+    hot = getattr(cells, "table", None)
+    if hot is None:
+        hot = F.broadcast(df.sparkSession.createDataFrame(list(cells), "_hot string, _left int, _right int"))
     own, other = ("_left", "_right") if side == "left" else ("_right", "_left")
     own_cell, other_cell = ("_row", "_column") if side == "left" else ("_column", "_row")
     placed = df if POSITION in df.columns else with_position(df)

@@ -51,6 +51,43 @@ def test_keys_hot_on_one_side_do_not_crowd_out_those_that_pair(spark):
     assert measured(stage(left.union(pairing)), stage(pairing), policy) == [("both", 6, 6)]
 
 
+def many_hot(spark, keys=1_500, rows=60):
+    """Hot keys on both sides, more than reach the driver, one rarer key, and repeated rows."""
+    side = spark.range(keys * rows).select((F.col("id") % keys).cast("string").alias("k"), F.floor(F.col("id") / keys / 2).alias("x"))
+    return stage(side.union(spark.createDataFrame([("once", 1)], "k string, x bigint"))), stage(
+        side.withColumnRenamed("x", "y").union(spark.createDataFrame([("once", 1)], "k string, y bigint"))
+    )
+
+
+def test_any_number_of_hot_keys_is_split(spark):
+    left, right = many_hot(spark)
+    cells = measured(left, right, skew.SkewPolicy(pairs_per_cell=1_000, sample=1.0, top=1_000))
+    assert len(cells) == 1_000 and cells.table.count() == 1_500
+    grids = {row["_hot"]: (row["_left"], row["_right"]) for row in cells.table.collect()}
+    assert all(grids[key] == (lines, columns) for key, lines, columns in cells)
+    dealt = skew.deal(left.withColumn("_key", F.col("k")), "_key", cells, "left")
+    spread = dealt.groupBy("k").agg(F.count_distinct("_row", "_column").alias("n"))
+    assert spread.where("n > 1").count() == 1_500 and spread.where("n = 1").count() == 1
+    split = pair_join(left, right, ON, "text", cells).groupBy("l.k", "l.x", "r.y").count()
+    whole = pair_join(left, right, ON).groupBy("l.k", "l.x", "r.y").count()
+    assert split.exceptAll(whole).isEmpty() and whole.exceptAll(split).isEmpty()
+
+
+def test_one_sided_keys_crowd_out_none_in_a_sample(spark):
+    one_sided = spark.range(200_000).select((F.col("id") % 40).cast("string").alias("k"), "id")
+    both = spark.range(3_000).select(F.lit("both").alias("k"), "id")
+    policy = skew.SkewPolicy(pairs_per_cell=20_000, sample=0.1, top=10)
+    cells = measured(stage(one_sided.union(both)), stage(both), policy)
+    assert "both" in {row["_hot"] for row in cells.table.collect()} if cells.table else "both" in dict((key, 1) for key, *_ in cells)
+
+
+@pytest.mark.parametrize("left, right", [(1, 1), (10, 10), (90_000, 1), (1, 90_000), (3_000, 100), (777, 1_313), (5_000, 5_000)])
+def test_grids_as_columns_are_the_same(spark, left, right):
+    for policy in (skew.SkewPolicy(1_000, 1.0), skew.SkewPolicy(2_500, 0.1), skew.SkewPolicy(7, 0.5)):
+        row = spark.createDataFrame([("k", left, right)], "key string, left bigint, right bigint").select(*skew._grid_columns(policy)).first()
+        assert (row["_left"], row["_right"]) == skew.grid(left / policy.sample, right / policy.sample, policy)
+
+
 def test_joins_do_not_share_their_places(spark):
     one = spark.range(500).select(F.lit("a").alias("k"))
     two = spark.range(50).select(F.lit("b").alias("k"))
