@@ -2,7 +2,8 @@
 
 The distinct line hashes of the corpus are split into shards. For each shard a
 minimal perfect hash gives every line a place of its own in compact arrays: a
-fingerprint, a count that stops at 255, and the largest document id. Documents do
+fingerprint, a count in the smallest type that tells whether it suffices, and the
+largest document id. Documents do
 not join lines; they send the hashes of their lines to the shards and probe the
 arrays. Texts stay where they are until the verdicts come back.
 
@@ -28,9 +29,11 @@ from granero.sources.staging import stage
 LEAST_CHARS = 20
 LEAST_DOCS = 3
 LINES_PER_SHARD = 8_192
-# A line is hot above this share of all lines, so there are at most 10,000 such lines.
+# A line is hot above this share of all lines, and in any case in a million documents: at
+# most 10,000 lines are, or one in a million of all (1 million of 10 ** 12, 24 MB).
 HOT_SHARE = 1e-4
 HOT_ROWS = 1_000
+HOT_ALWAYS = 1_000_000
 BLANKS = b" \t\n\x0b\x0c\r"
 
 # The hash's levels: slots per key, odd multipliers, and how many before a list.
@@ -130,19 +133,29 @@ SHARD = (
 )
 
 
-def _build(rows: pd.DataFrame) -> pd.DataFrame:
-    keys = rows["key"].to_numpy(np.int64)
-    hashed = PerfectHash.build(keys)
-    at = hashed.places(keys)
-    prints, counts = np.empty(len(keys), "<i4"), np.empty(len(keys), np.uint8)
-    last = np.empty(len(keys), "<i8")
-    prints[at] = rows["print"].to_numpy()
-    counts[at] = np.minimum(rows["n"].to_numpy(), 255)
-    last[at] = rows["last"].to_numpy(np.int64)
-    sizes, bits, rest = hashed.dump()
-    columns = [x.strip().split()[0] for x in SHARD.split(", ")]
-    own = [int(rows["shard"].iloc[0]), sizes, bits, rest, prints.tobytes(), counts.tobytes(), last.tobytes()]
-    return pd.DataFrame([own], columns=columns)
+def count_type(least_docs: int) -> np.dtype:
+    """The smallest type of counts that reach ``least_docs`` before they stop."""
+    return np.dtype(next(kind for kind in ("<u1", "<u2", "<u4", "<u8") if least_docs <= np.iinfo(kind).max))
+
+
+def _build(least_docs: int):
+    kind = count_type(least_docs)
+
+    def build(rows: pd.DataFrame) -> pd.DataFrame:
+        keys = rows["key"].to_numpy(np.int64)
+        hashed = PerfectHash.build(keys)
+        at = hashed.places(keys)
+        prints, counts = np.empty(len(keys), "<i4"), np.empty(len(keys), kind)
+        last = np.empty(len(keys), "<i8")
+        prints[at] = rows["print"].to_numpy()
+        counts[at] = np.minimum(rows["n"].to_numpy().astype(np.uint64), np.uint64(np.iinfo(kind).max))
+        last[at] = rows["last"].to_numpy(np.int64)
+        sizes, bits, rest = hashed.dump()
+        columns = [x.strip().split()[0] for x in SHARD.split(", ")]
+        own = [int(rows["shard"].iloc[0]), sizes, bits, rest, prints.tobytes(), counts.tobytes(), last.tobytes()]
+        return pd.DataFrame([own], columns=columns)
+
+    return build
 
 
 def _probe(least_docs: int):
@@ -153,7 +166,7 @@ def _probe(least_docs: int):
         hashed = PerfectHash.load(list(own["sizes"]), own["bits"], own["rest"])
         at = hashed.places(lines["key"].to_numpy(np.int64))
         same = (at >= 0) & (np.frombuffer(own["fingerprints"], "<i4")[at] == lines["print"].to_numpy())
-        many = np.frombuffer(own["counts"], np.uint8)[at] >= least_docs
+        many = np.frombuffer(own["counts"], count_type(least_docs))[at] >= least_docs
         other = np.frombuffer(own["last"], "<i8")[at] != lines["doc"].to_numpy(np.int64)
         return lines.loc[same & many & other, ["doc", "key"]]
 
@@ -192,16 +205,20 @@ def repeated_lines(
             F.count(F.lit(1)).alias("n"), F.max("doc").alias("last"), F.max("print").alias("print")
         )
     )
-    hot = counted.where(F.col("n") > max(HOT_ROWS, int(rows * HOT_SHARE))).select(
-        F.col("key").alias("_hot"), F.col("last").alias("_last"), F.col("print").alias("_print")
+    limit = min(max(HOT_ROWS, int(rows * HOT_SHARE)), HOT_ALWAYS)
+    hot = counted.where(F.col("n") > limit).select(
+        F.col("key").alias("_hot"), F.col("last").alias("_last"), F.col("print").alias("_print"), F.col("n").alias("_n")
     )
-    # At most 1 / HOT_SHARE rows, so every task can have them.
+    # Few enough for every task to have them.
     marked = lines.join(F.broadcast(hot), F.col("key") == F.col("_hot"), "left")
     by_table = marked.where(
-        F.col("_hot").isNotNull() & (F.col("print") == F.col("_print")) & (F.col("doc") != F.col("_last"))
+        F.col("_hot").isNotNull()
+        & (F.col("_n") >= least_docs)
+        & (F.col("print") == F.col("_print"))
+        & (F.col("doc") != F.col("_last"))
     ).select("doc", "key")
     arrays = (
-        counted.withColumn("shard", shard).groupBy("shard").applyInPandas(_build, SHARD)
+        counted.withColumn("shard", shard).groupBy("shard").applyInPandas(_build(least_docs), SHARD)
     )
     probes = marked.where(F.col("_hot").isNull()).select("doc", "key", "print", shard.alias("shard"))
     by_arrays = (

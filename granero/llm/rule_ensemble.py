@@ -233,5 +233,10 @@ def classify(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
-    """The documents whose score is at least 0.5, with all their columns."""
+    """The documents whose score is at least 0.5, with all their columns.
+
+    A null text is scored like an empty one and stays null. Scores depend on the text alone,
+    so repeated rows stay or go together, whatever their ids. An empty table gives an
+    empty result.
+    """
     return with_statistics(docs).where(model.score() >= 0.5).select("_row.*")

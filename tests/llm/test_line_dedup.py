@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from helpers_llm import awkward
 
 from granero.llm import line_dedup as dedup
@@ -55,6 +56,29 @@ def test_hot_lines_take_the_short_way(spark, monkeypatch):
     assert sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in found), key=str) == brute(rows)
 
 
+@pytest.mark.parametrize("docs, least_docs, hot_rows", [
+    (400, 300, 1_000), (400, 300, 10), (299, 300, 1_000), (299, 300, 10), (1_500, 2_000, 1_000), (2_100, 2_000, 1_000),
+    (256, 256, 1_000), (255, 256, 1_000), (300, 256, 1_000),
+])
+def test_any_least_number_of_documents(spark, monkeypatch, docs, least_docs, hot_rows):
+    monkeypatch.setattr(dedup, "HOT_ROWS", hot_rows)
+    table = spark.range(docs).selectExpr("id AS doc_id", "concat('one line that all the documents share\n', id) AS text")
+    found = dedup.dedup_lines(table, least_docs=least_docs)
+    assert found.selectExpr("sum(n_dropped)").first()[0] == (docs - 1 if docs >= least_docs else 0)
+    assert found.where("n_dropped = 0").count() == (1 if docs >= least_docs else docs)
+
+
+def test_lines_in_very_many_documents_are_hot_below_the_share(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "HOT_ALWAYS", 5)
+    lines = dedup.stage(spark.range(40).selectExpr("id AS doc", "id % 2 AS key", "cast(7 AS int) AS print"))
+    found = dedup.repeated_lines(lines, least_docs=3).collect()
+    assert len(found) == 38 and {row.doc for row in found} == set(range(38))
+
+
+def test_counts_take_the_smallest_type():
+    assert [dedup.count_type(n).itemsize for n in (3, 255, 256, 65_535, 65_536, 1 << 40)] == [1, 1, 2, 2, 4, 8]
+
+
 def test_columns_are_carried(spark):
     docs = awkward(spark)
     cleaned = dedup.without_repeats(docs)

@@ -1,3 +1,8 @@
+from collections import Counter
+
+import pytest
+from helpers_llm import ROWS, awkward, empty, save
+
 import corpus_pipeline
 
 
@@ -16,3 +21,34 @@ def test_stages_keep_columns_and_shrink_as_they_should(spark, sf_dir):
 
 def test_run(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+@pytest.mark.parametrize("rows", ["awkward", "none"])
+def test_run_on_awkward_and_empty_tables(spark, tmp_path, rows):
+    """Nulls, empty and very long texts, repeated rows, clashing names; or no rows at all."""
+    docs = awkward(spark) if rows == "awkward" else empty(spark)
+    folder = save(spark, docs, tmp_path)
+    labels = [(i, i % 2, 0) for i in range(1, 12)] + [(3, None, None), (None, 1, 0), (1, 1, 0)]
+    spark.createDataFrame(labels if rows == "awkward" else [], LABELS).write.parquet(f"{folder}/labels.parquet")
+    found = corpus_pipeline.run(spark, folder)
+    packed = found.collect()
+    if rows == "none":
+        assert packed == []
+        return
+    assert len({(row.sequence_id, row.offset) for row in packed}) == len(packed)
+    assert {row.doc_id for row in packed} <= {row[0] for row in ROWS}
+    assert all(0 < row.length <= 2048 and row.offset + row.length <= 2048 for row in packed)
+
+
+def test_quality_stage_on_awkward_rows(spark, tmp_path):
+    folder = save(spark, awkward(spark), tmp_path)
+    spark.createDataFrame([(i, i % 2, 0) for i in range(1, 9)], LABELS).write.parquet(f"{folder}/labels.parquet")
+    for docs in (awkward(spark), empty(spark)):
+        kept = corpus_pipeline.quality(spark, docs, folder)
+        assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
+        # Equal texts have one verdict, whatever their ids and other columns are.
+        texts = Counter((row.text or "") for row in kept.collect())
+        assert all(texts[text] in (0, n) for text, n in Counter(row.text or "" for row in docs.collect()).items())
