@@ -21,9 +21,11 @@ from html.parser import HTMLParser
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granero.llm.tables import sifted
 from granero.sources.staging import stage
 
 # Fixed values of HTML: elements without content, blocks, and what closes an open paragraph.
@@ -55,6 +57,8 @@ NOT_TEXT = frozenset(
 FLOW = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table tbody thead tr td th figure figcaption a b i em strong span code".split())
 # Of these, what a section of a host can have as its template.
 SECTION = frozenset("p ul ol dl table".split())
+# What holds sentences; a class name inside says nothing about a whole part of the page.
+LINES = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dt dd td th figcaption".split())
 MAIN = frozenset(["article", "main"])
 WHOLE = MAIN | {"body", "html"}
 # Marked articles are not the page's text if the rest is over so many times longer.
@@ -88,6 +92,8 @@ class Element:
     hinted: bool = False
     named: bool = False
     comments: bool = False
+    # In a paragraph or another element that holds sentences.
+    line: bool = False
     digest: xxhash.xxh3_64 = field(default_factory=xxhash.xxh3_64)
     hash: int = 0
 
@@ -139,12 +145,13 @@ class PageParser(HTMLParser):
             or "hidden" in named
             or role in _ROLES
             or (not above.main and tag == "header")
-            # Parts of a line go at once, lest lines be torn.
-            or (hinted and tag not in BLOCKS)
+            # Parts of a line go at once, lest lines be torn, but no words of a sentence do.
+            or (hinted and tag not in BLOCKS and not above.line)
             # Readers' comments are often articles of their own inside or below the article.
             or (tag in MAIN and comments)
         )
-        self.elements.append(Element(tag, self.open[-1], out, main and not out, hinted, whole, comments))
+        line = above.line or tag in LINES
+        self.elements.append(Element(tag, self.open[-1], out, main and not out, hinted, whole, comments, line))
         self.elements[-1].digest.update(f"{tag} {words}".encode())
         self.open.append(len(self.elements) - 1)
         if tag in BLOCKS:
@@ -278,7 +285,7 @@ def parse(html: str) -> tuple[int, list[tuple[int, int, int]], list[tuple[str, i
 
 PARSED = (
     "page_id bigint, url string, host string, content bigint, "
-    "elements array<struct<hash:bigint,parent:int,kind:int>>, blocks array<struct<text:string,element:int>>, "
+    "elements array<struct<hash:bigint,parent:int,kind:int>>, owners array<int>, packed binary, "
     "parts array<struct<hash:bigint,chars:bigint>>"
 )
 
@@ -295,28 +302,34 @@ class TemplatePolicy:
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
-    """Elements and blocks of every page; see :func:`parse`."""
+    """Elements and blocks of every page; see :func:`parse`.
+
+    ``packed`` are the blocks' texts, joined by newlines and compressed; ``owners`` are
+    their elements. Texts are stored once and travel only if a template is in them.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [
             pa.list_(pa.struct([("hash", pa.int64()), ("parent", pa.int32()), ("kind", pa.int32())])),
-            pa.list_(pa.struct([("text", pa.string()), ("element", pa.int32())])),
             pa.list_(pa.struct([("hash", pa.int64()), ("chars", pa.int64())])),
         ]
+        compress = zstandard.ZstdCompressor().compress
         for batch in batches:
             found = [parse(html.as_py() or "") for html in batch.column(3)]
             elements = [[{"hash": h, "parent": p, "kind": k} for h, p, k in page[1]] for page in found]
-            blocks = [[{"text": t, "element": e} for t, e in page[2]] for page in found]
+            owners = [[at for _, at in page[2]] for page in found]
+            packed = [compress("\n".join(text for text, _ in page[2]).encode()) for page in found]
             parts = [[{"hash": h, "chars": n} for h, n in page[3]] for page in found]
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(i) for i in range(3)),
                     pa.array([page[0] for page in found], pa.int64()),
                     pa.array(elements, kinds[0]),
-                    pa.array(blocks, kinds[1]),
-                    pa.array(parts, kinds[2]),
+                    pa.array(owners, pa.list_(pa.int32())),
+                    pa.array(packed, pa.binary()),
+                    pa.array(parts, kinds[1]),
                 ],
-                ["page_id", "url", "host", "content", "elements", "blocks", "parts"],
+                ["page_id", "url", "host", "content", "elements", "owners", "packed", "parts"],
             )
 
     host = F.lower(F.regexp_extract(F.col("url"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1))
@@ -363,7 +376,11 @@ def templates(pages: DataFrame, policy: TemplatePolicy = TemplatePolicy()) -> Da
     uses = (
         sited.select("host", "content", "elements")
         .join(named, (F.col("host") == F.col("_h")) & (F.col("content") == F.col("_c")), "left")
-        .select("host", F.coalesce("own", F.lit(0)).alias("own"), F.explode("elements").alias("e"))
+        .select(
+            "host",
+            F.coalesce("own", F.lit(0)).alias("own"),
+            F.explode(F.transform("elements", lambda e: F.struct(e["hash"].alias("hash"), e["kind"].alias("kind")))).alias("e"),
+        )
         .select("host", "own", F.col("e.hash").alias("hash"), F.col("e.kind").alias("kind"))
     )
     counted = uses.groupBy("host", "hash").agg(F.count_distinct("own").alias("n"), F.min("kind").alias("kind"))
@@ -382,6 +399,43 @@ def templates(pages: DataFrame, policy: TemplatePolicy = TemplatePolicy()) -> Da
     )
 
 
+TEXTS = "page_id bigint, url string, text string"
+
+
+def _subtree(host: str, digest: str) -> Column:
+    """One number for a subtree of a host."""
+    return F.xxhash64(host, digest)
+
+
+def _unpack(column: pa.Array) -> list[str]:
+    expand = zstandard.ZstdDecompressor().decompress
+    return [expand(packed.as_py()).decode() for packed in column]
+
+
+def _made(batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+    columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string())]
+    return pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text"])
+
+
+def _whole_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield _made(batch, _unpack(batch.column(2)))
+
+
+def _texts_without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts without the blocks below elements that are ``gone``."""
+    for batch in batches:
+        texts = []
+        for text, owners, elements, gone in zip(_unpack(batch.column(2)), *(batch.column(i).to_pylist() for i in (3, 4, 5))):
+            out, deleted = set(gone or ()), []
+            for element in elements:
+                parent = element["parent"]
+                deleted.append(element["hash"] in out or (parent >= 0 and deleted[parent]))
+            blocks = text.split("\n") if owners else []
+            texts.append("\n".join(block for block, at in zip(blocks, owners) if at < 0 or not deleted[at]))
+        yield _made(batch, texts)
+
+
 def extract(pages: DataFrame, policy: TemplatePolicy = TemplatePolicy()) -> DataFrame:
     """Main text of every page: page_id, url, text, n_chars.
 
@@ -391,36 +445,20 @@ def extract(pages: DataFrame, policy: TemplatePolicy = TemplatePolicy()) -> Data
     come back and count as one page.
     """
     parsed = stage(parsed_pages(pages)).withColumn("_page", F.monotonically_increasing_id())
-    recurring = templates(parsed, policy).select(F.col("host").alias("_h"), F.col("hash").alias("_x"))
-    uses = parsed.select("_page", "host", F.explode("elements.hash").alias("hash"))
-    gone = (
-        uses.join(recurring, (F.col("host") == F.col("_h")) & (F.col("hash") == F.col("_x")))
+    recurring = stage(templates(parsed, policy).select(_subtree("host", "hash").alias("subtree")))
+    # Only what may be a template is shuffled, and only pages that hold one meet their list.
+    uses = parsed.select("_page", F.explode(F.transform("elements", lambda e: e["hash"])).alias("hash"), "host")
+    may = sifted(uses.withColumn("_s", _subtree("host", "hash")), F.col("_s"), recurring)
+    gone = stage(
+        may.join(recurring, F.col("_s") == F.col("subtree"), "left_semi")
         .groupBy(F.col("_page").alias("_p"))
         .agg(F.collect_set("hash").alias("gone"))
     )
-    joined = parsed.join(gone, F.col("_page") == F.col("_p"), "left").select(
-        "page_id", "url", "elements", "blocks", "gone"
+    marks = gone.select(F.xxhash64("_p").alias("page"))
+    held = sifted(parsed, F.xxhash64("_page"), marks).join(gone, F.col("_page") == F.col("_p"), "left")
+    free = sifted(parsed, F.xxhash64("_page"), marks, apart=True)
+    columns = ["page_id", "url", "packed"]
+    made = free.select(*columns).mapInArrow(_whole_texts, TEXTS).unionByName(
+        held.select(*columns, "owners", "elements", "gone").mapInArrow(_texts_without, TEXTS)
     )
-
-    def text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            for elements, blocks, gone in zip(batch.column(2), batch.column(3), batch.column(4)):
-                out, deleted = set(gone.as_py() or ()), []
-                if out:
-                    for element in elements.as_py():
-                        parent = element["parent"]
-                        deleted.append(element["hash"] in out or (parent >= 0 and deleted[parent]))
-                texts.append(
-                    "\n".join(
-                        block["text"]
-                        for block in blocks.as_py()
-                        if not (deleted and block["element"] >= 0 and deleted[block["element"]])
-                    )
-                )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"]
-            )
-
-    made = joined.mapInArrow(text, "page_id bigint, url string, text string")
     return made.withColumn("n_chars", F.length("text").cast("bigint"))

@@ -29,3 +29,22 @@ def blank_words(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text; none if it is null."""
     parts = F.split(F.coalesce(text, F.lit("")), f"[{BLANKS}]+")
     return F.filter(parts, lambda word: word != "")
+
+
+# Places of a bitmap, 64 to a row: never more than 524,288 rows of 16 bytes.
+PLACES = 1 << 25
+
+
+def sifted(rows: DataFrame, own: Column, wanted: DataFrame, apart: bool = False) -> DataFrame:
+    """The rows whose hash ``own`` is in ``wanted`` (one column of hashes), and some others.
+
+    Spares an exact join that follows the shuffle of rows it would drop. The bitmap that
+    is broadcast has a fixed size; far more hashes than places let more other rows pass.
+    ``apart`` gives the rest: rows whose hash is surely not in ``wanted``.
+    """
+    place = F.pmod(F.col(wanted.columns[0]), F.lit(PLACES))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(64)).cast("int"))
+    bitmap = wanted.groupBy(F.floor(place / 64).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    mine = F.pmod(own, F.lit(PLACES))
+    there = (F.floor(mine / 64) == F.col("_word")) & (F.getbit("_bits", F.pmod(mine, F.lit(64)).cast("int")) == 1)
+    return rows.join(F.broadcast(bitmap), there, "left_anti" if apart else "left_semi")

@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granero.llm.tables import sifted
 from granero.sources.staging import stage
 
 SHINGLE = 5
@@ -351,22 +352,6 @@ def signed(docs: DataFrame, idf: Rarity, bands: Bands) -> DataFrame:
 MEMBERS_IN_TASK = 400
 # Times that long lists of texts meet a text before all their pairs do.
 HOT_ROUNDS = 6
-# Places of a bitmap, 64 to a row: never more than 524,288 rows of 16 bytes.
-PLACES = 1 << 25
-
-
-def sifted(rows: DataFrame, own: Column, wanted: DataFrame) -> DataFrame:
-    """The rows whose hash ``own`` is in ``wanted`` (one column of hashes), and some others.
-
-    Spares an exact join that follows the shuffle of rows it would drop. The bitmap that
-    is broadcast has a fixed size; far more hashes than places let more other rows pass.
-    """
-    place = F.pmod(F.col(wanted.columns[0]), F.lit(PLACES))
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(64)).cast("int"))
-    bitmap = wanted.groupBy(F.floor(place / 64).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
-    mine = F.pmod(own, F.lit(PLACES))
-    there = (F.floor(mine / 64) == F.col("_word")) & (F.getbit("_bits", F.pmod(mine, F.lit(64)).cast("int")) == 1)
-    return rows.join(F.broadcast(bitmap), there, "left_semi")
 
 
 def band_keys(bands: Bands) -> Column:

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,3 +109,56 @@ def test_query_reads_the_article(spark, sf_dir):
         inside = re.search(r"<article>(.*?)(</article>|$)", raw[row.page_id], re.S)[1]
         parts = (" ".join(html.unescape(re.sub(r"<[^>]*>", " ", part)).split()) for part in re.split(r"</?(?:p|h1)>", inside))
         assert row.text == "\n".join(part for part in parts if part)
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<p>The <span class='share'>market share</span> rose by <b class='side'>five</b> points</p>", "The market share rose by five points"),
+    ("<div>Text <span class='share'>Share this</span></div>", "Text"),
+])
+def test_words_of_a_sentence_stay(html, text):
+    assert text_of(html) == text
+
+
+def generated_site(rng, host, pages):
+    """Pages of one host: menus, notices and footers without telling tags or classes, and own text."""
+    menu = "<div><div>" + "".join(f"<div>{host} {i}</div>" for i in range(4)) + "</div></div>"
+    notice, foot = f"<div><p>Read at {host} first</p></div>", f"<section><div>{host} office</div><p>Street 1</p></section>"
+    out = []
+    for i in range(pages):
+        own = "".join(f"<p>Own text {host} {i} {j} {rng.random()}</p>" for j in range(int(rng.integers(1, 4))))
+        parts = [menu if i % 10 else "", f"<div>{own}</div>", notice if i % 2 == 0 else "", foot]
+        out.append((f"https://{host}/{i}", f"<html><body>{''.join(parts)}</body></html>"))
+    return out
+
+
+def brute_templates(pages, policy):
+    """Subtrees of each host by plain counting over pages with different own text."""
+    parsed = [(url.split("/")[2], site.parse(html)) for url, html in pages]
+    out = set()
+    for host in {host for host, _ in parsed}:
+        own = [page for h, page in parsed if h == host]
+        for digest in {element[0] for page in own for element in page[1]}:
+            kinds = [element[2] for page in own for element in page[1] if element[0] == digest]
+            n = sum(digest in {element[0] for element in page[1]} for page in own)
+            needed = n >= policy.flow_share * len(own) or (min(kinds) == site.IN_SECTIONS and n >= policy.section_pages)
+            if n >= policy.least_pages and (min(kinds) == site.PLAIN or needed):
+                out.add((host, digest))
+    return out
+
+
+def test_templates_equal_plain_counts_and_make_the_result(spark):
+    rng = np.random.default_rng(3)
+    given = [page for host, n in (("a.example", 60), ("b.example", 12), ("c.example", 3)) for page in generated_site(rng, host, n)]
+    table = pages(spark, [(i, url, html) for i, (url, html) in enumerate(given)])
+    policy = site.TemplatePolicy()
+    found = {(row.host, row.hash) for row in site.templates(site.stage(site.parsed_pages(table)), policy).collect()}
+    assert found == brute_templates(given, policy)
+    texts = {row.page_id: row.text for row in site.extract(table).collect()}
+    for i, (url, html) in enumerate(given):
+        own = [block for block, _ in site.parse(html)[2] if block.startswith("Own")]
+        if "c.example" in url:
+            assert len(texts[i].split("\n")) > len(own)
+        else:
+            assert texts[i] == "\n".join(own)
+    off = site.extract(table, site.TemplatePolicy(least_pages=10**9)).collect()
+    assert sum(texts[row.page_id] != row.text for row in off) == 72
