@@ -156,19 +156,24 @@ def word_hashes(data: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def shingles(text: str, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes, sorted, and how often each occurs.
+def shingle_hashes(text: str, size: int = SHINGLE) -> np.ndarray:
+    """Hashes of all shingles in order, repeated ones included.
 
     A text of fewer words is one shingle; one of no words has none.
     """
     words = word_hashes(word_bytes(text))
     if not len(words):
-        return words, np.empty(0, np.int64)
+        return words
     size = min(size, len(words))
     total = np.zeros(len(words) - size + 1, np.uint64)
     for place in range(size):
         total = total * np.uint64(_BASE) + words[place : len(words) - size + 1 + place]
-    return np.unique(mixed(total + np.uint64(size)), return_counts=True)
+    return mixed(total + np.uint64(size))
+
+
+def shingles(text: str, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes, sorted, and how often each occurs."""
+    return np.unique(shingle_hashes(text, size), return_counts=True)
 
 
 @dataclass(frozen=True)
@@ -224,9 +229,9 @@ def _often_in_task(least: float):
         waiting = 0
         for batch in batches:
             for text in batch.column(0):
-                own = shingles(text.as_py() or "")[0]
-                place = own & np.uint64(SKETCH - 1)
-                held[place] += 1
+                own = shingle_hashes(text.as_py() or "")
+                place = (own & np.uint64(SKETCH - 1)).astype(np.int64)
+                held[place] += 1  # once, however often a place is named
                 found.append(own[held[place] >= least])
                 waiting += len(found[-1])
                 if waiting > 1_000_000:
@@ -244,13 +249,16 @@ def _exactly(names: np.ndarray):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(len(names), np.int64)
+        there = np.zeros(SKETCH, bool)
+        there[(names & np.uint64(SKETCH - 1)).astype(np.int64)] = True
         for batch in batches:
             for text in batch.column(0):
-                own = shingles(text.as_py() or "")[0]
+                own = shingle_hashes(text.as_py() or "")
+                own = own[there[(own & np.uint64(SKETCH - 1)).astype(np.int64)]]  # a table's look is cheaper than a search
                 at = np.minimum(np.searchsorted(names, own), len(names) - 1)
-                held[at[names[at] == own]] += 1
-        there = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(held[there])], ["place", "n"])
+                held[at[names[at] == own]] += 1  # once, however often a place is named
+        place = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(held[place])], ["place", "n"])
 
     return count
 
