@@ -49,6 +49,7 @@ SPLIT_DIGIT = "CASE WHEN coalesce(nro_nit, '') = '' THEN '' ELSE upper(right(nro
 NAME = " || ' ' || ".join(_trim(part) for part in ("txt_nombre", "txt_apellido1", "txt_apellido2"))
 
 # Each step reads source tables and earlier steps.
+# The columns of the steps, by name and in order, and the constants in them.
 STEPS = {
     "j1": f"""
         SELECT b.cod_ramo, {_int('b.cod_producto_tec')} AS cod_producto_tec,

@@ -87,6 +87,7 @@ class Target:
         return T.StructType(fields)
 
 
+# Names, types, order and constants of the target tables' columns.
 PRODUCTO = Target(
     "Producto",
     (
