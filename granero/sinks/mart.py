@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,12 +12,15 @@ from granero.operators.numbering import surrogate_ids
 from granero.operators.upsert import BUCKET, bucket_of, merge_buckets, one_per_key
 from granero.sinks.parts import Part, PartLog, StaleTable, Version
 from granero.sinks.targets import Target
-from granero.sources.folders import join_path
+from granero.sources.folders import join_path, listed_in_few_tasks
 from granero.sources.staging import stage, staging_scope
 
 __all__ = ["ParquetMart", "StaleTable"]
 
 BATCH = "batch"
+# A task writes several buckets where they are small and many, one after the other.
+ROWS_PER_TASK = 1_000_000
+LEAST_TASKS = 96
 
 
 class ParquetMart:
@@ -67,7 +71,9 @@ class ParquetMart:
         paths = [part.path for part in parts if part.path]
         if not paths:
             return self.spark.createDataFrame([], target.schema)
-        return self.spark.read.schema(target.schema).parquet(*paths).select(*target.schema.names)
+        with listed_in_few_tasks(self.spark):
+            stored = self.spark.read.schema(target.schema).parquet(*paths)
+        return stored.select(*target.schema.names)
 
     def has(self, target: Target, batch_id: str) -> bool:
         """Whether that batch was appended or upserted."""
@@ -158,7 +164,8 @@ class ParquetMart:
         """Publish, after ``read``, the buckets of ``stored`` that the rows change, and ``marks``."""
         keys, updates = list(target.keys), list(target.updates)
         batch = stage(one_per_key(rows.select(*target.schema.names), keys, updates))
-        buckets = self._buckets(stored, stored.rows + batch.count())
+        most = stored.rows + batch.count()
+        buckets = self._buckets(stored, most)
         # One row per bucket at most.
         met = {row[0] for row in batch.select(bucket_of(keys, buckets)).distinct().collect()}
         if buckets == stored.buckets:
@@ -168,7 +175,8 @@ class ParquetMart:
         dropped = [name for name in read.parts if name not in stored.parts or (name in touched and buckets != stored.buckets)]
         changes: dict[str, Part | None] = {**dict.fromkeys(dropped), **marks}
         if met or (touched and buckets != stored.buckets):
-            tasks = max(1, len(met) if buckets == stored.buckets else buckets)
+            written = len(met) if buckets == stored.buckets else buckets
+            tasks = min(written, max(LEAST_TASKS, ceil(most / ROWS_PER_TASK)))
             merged = merge_buckets(
                 self._rows(target, [stored.parts[name] for name in touched]), batch, keys, updates, buckets, tasks
             )
@@ -182,7 +190,9 @@ class ParquetMart:
 
     def _written(self, target: Target, merged: DataFrame, buckets: int) -> dict[str, Part]:
         folder = self._write(target, merged, "buckets")
-        counted = self.spark.read.parquet(folder).groupBy(BUCKET).count().collect()
+        with listed_in_few_tasks(self.spark):
+            stored = self.spark.read.schema(f"{BUCKET} int").parquet(folder)
+        counted = stored.groupBy(BUCKET).count().collect()
         return {
             self._name(buckets, row[BUCKET]): Part(f"{folder}/{BUCKET}={row[BUCKET]}", row["count"])
             for row in counted

@@ -104,6 +104,34 @@ def test_a_growing_table_gets_more_buckets(spark, base):
     assert changed.buckets == 8 and sum(changed.parts[name] != version.parts[name] for name in version.parts) == 1
 
 
+def test_many_small_buckets_share_tasks(spark, base, monkeypatch):
+    mart = ParquetMart(spark, base + "/mart", rows_per_bucket=1, least_buckets=128)
+    tasks, write = [], mart._write
+
+    def watched(target, merged, name):
+        tasks.append(merged.rdd.getNumPartitions())
+        return write(target, merged, name)
+
+    monkeypatch.setattr(mart, "_write", watched)
+    monkeypatch.setattr("granero.sinks.mart.LEAST_TASKS", 16)
+    monkeypatch.setattr("granero.sources.folders.MOST_LISTING_TASKS", 16)
+    rows = [(i, 1, 5, "A") for i in range(120)]
+    mart.upsert(CORREDOR, brokers(spark, rows))
+    version = mart.version(CORREDOR)
+    assert version.buckets == 128 and version.rows == 120 and len(version.parts) > 64
+    assert tasks == [16]
+
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, tracker = spark.conf.get(setting), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "listing")
+    found = mart._rows(CORREDOR, list(version.parts.values()))
+    spark.sparkContext.setJobGroup("other", "other")
+    stages = [stage for job in tracker.getJobIdsForGroup("listing") for stage in tracker.getJobInfo(job).stageIds]
+    assert [tracker.getStageInfo(stage).numTasks for stage in stages] == [16]
+    assert spark.conf.get(setting) == before
+    assert sorted(map(tuple, found.collect())) == rows
+
+
 def test_empty_batches_and_overwrites(spark, mart):
     mart.upsert(CORREDOR, brokers(spark, []))
     assert mart.version(CORREDOR).number == 0 and mart.read(CORREDOR).count() == 0
