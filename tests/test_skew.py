@@ -73,6 +73,27 @@ def test_any_number_of_hot_keys_is_split(spark):
     assert split.exceptAll(whole).isEmpty() and whole.exceptAll(split).isEmpty()
 
 
+def test_whole_tables_are_counted_once(spark, monkeypatch):
+    left, right = many_hot(spark)
+    read = []
+
+    def watched(df):
+        read.append(set(df.inputFiles()))
+        return stage(df)
+
+    monkeypatch.setattr(skew, "stage", watched)
+    cells = measured(left, right, skew.SkewPolicy(pairs_per_cell=1_000, sample=1.0, top=1_000))
+    assert cells.table.count() == 1_500
+    assert read[-1].isdisjoint({*left.inputFiles(), *right.inputFiles()})
+
+
+@pytest.mark.parametrize("mode", ["text", "columns"])
+def test_split_joins_compare_the_cell_first(spark, mode):
+    left, right = hot_sides(spark)
+    joined = pair_join(left, right, ON, mode, measured(left, right))
+    assert "Join [_cell#" in plan(joined)
+
+
 def test_one_sided_keys_crowd_out_none_in_a_sample(spark):
     one_sided = spark.range(200_000).select((F.col("id") % 40).cast("string").alias("k"), "id")
     both = spark.range(3_000).select(F.lit("both").alias("k"), "id")
