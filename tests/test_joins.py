@@ -7,7 +7,7 @@ from granero.operators.pairs import group_sizes, matched, pair_join
 from granero.plans.product import PRODUCT_NAMES, plan_products, product_bridge
 from granero.operators.project import rename
 from granero.plans.product import producto_load
-from tests.helpers import bag
+from tests.helpers import bag, plan
 
 ON = [("a", "c"), ("b", "d")]
 
@@ -160,3 +160,13 @@ def test_early_parse_gives_the_rows_of_the_late_one(spark, sf_dir):
     )
     late = PRODUCTO.rows(plan_products(tables["tiso_producto"], bridged))
     assert bag(late) == bag(producto_load(tables))
+
+
+def test_joins_by_columns_compare_a_hash_of_all_parts_first(spark):
+    left, right = sides(spark, [("1", "2", 1), (None, "2", 2), ("a-b", "c", 3)], [("1", "2", 1), (None, "2", 2), ("a", "b-c", 3)])
+    pairs = pair_join(left, right, ON, "columns")
+    assert "Join [_cell#" in plan(pairs)
+    assert bag(pairs.select("l.x", "r.y")) == {(1, 1): 1, (2, 2): 1}
+    numbers = left.select(F.lit(7).alias("a"), F.lit(None).cast("int").alias("b"), "x")
+    texts = right.select(F.lit("7").alias("c"), F.lit(None).cast("string").alias("d"), "y")
+    assert pair_join(numbers, texts, ON, "columns").count() == 9
