@@ -3,7 +3,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from granero.functions.keys import text_key, with_single_key
-from granero.operators.pairs import group_sizes, matched, pair_join
+from granero.operators import skew
+from granero.operators.pairs import group_sizes, hot_cells, matched, pair_join, pairs_with_values
+from granero.plans.coverage import tariff_pairs
 from granero.plans.product import PRODUCT_NAMES, plan_products, product_bridge
 from granero.operators.project import rename
 from granero.plans.product import producto_load
@@ -170,3 +172,24 @@ def test_joins_by_columns_compare_a_hash_of_all_parts_first(spark):
     numbers = left.select(F.lit(7).alias("a"), F.lit(None).cast("int").alias("b"), "x")
     texts = right.select(F.lit("7").alias("c"), F.lit(None).cast("string").alias("d"), "y")
     assert pair_join(numbers, texts, ON, "columns").count() == 9
+
+
+@pytest.mark.parametrize("most", [1, 2, 1024])
+@pytest.mark.parametrize("policy", [None, skew.SkewPolicy(pairs_per_cell=2, sample=1.0)])
+def test_pairs_with_values_are_the_pairs(spark, most, policy):
+    left = [("1", "2", 1), ("1", "2", 1), (None, "2", 2), ("null", "2", 3), ("4", "4", 4)]
+    right = [("1", "2", 1)] * 5 + [("1", "2", 6), (None, "2", 2), (None, "2", 2), ("5", "5", 5)]
+    sides_ = sides(spark, left, right)
+    cells = hot_cells(*sides_, ON, policy)
+    assert bool(cells) == (policy is not None)
+    pairs = pairs_with_values(*sides_, ON, "y", cells, most).select("x", "y")
+    assert bag(pairs) == bag(pair_join(*sides_, ON).select("l.x", "r.y"))
+    assert pairs_with_values(*(side.limit(0) for side in sides_), ON, "y").count() == 0
+
+
+def test_tariff_pairs_are_made_after_the_join_by_all_tasks(spark):
+    plans = spark.range(3).selectExpr("'1' AS cod_tarifa", "'1' AS cod_ramo", "'A' AS cod_producto")
+    texts = spark.range(2000).selectExpr("'1' AS cod_tarifa", "IF(id % 3 = 0, NULL, 'x') AS txt_desc")
+    pairs = tariff_pairs({"ttarifa_producto": plans, "ttarifa": texts})
+    assert "explode(_values" in plan(pairs) and "REPARTITION_BY_NUM" in plan(pairs)
+    assert bag(pairs.select("Cobertura")) == {("",): 3 * 667, ("x",): 3 * 1333}
