@@ -25,12 +25,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from granero.llm.tables import then_free
 from granero.sources.staging import stage
 
 CAPACITY = 2048
 END_ID = 0
 PIECES_PER_SHARD = 16_384
-CACHED_WORDS = 400_000
+# Of each up to twice as many and those of one slice are kept, by every Python process.
+CACHED_WORDS = 100_000
+CACHED_CORES = 200_000
 # Signs that often end a word; they are a run of their own.
 TAIL = ".,;:!?*#$%&|<>"
 # Letters that are lower-cased one by one and have no other normal form.
@@ -77,7 +80,7 @@ class TextIds:
 
         self.encoder = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
         self.encoder.encode_special_tokens = True
-        self.words, self.cores = Generations(CACHED_WORDS), Generations(CACHED_WORDS)
+        self.words, self.cores = Generations(CACHED_WORDS), Generations(CACHED_CORES)
         vocabulary = self.encoder.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -150,16 +153,14 @@ def _text_ids(path: str | None) -> TextIds:
     return TextIds(path)
 
 
-def batches_by_size(texts: list[str], most_chars: int = 4_000_000) -> Iterator[slice]:
-    """Slices of at most ``most_chars`` characters, or of one text."""
-    start, chars = 0, 0
-    for at, text in enumerate(texts):
-        if at > start and chars + len(text) > most_chars:
-            yield slice(start, at)
-            start, chars = at, 0
-        chars += len(text)
-    if start < len(texts):
-        yield slice(start, len(texts))
+def batches_by_size(batch: pa.RecordBatch, text: int, most_bytes: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``most_bytes`` in column ``text``, or of one row."""
+    ends = np.cumsum(pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start, before = 0, 0
+    while start < len(ends):
+        stop = max(start + 1, int(np.searchsorted(ends, before + most_bytes, "right")))
+        yield batch.slice(start, stop - start)
+        start, before = stop, int(ends[stop - 1])
 
 
 def token_pieces(
@@ -182,12 +183,10 @@ def token_pieces(
         encoder = _text_ids(tokenizer)
         end = np.array([end_id], "<u4")
         for batch in batches:
-            ids = batch.column(0)
-            texts = [text or "" for text in batch.column(1).to_pylist()]
-            for part in batches_by_size(texts):
+            for part in batches_by_size(batch, 1):
                 rows: list[tuple] = []
-                own_ids = ids[part.start : part.stop].to_pylist()
-                for doc, found in zip(own_ids, encoder.batch(texts[part])):
+                texts = [text or "" for text in part.column(1).to_pylist()]
+                for doc, found in zip(part.column(0).to_pylist(), encoder.batch(texts)):
                     found = np.append(found, end)
                     for piece, at in enumerate(range(0, len(found), capacity)):
                         own = found[at : at + capacity]
@@ -206,7 +205,7 @@ def token_pieces(
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
     own = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return own.mapInArrow(cut, schema)
+    return own.mapInArrow(then_free(cut), schema)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +20,19 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def then_free(body: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``body`` for ``mapInArrow``; memory that Arrow keeps in reserve is given back after it.
+
+    Spark keeps the Python process of a task for later ones.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from body(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def let(value: Column, body) -> Column:
     """Compute ``value`` once per row and hand it to ``body`` as a variable.
 

@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from helpers_llm import ROWS, awkward
 
 from granero.llm import packing
@@ -78,3 +79,27 @@ def test_awkward_rows_and_ids_kept(spark):
     packed = packing.pack(kept, 64)
     whole = packing.sequences(packed, kept)
     assert whole.selectExpr("sum(size(ids))").first()[0] == kept.selectExpr("sum(length)").first()[0]
+
+
+def test_remembered_words_stay_few_over_many_texts():
+    ids, kept = packing.TextIds(None), 0
+    letters = str.maketrans("0123456789", "abcdefghij")
+    for start in range(0, 900_000, 30_000):
+        words = [str(i).translate(letters) + "x" for i in range(start, start + 30_000)]
+        found = next(ids.batch([" ".join(words)]))
+        kept = max(kept, sum(len(memory) + len(memory.old) for memory in (ids.words, ids.cores)))
+    assert found.tolist() == ids.encoder.encode(" ".join(words), add_special_tokens=False).ids
+    assert 300_000 < kept < 800_000
+
+
+def test_texts_are_taken_in_slices_of_few_bytes():
+    texts = ["", None, "é" * 40, "x" * 300, None, "ab", "", "y" * 100, "z"] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(range(27)), pa.array(texts)], ["doc_id", "text"]).slice(2)
+    parts = list(packing.batches_by_size(batch, 1, 100))
+    assert [row for part in parts for row in part.to_pylist()] == batch.to_pylist()
+    for part in parts:
+        assert part.num_rows == 1 or sum(len((text or "").encode()) for text in part.column(1).to_pylist()) <= 100
+    assert len(parts) < 16
+    assert list(packing.batches_by_size(batch.slice(0, 0), 1)) == []
+    empty = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([None, None], pa.string())], ["doc_id", "text"])
+    assert sum(part.num_rows for part in packing.batches_by_size(empty, 1)) == 2
