@@ -35,7 +35,7 @@ SIMILARITY = 0.8
 # Shingles of a smaller share of documents, or of fewer documents, share one weight.
 RARE_SHARE, RARE_LEAST = 1 / 1024, 4
 # A shingle that is not rare is in this many documents of some counting task, or more.
-LEAST_IN_TASK = 4
+LEAST_IN_TASK = 8
 SKETCH = 1 << 23
 # Pooled random numbers of the samples; a shingle's hash picks among them.
 POOL = 1 << 16
@@ -215,7 +215,7 @@ def weighted_jaccard(one: Bag, other: Bag) -> float:
 # --- corpus statistics ----------------------------------------------------------
 
 
-def _often_in_task(least: float):
+def _often_in_task(least: int):
     """Shingles that may be in ``least`` documents of a task, with an upper bound of how many.
 
     Documents are counted in a fixed number of hash buckets. A shingle is listed once
@@ -267,21 +267,25 @@ def inverse_frequencies(docs: DataFrame, share: float = RARE_SHARE, least: int =
     """IDF of all shingles of the column text: ln((1 + N) / (1 + max(df, floor))) + 1.
 
     ``floor`` is ``share`` of the N documents, or ``least``. A shingle in that many
-    documents is in at least floor / tasks of them in some task, so every task lists
-    its own such shingles, those whose bounds together reach the floor are counted
-    exactly, and the others are rare. What reaches the driver is bounded by the number
-    of shingles in a task's documents, about 1 / share times ``LEAST_IN_TASK`` of them.
+    documents is in at least floor / tasks of them in some task. Every task lists its own
+    shingles of half as many, those whose bounds together reach the floor are counted
+    exactly, and the others are rare. As tasks that do not list a shingle hold less than
+    half the floor of it, one that is counted has bounds of over half the floor where it is
+    listed. So what reaches the driver is bounded by the number of shingles in about
+    2 / share documents, however many documents and tasks there are.
     """
     texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    total = texts.count()
+    in_parts = texts.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    total, parts = in_parts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     floor = max(least, int(np.ceil(total * share)))
     rare = float(np.log((1 + total) / (1 + min(floor, total))) + 1)
-    tasks = max(1, floor // LEAST_IN_TASK)
-    in_task = floor / tasks
+    # Never more tasks than that, whatever becomes of the parts: coalesce sees to it.
+    tasks = max(1, min(parts, floor // LEAST_IN_TASK))
+    in_task = floor if tasks == 1 else -(-floor // (2 * tasks))
     few = texts.coalesce(tasks)
     listed = few.mapInArrow(_often_in_task(in_task), "shingle bigint, most bigint")
     # Where a shingle is not listed it is in fewer than in_task documents.
-    elsewhere = (F.lit(tasks) - F.count(F.lit(1))) * int(np.ceil(in_task) - 1)
+    elsewhere = (F.lit(tasks) - F.count(F.lit(1))) * (in_task - 1)
     bounded = listed.groupBy("shingle").agg((F.sum("most") + elsewhere).alias("most"))
     names = bounded.where(F.col("most") >= floor).select("shingle").toArrow().column(0).to_numpy()
     names = np.sort(names.astype(np.int64).view(np.uint64))

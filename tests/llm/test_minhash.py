@@ -129,6 +129,21 @@ def test_frequencies_equal_a_dictionary(spark, sf_dir, share, least, parts):
     )
 
 
+def test_shingles_of_one_task_are_not_counted_on_the_driver(spark, monkeypatch):
+    """Copies that lie together are in many documents of their task and in few of all."""
+    given, count = [], near._exactly
+    monkeypatch.setattr(near, "_exactly", lambda names: given.append(names) or count(names))
+    own = "transform(sequence(1, 30), x -> concat('word', x, 'of', id div 25))"
+    docs = spark.range(1600, numPartitions=16).selectExpr(f"concat_ws(' ', {own}, 'all these eight words are in each one') AS text")
+    found = near.inverse_frequencies(docs, 1 / 20, 4)
+    want = brute_rarity([row.text for row in docs.collect()], 1 / 20, 4)
+    names = np.array(sorted(want), np.uint64)
+    assert np.allclose(found.of(names), [want[name] for name in names.tolist()], atol=1e-12)
+    assert len(found.names) == 4 and len(want) > 64 * 26
+    # Of the 1,664 shingles that 25 copies in one task share none.
+    assert len(given) == 1 and len(given[0]) < 50
+
+
 def test_similarities_are_those_of_exact_weights(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = {row.doc_id: row.text or "" for row in docs.collect()}
