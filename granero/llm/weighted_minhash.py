@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granero.llm.tables import sifted
+from granero.llm.tables import sifted, then_free
 from granero.sources.staging import stage
 
 SHINGLE = 5
@@ -283,7 +283,7 @@ def inverse_frequencies(docs: DataFrame, share: float = RARE_SHARE, least: int =
     tasks = max(1, min(parts, floor // LEAST_IN_TASK))
     in_task = floor if tasks == 1 else -(-floor // (2 * tasks))
     few = texts.coalesce(tasks)
-    listed = few.mapInArrow(_often_in_task(in_task), "shingle bigint, most bigint")
+    listed = few.mapInArrow(then_free(_often_in_task(in_task)), "shingle bigint, most bigint")
     # Where a shingle is not listed it is in fewer than in_task documents.
     elsewhere = (F.lit(tasks) - F.count(F.lit(1))) * (in_task - 1)
     bounded = listed.groupBy("shingle").agg((F.sum("most") + elsewhere).alias("most"))
@@ -291,7 +291,7 @@ def inverse_frequencies(docs: DataFrame, share: float = RARE_SHARE, least: int =
     names = np.sort(names.astype(np.int64).view(np.uint64))
     if not len(names):
         return Rarity(names, np.empty(0), rare)
-    counted = texts.mapInArrow(_exactly(names), "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(then_free(_exactly(names)), "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
     rows = counted.where(F.col("n") >= floor).toArrow()
     place, df = (rows.column(i).to_numpy().astype(np.int64) for i in range(2))
     order = np.argsort(place)
@@ -356,7 +356,7 @@ def signed(docs: DataFrame, idf: Rarity, bands: Bands) -> DataFrame:
                 ["doc", "node", "samples"],
             )
 
-    return docs.mapInArrow(sign, SIGNED)
+    return docs.mapInArrow(then_free(sign), SIGNED)
 
 
 # --- links ----------------------------------------------------------------------
@@ -395,7 +395,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, idf: Rarity, similarity: float)
     left = sifted(texts, F.col("node"), pairs.select("a")).select(F.col("node").alias("a"), F.col("text").alias("one"))
     right = sifted(texts, F.col("node"), pairs.select("b")).select(F.col("node").alias("b"), F.col("text").alias("other"))
     return (
-        pairs.join(right, "b").join(left, "a").select("a", "b", "one", "other").mapInArrow(verify, "a bigint, b bigint")
+        pairs.join(right, "b").join(left, "a").select("a", "b", "one", "other").mapInArrow(then_free(verify), "a bigint, b bigint")
     )
 
 
@@ -531,7 +531,7 @@ def _rare_first(texts: DataFrame, idf: Rarity, similarity: float) -> DataFrame:
             )
 
     schema = "node bigint, total double, shingles array<bigint>, rests array<double>"
-    return texts.select("node", "text").mapInArrow(listed, schema)
+    return texts.select("node", "text").mapInArrow(then_free(listed), schema)
 
 
 def _may_be_near(one: str, other: str, similarity: float) -> Column:
